@@ -55,7 +55,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every scale factor); customer grows with the data and is size-checked.
     geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
     cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
-    j = o.join(checked_broadcast(cust), o.o_custkey == cust.c_custkey)
+    cust = checked_broadcast(cust)
+    j = o.join(cust, o["o_custkey"] == cust["c_custkey"])
     k = F.col("o_orderkey")
     return j.select(
         k.alias("row_id"),
@@ -69,7 +70,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("district"),
         F.col("c_mktsegment").alias("property_type"),
         F.col("o_orderstatus").alias("transaction_type"),
-        F.col("o_orderdate").cast("timestamp").alias("created_at"),
+        F.col("o_orderdate").alias("created_at"),
         F.col("o_totalprice").alias("price"),
         flag_text(k % 2).alias("has_air_condition"),
         flag_text((k % 3 == 0).cast("int")).alias("has_kitchen"),

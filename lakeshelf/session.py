@@ -36,6 +36,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     session and call :func:`apply_scale_conf` instead."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g"))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():

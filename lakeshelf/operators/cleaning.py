@@ -78,7 +78,8 @@ def flags_to_text(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 
 
 def trim_strings(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    return df.withColumns({c: F.trim(_ref(c)) for c in cols})
+    """Strip leading and trailing whitespace (spaces, tabs, line breaks)."""
+    return df.withColumns({c: F.regexp_replace(_ref(c), r"^\s+|\s+$", "") for c in cols})
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:

@@ -98,3 +98,79 @@ LISTINGS_SQL = """(SELECT o.o_orderkey AS row_id, o.o_custkey AS user_id, c.c_na
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey
   JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped listings: text fields as a raw JSON feed would carry them
+    (dotted flat keys, codes as text, 'NaN' and '' as bad values, NULLs),
+    derived by rules from orders, customer, nation and region."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
+    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
+    cust = checked_broadcast(cust)
+    j = o.join(cust, o["o_custkey"] == cust["c_custkey"])
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    st, pri, seg = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("c_mktsegment")
+    txt = lambda e: e.cast("string")
+    return j.select(
+        txt(k).alias("id"),
+        ck.alias("user_id"),
+        F.col("c_name").alias("user.name"),
+        F.when(F.col("c_acctbal") < 0, "NaN").when(F.col("c_acctbal") < 5000, "1")
+         .otherwise("0").alias("user.iam_verified"),
+        F.when(st == "P", None).otherwise(F.col("c_acctbal") / 1000).alias("user.review"),
+        F.concat(txt(F.col("n_nationkey")), F.lit(".25")).alias("location.lat"),
+        F.concat(txt(F.col("r_regionkey")), F.lit(".75")).alias("location.lng"),
+        F.col("o_orderdate").alias("create_time"),
+        F.col("o_orderdate").alias("createdAt"),
+        F.col("o_orderdate").alias("updatedAt"),
+        F.when(pri == "5-LOW", None).otherwise(txt(k % 40)).alias("age"),
+        F.when(pri == "4-NOT SPECIFIED", "NaN").otherwise(txt(k % 2)).alias("ac"),
+        F.when(seg == "BUILDING", None).otherwise(txt(ck % 2)).alias("ketchen"),
+        F.when(st == "P", "").otherwise(txt(k % 4 + 1)).alias("wc"),
+        F.when(seg == "MACHINERY", None).otherwise(txt(ck % 5 + 1)).alias("beds"),
+        F.when(pri == "2-HIGH", "NaN").otherwise(txt(k % 3)).alias("livings"),
+        F.when(seg == "HOUSEHOLD", None).otherwise(txt((ck + 1) % 2)).alias("furnished"),
+        F.when((st == "F") & (pri == "3-MEDIUM"), None).otherwise(txt(k % 4)).alias("rent_period"),
+        F.when((st == "P") & (pri == "1-URGENT"), None)
+         .otherwise(txt((k % 5 == 0).cast("int"))).alias("daily_rentable"),
+        F.col("o_totalprice").alias("price"),
+        (k % 24).cast("int").alias("category"),
+        F.when(st == "P", None).otherwise(F.col("o_totalprice") / 100).alias("area"),
+        F.col("r_name").alias("city"),
+        F.col("n_name").alias("district"),
+        F.when((st == "O") & (pri == "5-LOW"), None).otherwise(pri).alias("advertiser_type"),
+        F.col("r_regionkey").cast("bigint").alias("city_id"),
+        F.col("n_nationkey").cast("bigint").alias("district_id"),
+    )
+
+
+RAW_LISTINGS_SQL = """(SELECT CAST(o.o_orderkey AS VARCHAR) AS id, o.o_custkey AS user_id,
+  c.c_name AS "user.name",
+  CASE WHEN c.c_acctbal < 0 THEN 'NaN' WHEN c.c_acctbal < 5000 THEN '1' ELSE '0' END AS "user.iam_verified",
+  CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE c.c_acctbal / 1000 END AS "user.review",
+  CAST(n.n_nationkey AS VARCHAR) || '.25' AS "location.lat",
+  CAST(r.r_regionkey AS VARCHAR) || '.75' AS "location.lng",
+  o.o_orderdate AS create_time, o.o_orderdate AS "createdAt", o.o_orderdate AS "updatedAt",
+  CASE WHEN o.o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o.o_orderkey % 40 AS VARCHAR) END AS age,
+  CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN 'NaN' ELSE CAST(o.o_orderkey % 2 AS VARCHAR) END AS ac,
+  CASE WHEN c.c_mktsegment = 'BUILDING' THEN NULL ELSE CAST(o.o_custkey % 2 AS VARCHAR) END AS ketchen,
+  CASE WHEN o.o_orderstatus = 'P' THEN '' ELSE CAST(o.o_orderkey % 4 + 1 AS VARCHAR) END AS wc,
+  CASE WHEN c.c_mktsegment = 'MACHINERY' THEN NULL ELSE CAST(o.o_custkey % 5 + 1 AS VARCHAR) END AS beds,
+  CASE WHEN o.o_orderpriority = '2-HIGH' THEN 'NaN' ELSE CAST(o.o_orderkey % 3 AS VARCHAR) END AS livings,
+  CASE WHEN c.c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE CAST((o.o_custkey + 1) % 2 AS VARCHAR) END AS furnished,
+  CASE WHEN o.o_orderstatus = 'F' AND o.o_orderpriority = '3-MEDIUM' THEN NULL
+       ELSE CAST(o.o_orderkey % 4 AS VARCHAR) END AS rent_period,
+  CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '1-URGENT' THEN NULL
+       ELSE CAST(CAST(o.o_orderkey % 5 = 0 AS INTEGER) AS VARCHAR) END AS daily_rentable,
+  o.o_totalprice AS price, CAST(o.o_orderkey % 24 AS INTEGER) AS category,
+  CASE WHEN o.o_orderstatus = 'P' THEN NULL ELSE o.o_totalprice / 100 END AS area,
+  r.r_name AS city, n.n_name AS district,
+  CASE WHEN o.o_orderstatus = 'O' AND o.o_orderpriority = '5-LOW' THEN NULL ELSE o.o_orderpriority END AS advertiser_type,
+  CAST(r.r_regionkey AS BIGINT) AS city_id, CAST(n.n_nationkey AS BIGINT) AS district_id
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)"""

@@ -47,8 +47,13 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _hadoop_fs(spark, path)
     if not fs.exists(p):
         return None
-    rows = spark.read.text(path).collect()  # one line
-    return rows[0][0].strip() if rows else None
+    jio = spark._jvm.java.io
+    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return line.strip() if line else None
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:

@@ -35,4 +35,4 @@ def load_all() -> None:
     from lakeshelf.plans import (  # noqa: F401
         q_clean, q_dims, q_impute, q_io, q_profile, q_search, q_stream, q_fact,
     )
-FLAGSHIP = "impute_all"
+FLAGSHIP = "fact_city_month"

@@ -65,18 +65,23 @@ def mode_lookup(df: DataFrame, group: str, cols: Iterable[str]) -> DataFrame:
 
 def median_lookup(df: DataFrame, group: str, cols: Iterable[str], exact: bool = False,
                   accuracy: int = 10000) -> DataFrame:
-    """One row per group with the median of each column (NULLs ignored).
+    """One row per group (key ``__grp``) with the median of each column
+    (NULLs ignored).
 
-    ``exact=False``: ``percentile_approx`` — bounded memory per group whatever
-    its size. ``exact=True``: ``percentile_disc(0.5)`` — the lower middle
-    value; its buffer grows with the distinct values of a group."""
-    aggs = []
+    ``exact=False``: ``percentile_approx`` — a bounded sketch per group with
+    partial aggregation. ``exact=True``: the lower middle value
+    (``percentile_disc(0.5)``) by :func:`exact_median`, which never gathers a
+    group in one task."""
+    cols = list(cols)
+    if not exact:
+        aggs = [F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]
+        return df.select(F.col(group).alias(_G), *cols).groupBy(_G).agg(*aggs)
+    keys = df.select(F.col(group).alias(_G)).distinct()
+    out = keys
     for c in cols:
-        if exact:
-            aggs.append(F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(c))
-        else:
-            aggs.append(F.percentile_approx(c, 0.5, accuracy).alias(c))
-    return df.select(F.col(group).alias(_G), *cols).groupBy(_G).agg(*aggs)
+        m = exact_median(df, group, c, interpolate=False, name=c).withColumnRenamed(group, _G)
+        out = out.join(m, out[_G].eqNullSafe(m[_G]), "left").drop(m[_G])
+    return out
 
 
 def group_lookups(df: DataFrame, group: str, modes: Iterable[str] = (),
@@ -145,3 +150,30 @@ def mode_by_group(df: DataFrame, group: str, col: str) -> DataFrame:
 def median_by_group(df: DataFrame, group: str, col: str, exact: bool = False) -> DataFrame:
     m = median_lookup(df, group, [col], exact=exact)
     return m.select(F.col(_G).alias(group), F.col(col).alias(f"median_{col}"))
+
+
+def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool = True,
+                 name: str | None = None) -> DataFrame:
+    """Exact per-group median without holding a group in one task.
+
+    Rows (group, value) are numbered in one global order by a range shuffle
+    (:func:`with_surrogate_key`), which spreads even a hot group over many
+    partitions. Per group, the first position and the count give the one
+    or two middle positions; those positions are joined back on the position
+    alone (a balanced equi-join). ``interpolate`` averages the two middle
+    values (pandas/``median``); otherwise the lower one (``percentile_disc``).
+    NULL values are ignored; a group with no values is absent."""
+    from lakeshelf.operators.dims import with_surrogate_key
+    name = name or f"median_{col}"
+    g = F.col(group) if group else F.lit(0)
+    x = df.select(g.alias(_G), F.col(col).alias("__v")).where(F.col("__v").isNotNull())
+    pos = with_surrogate_key(x, [_G, "__v"], start=-1, name="__pos")
+    stats = pos.groupBy(_G).agg(F.min("__pos").alias("__s"), F.count(F.lit(1)).alias("__n"))
+    lo = F.col("__s") + F.floor((F.col("__n") - 1) / 2)
+    hi = (F.col("__s") + F.ceil((F.col("__n") - 1) / 2)) if interpolate else lo
+    mids = stats.select(F.explode(F.array_distinct(F.array(lo.cast("bigint"), hi.cast("bigint")))).alias("__pos"))
+    # two rows per group at most: size-checked before broadcasting
+    picked = pos.join(checked_broadcast(mids), "__pos")
+    agg = F.avg("__v") if interpolate else F.min("__v")
+    out = picked.groupBy(_G).agg(agg.alias(name))
+    return out.withColumnRenamed(_G, group) if group else out.drop(_G)

@@ -77,6 +77,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         flag_text(F.col("o_custkey") % 2).alias("has_furnished"),
         flag_text((k % 5 == 0).cast("int")).alias("is_daily_rentable"),
         decode(k % 4, RENT_PERIODS).alias("rent_period"),
+        (F.col("o_custkey") % 5 + 1).cast("int").alias("bedrooms"),
+        (k % 4 + 1).cast("int").alias("bathrooms"),
+        (k % 3).cast("int").alias("livings"),
+        (k % 40).cast("int").alias("age"),
+        (F.col("o_totalprice") / 100).alias("area"),
         (F.year("o_orderdate") - BASE_YEAR).alias("_commit_version"),
     )
 
@@ -94,6 +99,9 @@ LISTINGS_SQL = """(SELECT o.o_orderkey AS row_id, o.o_custkey AS user_id, c.c_na
   CASE WHEN o.o_orderkey % 5 = 0 THEN 'Yes' ELSE 'No' END AS is_daily_rentable,
   CASE WHEN o.o_orderkey % 4 IN (0, 3) THEN 'Yearly' WHEN o.o_orderkey % 4 = 1 THEN 'Daily'
        WHEN o.o_orderkey % 4 = 2 THEN 'Monthly' END AS rent_period,
+  CAST(o.o_custkey % 5 + 1 AS INTEGER) AS bedrooms, CAST(o.o_orderkey % 4 + 1 AS INTEGER) AS bathrooms,
+  CAST(o.o_orderkey % 3 AS INTEGER) AS livings, CAST(o.o_orderkey % 40 AS INTEGER) AS age,
+  o.o_totalprice / 100 AS area,
   CAST(year(o.o_orderdate) - 1995 AS INTEGER) AS _commit_version
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey

@@ -1,0 +1,154 @@
+"""Streaming queries. ``events`` plays the interaction feed (listing_ref =
+event id, comment = event type + props, sentiment from the value); the
+listing table is the static side. Streams run with ``availableNow`` into
+the scratch folder and the written result is returned."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lakeshelf.plans.registry import query
+from lakeshelf.plans.roles import LISTINGS_SQL, listings
+from lakeshelf.session import read_table, scratch_path
+from lakeshelf.streaming import alerts as al
+
+EVENT_WORDS = {"urgent": ["error"], "sales": ["purchase", "signup"], "intent": ['"k": 7']}
+CONV_WORDS = {"urgent": ["entre", "pas"], "sales": ["tion", "elle"], "intent": ["oui"]}
+LISTING_COLS = ["row_id", "user_name", "district", "city", "property_type", "area", "price"]
+
+
+def _interactions(df):
+    """events -> interaction feed shape (id, listing_ref, comment, phone, _ts) + label/score."""
+    return df.select(
+        F.col("event_id").cast("string").alias("id"), F.col("event_id").cast("string").alias("listing_ref"),
+        F.concat_ws(" ", "event_type", "props").alias("comment"),
+        F.concat(F.lit("05"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("phone_number"),
+        F.col("ts").cast("timestamp").cast("long").alias("_ts"),
+        F.when(F.col("value") < 50, "negative").otherwise("positive").alias("label"),
+        (F.col("value") / 500).alias("score"))
+
+
+def _projected(df):
+    """T1 projection keeping the scorer columns."""
+    return df.select(
+        F.col("id").alias("msg_id"), F.col("listing_ref").try_cast("int").alias("listing_ref"),
+        "phone_number", "comment",
+        F.timestamp_seconds(F.col("_ts")).cast("timestamp_ntz").alias("event_time"), "label", "score")
+
+
+def _event_stream(spark, sf):
+    schema = read_table(spark, sf, "events").schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+                 .option("maxFilesPerTrigger", 1).parquet(sf))
+
+
+EV_SQL = """(SELECT CAST(event_id AS VARCHAR) AS msg_id, CAST(event_id AS INTEGER) AS listing_ref,
+  '05' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS phone_number, event_type || ' ' || props AS comment,
+  make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) AS event_time,
+  CASE WHEN value < 50 THEN 'negative' ELSE 'positive' END AS label, value / 500 AS score FROM events)"""
+
+
+def _classify_sql(words, text="comment"):
+    c = lambda ws: "(" + " OR ".join(f"contains(lower({text}), '{w}')" for w in ws) + ")"
+    return f"""CASE WHEN {c(words['urgent'])} THEN 'urgent'
+  WHEN ({c(words['sales'])} AND coalesce(lower(label) <> 'negative', true)) OR {c(words['intent'])} THEN 'sales_lead'
+  WHEN coalesce(lower(label) = 'negative' AND score > 0.85, false) THEN 'complaint' ELSE 'general' END"""
+
+
+def _line(label, e):
+    return f"'{label}: ' || coalesce(CAST({e} AS VARCHAR), 'N/A')"
+
+
+ROUTE_SQL = f"""WITH ev AS {EV_SQL},
+li AS (SELECT row_id, min(struct_pack(user_name, district, city, property_type, area, price)) AS r
+       FROM {LISTINGS_SQL} l GROUP BY row_id),
+j AS (SELECT ev.*, li.r.user_name AS user_name, li.r.district AS district, li.r.city AS city,
+        li.r.property_type AS property_type, li.r.area AS area, li.r.price AS price
+      FROM ev JOIN li ON ev.listing_ref = li.row_id),
+c AS (SELECT *, {_classify_sql(EVENT_WORDS)} AS ai_analysis FROM j)
+SELECT msg_id, ai_analysis, CASE WHEN ai_analysis = 'urgent' THEN 'urgent_group' ELSE 'sales_group' END AS channel,
+  CASE WHEN ai_analysis = 'urgent' THEN concat_ws(chr(10), 'URGENT (maintenance)', '------------------',
+      {_line('Customer phone', 'phone_number')}, {_line('Owner', 'user_name')}, {_line('City', 'city')},
+      {_line('District', 'district')}, {_line('Message', 'comment')}, {_line('Time', 'event_time')})
+  ELSE concat_ws(chr(10), 'New sales lead', '------------------',
+      {_line('Customer phone', 'phone_number')}, {_line('Owner', 'user_name')},
+      {_line('Area', 'CAST(trunc(area) AS BIGINT)')}, {_line('Price', 'CAST(trunc(price) AS BIGINT)')},
+      {_line('City', 'city')}, {_line('District', 'district')}, {_line('Message', 'comment')},
+      {_line('Time', 'event_time')}) END AS message,
+  comment, event_time, phone_number, user_name, district, city, property_type, area, price
+FROM c WHERE ai_analysis IN ('urgent', 'sales_lead')"""
+
+
+@query("stream_ingest", f"SELECT msg_id, listing_ref, phone_number, comment, event_time FROM {EV_SQL} e")
+def q_stream_ingest(spark, sf):
+    out, ck = scratch_path(spark, "ingest_out"), scratch_path(spark, "ingest_ckpt")
+    s = al.project_interactions(_interactions(_event_stream(spark, sf)))
+    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+          .trigger(availableNow=True).start())
+    al.run_available(q)
+    return spark.read.parquet(out)
+
+
+@query("stream_enrich", f"""
+SELECT e.msg_id, e.listing_ref, l.user_name, l.city, l.district, l.price
+FROM {EV_SQL} e JOIN {LISTINGS_SQL} l ON e.listing_ref = l.row_id""")
+def q_stream_enrich(spark, sf):
+    """Stream-static inner join: each micro-batch re-reads the static side."""
+    out, ck = scratch_path(spark, "enrich_out"), scratch_path(spark, "enrich_ckpt")
+    s = al.project_interactions(_interactions(_event_stream(spark, sf)))
+    e = al.enrich(s, listings(spark, sf).select(*LISTING_COLS))
+    q = (e.select("msg_id", "listing_ref", "user_name", "city", "district", "price")
+          .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+          .trigger(availableNow=True).start())
+    al.run_available(q)
+    return spark.read.parquet(out)
+
+
+@query("route_alerts", ROUTE_SQL)
+def q_route_alerts(spark, sf):
+    """Batch twin of the alert stream."""
+    ev = _projected(_interactions(read_table(spark, sf, "events")))
+    return al.alert_pipeline(ev, listings(spark, sf).select(*LISTING_COLS), "label", "score", EVENT_WORDS)
+
+
+@query("stream_route", ROUTE_SQL)
+def q_stream_route(spark, sf):
+    out, ck = scratch_path(spark, "alerts_out"), scratch_path(spark, "alerts_ckpt")
+    s = _projected(_interactions(_event_stream(spark, sf)))
+    q = al.write_alerts(s, lambda: listings(spark, sf).select(*LISTING_COLS), out, ck,
+                        trigger={"availableNow": True}, label="label", score="score", words=EVENT_WORDS)
+    al.run_available(q)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+CONV_LABEL = "CASE WHEN (conv_id + turn) % 3 = 0 THEN 'negative' ELSE 'positive' END"
+CONV_SCORE = "((conv_id * 7 + turn) % 100) / 100.0"
+
+
+@query("classify_text", f"""
+SELECT conv_id, turn, role, {_classify_sql(CONV_WORDS, 'text')} AS ai_analysis FROM (
+  SELECT *, {CONV_LABEL} AS label, {CONV_SCORE} AS score FROM conversations) x""")
+def q_classify_text(spark, sf):
+    cv = read_table(spark, sf, "conversations")
+    cv = cv.withColumns({"label": F.expr(CONV_LABEL), "score": F.expr(CONV_SCORE)})
+    return cv.select("conv_id", "turn", "role",
+                     al.classify("text", "label", "score", **CONV_WORDS).alias("ai_analysis"))
+
+
+def _lexicon_model():
+    """A tiny stand-in sentiment model (loaded once per worker)."""
+    def model(texts):
+        return [("negative", 0.9) if "non" in t.lower() else ("positive", 0.6) for t in texts]
+    return model
+
+
+@query("classify_scored", f"""
+SELECT conv_id, turn, {_classify_sql(CONV_WORDS, 'text')} AS ai_analysis FROM (
+  SELECT *, CASE WHEN contains(lower(text), 'non') THEN 'negative' ELSE 'positive' END AS label,
+         CASE WHEN contains(lower(text), 'non') THEN 0.9 ELSE 0.6 END AS score FROM conversations) x""")
+def q_classify_scored(spark, sf):
+    """Sentiment from a pandas-UDF scorer (Arrow batches), rules JVM-side."""
+    cv = read_table(spark, sf, "conversations")
+    scorer = al.sentiment_udf(_lexicon_model)
+    s = cv.select("conv_id", "turn", "text", scorer(F.col("text")).alias("s"))
+    return s.select("conv_id", "turn", al.classify("text", "s.label", "s.score", **CONV_WORDS).alias("ai_analysis"))

@@ -177,3 +177,31 @@ def q_scd2_users(spark, sf):
 def q_scd2_second_run(spark, sf):
     """Applying the same batch again changes nothing."""
     return _scd_runs(spark, sf, 2)
+
+
+@query("date_dim_extend", """
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS date,
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name,
+  CAST(quarter(d) AS INTEGER) AS quarter, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
+  CASE WHEN dayofweek(d) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend
+FROM (SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE),
+      INTERVAL 1 DAY)) AS DATE) AS d FROM orders)""")
+def q_date_dim_extend(spark, sf):
+    """A calendar that stops 30 days before the newest order is extended up
+    to that day ("today" = newest order date); written, then appended."""
+    from lakeshelf.session import materialize
+    o = read_table(spark, sf, "orders")
+    bounds = o.agg(F.min("o_orderdate").cast("date").alias("s"),
+                   F.date_sub(F.max("o_orderdate").cast("date"), 30).alias("e"))
+    old = materialize(dm.date_dim(spark, F.col("s"), F.col("e"), source=bounds), "dim_dates")
+    today = o.agg(F.max("o_orderdate").cast("date")).first()[0]
+    return old.unionByName(dm.extend_date_dim(old, today))
+
+
+@query("limit_n", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")
+def q_limit_n(spark, sf):
+    """Top-10 report (the limit is the feature): TakeOrderedAndProject keeps
+    10 rows per partition, never a global sort."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return o.orderBy(F.desc("o_totalprice"), F.asc("o_orderkey")).limit(10)

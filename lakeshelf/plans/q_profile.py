@@ -96,3 +96,10 @@ SELECT count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'R') AS returned
 def q_filtered_count(spark, sf):
     li = read_table(spark, sf, "lineitem")
     return pr.filtered_count(li, {"returned": F.col("l_returnflag") == "R", "big": F.col("l_quantity") > 45})
+
+
+@query("nan_to_null", f"""
+SELECT l_orderkey, l_linenumber, CASE WHEN isnan(disc) THEN NULL ELSE disc END AS disc, tax
+FROM {NAN_LINEITEM_SQL} x""")
+def q_nan_to_null(spark, sf):
+    return cl.nan_to_null(_nan_lineitem(spark, sf))

@@ -10,7 +10,7 @@ from lakeshelf.operators import dims as dm
 from lakeshelf.operators.facts import Lookup, resolve_keys
 from lakeshelf.session import checked_broadcast, materialize
 
-LATEST = [F.col("created_at"), F.col("row_id")]
+LATEST = ["created_at", "row_id"]
 USER_TRACKED = ["user_name", "advertiser_type", "is_verified"]
 CATEGORY_KEYS = ["property_type", "transaction_type"]
 FEATURE_KEYS = ["has_air_condition", "has_kitchen", "has_furnished", "is_daily_rentable", "rent_period"]

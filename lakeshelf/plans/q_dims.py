@@ -14,7 +14,7 @@ from lakeshelf.session import read_table
 
 # Change batches of the listing table: A = versions 0..2, B = versions 3 and up.
 SPLIT_VERSION = 2
-LATEST = [F.col("created_at"), F.col("row_id")]
+LATEST = ["created_at", "row_id"]
 
 
 def _batches(spark, sf):

@@ -60,31 +60,48 @@ def dedup_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.select(*(cols or df.columns)).dropDuplicates()
 
 
-def with_surrogate_key(df: DataFrame, order: Sequence[str], start: int = 0, name: str = "id",
-                       partitions: int | None = None, nulls_last: bool = True) -> DataFrame:
-    """Dense ids ``start+1, start+2, ...`` in ``order`` without a global
-    single-task window.
-
-    The rows are range-partitioned on ``order`` and sorted inside each
-    partition; ``monotonically_increasing_id`` then carries (partition, index
-    in partition). The positions are written to the shared scratch folder so
-    that a lost executor cannot re-sample the ranges and renumber rows. The
-    per-partition row counts (one row per partition, a proven bound) give each
-    partition its offset."""
+def positions(df: DataFrame, order: Sequence[str], weight: str | None = None, name: str = "__pos",
+              partitions: int | None = None, nulls_last: bool = True) -> DataFrame:
+    """Add ``name`` = 0-based position of each row in the global ``order``;
+    with ``weight``, the sum of the weights of all earlier rows (an exclusive
+    running total), without a global single-task window.
+
+    Rows are range-partitioned on ``order`` and sorted inside each partition;
+    ``monotonically_increasing_id`` then carries (partition, index). That
+    placement is written to the shared scratch folder so a lost executor
+    cannot re-sample the ranges and renumber rows. Per-partition totals (one
+    row per partition: a proven bound) give each partition its offset; with
+    a weight, the running total inside a partition is a window over that
+    partition only (range partitions are balanced)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     so = [(F.asc_nulls_last(c) if nulls_last else F.asc_nulls_first(c)) for c in order]
+    mid = F.monotonically_increasing_id()
     placed = (df.repartitionByRange(n, *so).sortWithinPartitions(*so)
-                .withColumn("__mid", F.monotonically_increasing_id()))
-    placed = materialize(placed, "surrogate")
-    part = F.shiftright("__mid", 33)
-    pos = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = placed.groupBy(part.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    # ``counts`` has at most ``n`` rows: ordering it in one task is bounded.
-    offsets = counts.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
-    out = placed.join(F.broadcast(offsets), part == F.col("__pid"))
-    return out.select((F.lit(start) + F.col("__off") + pos + 1).cast("bigint").alias(name),
-                      *[F.col(f"`{c}`") for c in df.columns])
+                .withColumn("__mid", mid)
+                .withColumn("__pid", F.shiftright("__mid", 33))
+                .withColumn("__idx", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    placed = materialize(placed, "positions")
+    w = F.col(weight) if weight else F.lit(1)
+    totals = placed.groupBy("__pid").agg(F.sum(w).alias("__n"))
+    # ``totals`` has at most ``n`` rows: ordering it in one task is bounded.
+    offsets = totals.select("__pid", (F.sum("__n").over(Window.orderBy("__pid")) - F.col("__n")).alias("__off"))
+    out = placed.join(F.broadcast(offsets), "__pid")
+    if weight is None:
+        inner = F.col("__idx")
+    else:
+        before = Window.partitionBy("__pid").orderBy("__idx").rowsBetween(Window.unboundedPreceding, -1)
+        inner = F.coalesce(F.sum(w).over(before), F.lit(0))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns],
+                      (F.col("__off") + inner).cast("bigint").alias(name))
+
+
+def with_surrogate_key(df: DataFrame, order: Sequence[str], start: int = 0, name: str = "id",
+                       partitions: int | None = None, nulls_last: bool = True) -> DataFrame:
+    """Dense ids ``start+1, start+2, ...`` in ``order`` (see :func:`positions`)."""
+    p = positions(df, order, name="__pos", partitions=partitions, nulls_last=nulls_last)
+    return p.select((F.lit(start) + F.col("__pos") + 1).cast("bigint").alias(name),
+                    *[F.col(f"`{c}`") for c in df.columns])
 
 
 def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool,

@@ -3,7 +3,7 @@ lookups, and the gated incremental load around it."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Mapping, Sequence
 
@@ -25,7 +25,7 @@ class Lookup:
     alias: str
     where: Column | None = None
     null_safe: bool = False
-    opts: dict = field(default_factory=dict)
+    stored: bool = True  # the dimension is a stored table (count it in place)
 
 
 def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str | Column]) -> DataFrame:
@@ -40,7 +40,7 @@ def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str
         d = lk.dim.where(lk.where) if lk.where is not None else lk.dim
         names = [f"__l{i}_{j}" for j in range(len(lk.on))]
         d = d.select(*[F.col(dc).alias(n) for dc, n in zip(lk.on, names)], F.col(lk.take).alias(lk.alias))
-        d = checked_broadcast(d)
+        d = checked_broadcast(d, stored=lk.stored)
         conds = []
         for (dc, fc), n in zip(lk.on.items(), names):
             fcol = F.col(fc) if isinstance(fc, str) else fc

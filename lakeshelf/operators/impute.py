@@ -85,25 +85,46 @@ def median_lookup(df: DataFrame, group: str, cols: Iterable[str], exact: bool =
 
 
 def group_lookups(df: DataFrame, group: str, modes: Iterable[str] = (),
-                  medians: Iterable[str] = (), exact: bool = False) -> DataFrame:
-    """All lookups keyed by ``__grp``, columns ``mode_<c>`` / ``median_<c>``."""
-    modes, medians = list(modes), list(medians)
+                  medians: Iterable[str] = (), exact: bool = False,
+                  wide_modes: Iterable[str] = ()) -> DataFrame:
+    """All lookups keyed by ``__grp``, columns ``mode_<c>`` / ``median_<c>``.
+
+    Small-domain mode columns and approximate medians are ONE aggregate
+    (``mode(c, deterministic=True)``: most frequent, ties to the smallest;
+    ``percentile_approx``: a bounded sketch), both partially aggregated on
+    the map side, so a hot group costs one buffer per task. Columns listed in
+    ``wide_modes`` (many distinct values per group, where a per-group value
+    map would grow) use the two-level count of :func:`mode_lookup`; exact
+    medians use :func:`exact_median`. Those extra lookups are joined on the
+    group key (one row per group on each side)."""
+    modes, medians, wide = list(modes), list(medians), set(wide_modes)
+    narrow = [c for c in modes if c not in wide]
+    aggs = [F.mode(c, True).alias(f"mode_{c}") for c in narrow]
+    if not exact:
+        aggs += [F.percentile_approx(c, 0.5, 10000).alias(f"median_{c}") for c in medians]
     parts = []
-    if modes:
-        m = mode_lookup(df, group, modes)
-        parts.append(m.select(_G, *[F.col(c).alias(f"mode_{c}") for c in modes]))
-    if medians:
-        md = median_lookup(df, group, medians, exact=exact)
-        parts.append(md.select(_G, *[F.col(c).alias(f"median_{c}") for c in medians]))
+    if aggs:
+        parts.append(df.groupBy(F.col(group).alias(_G)).agg(*aggs))
+    if wide & set(modes):
+        w = [c for c in modes if c in wide]
+        m = mode_lookup(df, group, w)
+        parts.append(m.select(_G, *[F.col(c).alias(f"mode_{c}") for c in w]))
+    if exact:
+        for c in medians:
+            m = exact_median(df, group, c, interpolate=False, name=f"median_{c}")
+            parts.append(m.withColumnRenamed(group, _G))
     out = parts[0]
     for p in parts[1:]:
-        out = out.join(p, _G, "full")
+        out = out.join(p, out[_G].eqNullSafe(p[_G]), "full").select(
+            F.coalesce(out[_G], p[_G]).alias(_G), *[out[c] for c in out.columns if c != _G],
+            *[p[c] for c in p.columns if c != _G])
     return out
 
 
 def impute(df: DataFrame, group: str, modes: Mapping[str, object] | None = None,
            medians: Mapping[str, object] | None = None, exact: bool = False,
-           overwrite: bool = False, lookups: DataFrame | None = None) -> DataFrame:
+           overwrite: bool = False, lookups: DataFrame | None = None,
+           wide_modes: Iterable[str] = ()) -> DataFrame:
     """Fill missing values from per-group lookups in one pass.
 
     ``modes`` / ``medians`` map column -> default used when the row's group has
@@ -115,7 +136,7 @@ def impute(df: DataFrame, group: str, modes: Mapping[str, object] | None = None,
     modes, medians = dict(modes or {}), dict(medians or {})
     if not modes and not medians:
         return df
-    lk = lookups if lookups is not None else group_lookups(df, group, modes, medians, exact)
+    lk = lookups if lookups is not None else group_lookups(df, group, modes, medians, exact, wide_modes)
     lk = checked_broadcast(lk)
     joined = df.join(lk, df[group] == lk[_G], "left")
     repl = {}
@@ -154,26 +175,36 @@ def median_by_group(df: DataFrame, group: str, col: str, exact: bool = False) ->
 
 def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool = True,
                  name: str | None = None) -> DataFrame:
-    """Exact per-group median without holding a group in one task.
-
-    Rows (group, value) are numbered in one global order by a range shuffle
-    (:func:`with_surrogate_key`), which spreads even a hot group over many
-    partitions. Per group, the first position and the count give the one
-    or two middle positions; those positions are joined back on the position
-    alone (a balanced equi-join). ``interpolate`` averages the two middle
-    values (pandas/``median``); otherwise the lower one (``percentile_disc``).
+    """Exact per-group median that never gathers a group, or a repeated
+    value, in one task.
+
+    1. (group, value) pairs are counted with map-side partial aggregation, so
+       a value repeated a billion times is one row;
+    2. the pairs get weighted global positions (:func:`positions`: a range
+       shuffle spreads even a hot group over many partitions);
+    3. per group, the first position and the total count give the one or two
+       middle ranks; each pair covers ranks [pos, pos + count), so the pair
+       holding a middle rank is found with a join on the group (the per-group
+       table is size-checked before broadcasting) and a range filter.
+
+    ``interpolate`` averages the two middle values (pandas ``median``,
+    ``quantile_cont``); otherwise the lower one (``percentile_disc(0.5)``).
     NULL values are ignored; a group with no values is absent."""
-    from lakeshelf.operators.dims import with_surrogate_key
+    from lakeshelf.operators.dims import positions
     name = name or f"median_{col}"
     g = F.col(group) if group else F.lit(0)
-    x = df.select(g.alias(_G), F.col(col).alias("__v")).where(F.col("__v").isNotNull())
-    pos = with_surrogate_key(x, [_G, "__v"], start=-1, name="__pos")
-    stats = pos.groupBy(_G).agg(F.min("__pos").alias("__s"), F.count(F.lit(1)).alias("__n"))
-    lo = F.col("__s") + F.floor((F.col("__n") - 1) / 2)
-    hi = (F.col("__s") + F.ceil((F.col("__n") - 1) / 2)) if interpolate else lo
-    mids = stats.select(F.explode(F.array_distinct(F.array(lo.cast("bigint"), hi.cast("bigint")))).alias("__pos"))
-    # two rows per group at most: size-checked before broadcasting
-    picked = pos.join(checked_broadcast(mids), "__pos")
-    agg = F.avg("__v") if interpolate else F.min("__v")
-    out = picked.groupBy(_G).agg(agg.alias(name))
+    pairs = (df.select(g.alias(_G), F.col(col).alias("__v")).where(F.col("__v").isNotNull())
+               .groupBy(_G, "__v").agg(F.count(F.lit(1)).alias("__c")))
+    pos = positions(pairs, [_G, "__v"], weight="__c", name="__p")
+    stats = pos.groupBy(_G).agg(F.min("__p").alias("__s"), F.sum("__c").alias("__n"))
+    stats = stats.select(F.col(_G).alias("__g2"),
+                         (F.col("__s") + F.floor((F.col("__n") - 1) / 2)).cast("bigint").alias("__lo"),
+                         (F.col("__s") + F.ceil((F.col("__n") - 1) / 2)).cast("bigint").alias("__hi"))
+    hit = lambda r: (F.col("__p") <= r) & (r < F.col("__p") + F.col("__c"))
+    j = pos.join(checked_broadcast(stats), pos[_G].eqNullSafe(F.col("__g2")))
+    j = j.where(hit(F.col("__lo")) | hit(F.col("__hi")))
+    lo_v = F.max(F.when(hit(F.col("__lo")), F.col("__v")))
+    hi_v = F.max(F.when(hit(F.col("__hi")), F.col("__v")))
+    val = ((lo_v + hi_v) / 2) if interpolate else lo_v
+    out = j.groupBy(_G).agg(val.alias(name))
     return out.withColumnRenamed(_G, group) if group else out.drop(_G)

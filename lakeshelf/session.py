@@ -117,20 +117,22 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def checked_broadcast(small: DataFrame, max_bytes: int | None = None,
-                      known_rows: int | None = None) -> DataFrame:
+                      known_rows: int | None = None, stored: bool = False) -> DataFrame:
     """Return ``small`` with a broadcast hint only if its size is proven to be
     under ``max_bytes`` (default: the session's broadcast threshold).
 
     ``known_rows`` is a proven upper bound (e.g. a literal code table); without
     it the side is written to the scratch folder and counted from parquet
-    metadata. Above the limit the side is returned unhinted, so the join
-    shuffles on its keys and AQE may still split skewed partitions."""
+    metadata; ``stored=True`` says ``small`` already reads a stored table, so
+    it is counted in place. Above the limit the side is returned unhinted, so
+    the join shuffles on its keys and AQE may still split skewed partitions."""
     spark = small.sparkSession
     limit = broadcast_limit(spark) if max_bytes is None else max_bytes
     if limit <= 0:
         return small
     if known_rows is None:
-        small = materialize(small, "lookup")
+        if not stored:
+            small = materialize(small, "lookup")
         known_rows = small.count()
     if known_rows * row_width(small.schema) <= limit:
         return F.broadcast(small)

@@ -111,3 +111,11 @@ def test_dedup_latest_hot_key(spark):
     df = spark.range(0, 5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     got = rows(dm.dedup_latest(df, ["k"], ["ts"]))
     assert got == [(0, 4998), (1, 4999), (2, 4997)]
+
+
+def test_exact_median_hot_value_and_group(spark):
+    import pandas as pd
+    data = [("a", 5.0)] * 3000 + [("a", 1.0), ("a", 9.0), ("a", 2.0)] + [("b", float(i)) for i in range(10)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(4)
+    pdf = pd.DataFrame(data, columns=["g", "v"])
+    assert dict(im.exact_median(df, "g", "v").collect()) == pdf.groupby("g")["v"].median().to_dict()

@@ -60,10 +60,8 @@ def q_ingest_partitioned(spark, sf):
     """Manifest (a JSON array file) -> dated bronze folders -> partitioned
     JSON read; year/month/day come back as integer partition columns."""
     mpath = scratch_path(spark, "manifest")
-    os.makedirs(mpath, exist_ok=True)  # local-mode check only; production manifests live in storage
-    with open(os.path.join(mpath, "param.json"), "w") as fh:
-        json.dump(MANIFEST, fh)
-    entries = [r.asDict() for r in io.read_manifest(spark, mpath).collect()]  # config rows
+    state.write_text(spark, f"{mpath}/param.json", json.dumps(MANIFEST))  # one JSON array file
+    entries = [r.asDict() for r in io.read_manifest(spark, mpath).collect()]  # a few config rows
     dst = scratch_path(spark, "bronze")
     io.ingest(spark, entries, sf, dst, AS_OF)
     posts = io.read_json_partitioned(

@@ -33,7 +33,9 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file through the Hadoop file system (any scheme the
+    cluster supports), replacing it by rename."""
     fs, p = _hadoop_fs(spark, path)
     tmp = spark._jvm.org.apache.hadoop.fs.Path(path + f".{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
@@ -67,7 +69,7 @@ def write_state(state: DataFrame, root: str) -> None:
     spark = state.sparkSession
     snap = f"snapshot-{uuid.uuid4().hex[:12]}"
     state.select("table_name", "mark").write.mode("overwrite").parquet(os.path.join(root, snap))
-    _write_text(spark, _pointer(root), snap)
+    write_text(spark, _pointer(root), snap)
 
 
 def seed_marks(spark: SparkSession, root: str, names: Iterable[str], value: str) -> None:

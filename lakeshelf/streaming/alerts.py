@@ -86,11 +86,20 @@ def enrich(events: DataFrame, listings: DataFrame, key: str = "row_id",
            ref: str = "listing_ref", max_event_rows: int | None = None) -> DataFrame:
     """Inner join of interactions to listings on ``ref = key``.
 
-    The listing side is reduced to one row per key first (a duplicated
-    listing would otherwise raise one alert per copy). When the event side
-    has a proven row bound (a micro-batch under a per-trigger limit) it is
-    broadcast and the listing table is neither shuffled nor cached."""
+    The listing side is reduced to one row per key (a duplicated listing
+    would otherwise raise one alert per copy). For a static batch (a
+    micro-batch inside ``foreachBatch``) the listing table is first
+    semi-joined to the batch's keys, so only matching listings are
+    de-duplicated; when a per-trigger limit bounds the batch
+    (``max_event_rows``) those keys are broadcast and the listing table is
+    filtered during its scan instead of being shuffled. A streaming
+    ``events`` frame gets the plain stream-static join."""
     cols = [c for c in listings.columns if c != key]
+    if not events.isStreaming:
+        keys = events.select(F.col(ref).alias(key)).where(F.col(key).isNotNull()).distinct()
+        if max_event_rows:
+            keys = checked_broadcast(keys, known_rows=max_event_rows)
+        listings = listings.join(keys, key, "left_semi")
     first = F.min_by(F.struct(*cols), F.struct(*cols))
     one = listings.groupBy(key).agg(first.alias("__r")).select(key, *[F.col(f"__r.{c}").alias(c) for c in cols])
     ev = checked_broadcast(events, known_rows=max_event_rows) if max_event_rows else events

@@ -116,27 +116,42 @@ def broadcast_limit(spark: SparkSession) -> int:
         return 10 << 20
 
 
+def measured_bytes(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df`` in one aggregate: fixed-width columns by their
+    width, strings and binaries by their actual byte length, other nested
+    values by a flat estimate."""
+    var = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = row_width(T.StructType([f for f in df.schema.fields if f.name not in var]))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)).alias(f"b{i}") for i, c in enumerate(var)]
+    r = df.agg(*aggs).first()
+    rows = int(r[0])
+    return rows, rows * (fixed + 8 * len(var)) + sum(int(x) for x in r[1:])
+
+
 def checked_broadcast(small: DataFrame, max_bytes: int | None = None,
                       known_rows: int | None = None, stored: bool = False) -> DataFrame:
     """Return ``small`` with a broadcast hint only if its size is proven to be
     under ``max_bytes`` (default: the session's broadcast threshold).
 
-    ``known_rows`` is a proven upper bound (e.g. a literal code table); without
-    it the side is written to the scratch folder and counted from parquet
-    metadata; ``stored=True`` says ``small`` already reads a stored table, so
-    it is counted in place. Above the limit the side is returned unhinted, so
-    the join shuffles on its keys and AQE may still split skewed partitions."""
+    ``known_rows`` is a proven upper bound on the rows (e.g. a literal code
+    table, or the stored table a key join cannot grow); the bytes are then
+    estimated from the schema. Otherwise the side is written to the shared
+    scratch folder (``stored=True``: it already reads a stored table) and
+    measured: row count and the actual byte length of its text columns. Above
+    the limit the side is returned unhinted, so the join shuffles on its keys
+    and AQE may still split skewed partitions."""
     spark = small.sparkSession
     limit = broadcast_limit(spark) if max_bytes is None else max_bytes
     if limit <= 0:
         return small
-    if known_rows is None:
+    if known_rows is not None:
+        size = known_rows * row_width(small.schema)
+    else:
         if not stored:
             small = materialize(small, "lookup")
-        known_rows = small.count()
-    if known_rows * row_width(small.schema) <= limit:
-        return F.broadcast(small)
-    return small
+        _, size = measured_bytes(small)
+    return F.broadcast(small) if size <= limit else small
 
 
 def table_path(sf_dir: str, name: str) -> str:

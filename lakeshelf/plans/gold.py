@@ -79,3 +79,37 @@ def city_month_report(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     j = fact.join(checked_broadcast(cities), "city_id", "left").join(checked_broadcast(dates), "date_id", "left")
     return (j.groupBy("city", "year", "month")
              .agg(F.count(F.lit(1)).alias("listings"), F.round(F.avg("price"), 2).alias("avg_price")))
+
+
+DIM_NAMES = ("users", "cities", "districts", "categories", "features", "dates")
+
+
+def run_gold(spark, silver_versions: DataFrame, root: str, until: int | None = None) -> bool:
+    """One gated gold increment over a versioned silver table.
+
+    current silver version -> last gold mark -> gate -> changes in
+    (last, current] -> dimensions first (each written as version ``current``
+    of its table, so the next run reads them back) -> the fact, appended as
+    version ``current`` -> mark. Every write replaces only its version
+    folder, and the mark moves last, so a failed run can simply be rerun."""
+    from lakeshelf.sources import io, state
+
+    cur = until if until is not None else io.current_version(silver_versions).first()[0]
+    if cur is None:
+        return False
+
+    def step(last):
+        since = -1 if last is None else int(last)
+        changes = io.read_changes(silver_versions, since, cur).drop(io.VERSION)
+        prev = None
+        if last is not None:
+            prev = {n: io.read_versions(spark, f"{root}/dim_{n}").where(F.col(io.VERSION) == int(last))
+                          .drop(io.VERSION) for n in DIM_NAMES}
+        dims = build_dims(changes, prev)
+        for n, d in dims.items():
+            io.append_version(d, f"{root}/dim_{n}", version=cur)
+        stored = {n: io.read_versions(spark, f"{root}/dim_{n}").where(F.col(io.VERSION) == cur)
+                        .drop(io.VERSION) for n in DIM_NAMES}
+        io.append_version(build_fact(changes, stored), f"{root}/fact_posts", version=cur)
+
+    return state.run_step(spark, f"{root}/state", "fact_posts", int(cur), step)

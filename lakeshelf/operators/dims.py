@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F

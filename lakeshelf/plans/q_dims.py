@@ -4,7 +4,6 @@ insert-only upserts over two change batches, type-2 history."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeshelf.operators import dims as dm
 from lakeshelf.plans.registry import query

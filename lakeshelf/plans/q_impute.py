@@ -3,7 +3,6 @@ made by rules on other columns; group = supplier, itself sometimes NULL)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from lakeshelf.operators import impute as im
 from lakeshelf.plans.registry import query

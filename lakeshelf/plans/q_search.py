@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from lakeshelf.operators import search as se
 from lakeshelf.plans.registry import query

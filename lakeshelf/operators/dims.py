@@ -73,11 +73,12 @@ def positions(df: DataFrame, order: Sequence[str], weight: str | None = None, na
     row per partition: a proven bound) give each partition its offset; with
     a weight, the running total inside a partition is a window over that
     partition only (range partitions are balanced)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     so = [(F.asc_nulls_last(c) if nulls_last else F.asc_nulls_first(c)) for c in order]
     mid = F.monotonically_increasing_id()
-    placed = (df.repartitionByRange(n, *so).sortWithinPartitions(*so)
+    # Without an explicit count the shuffle uses the session's partition
+    # count and AQE may merge adjacent (still ordered) ranges.
+    ranged = df.repartitionByRange(partitions, *so) if partitions else df.repartitionByRange(*so)
+    placed = (ranged.sortWithinPartitions(*so)
                 .withColumn("__mid", mid)
                 .withColumn("__pid", F.shiftright("__mid", 33))
                 .withColumn("__idx", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))

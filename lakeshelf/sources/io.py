@@ -30,7 +30,10 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str, fmt: str = "parquet",
                schema: T.StructType | str | None = None, **options) -> DataFrame:
-    """Read ``<root>/<layer>/<table>`` in ``fmt``."""
+    """Read ``<root>/<layer>/<table>`` in ``fmt``; ``fmt="table"`` reads the
+    catalog table ``<layer>.<table>`` (``root`` is then the catalog, or empty)."""
+    if fmt == "table":
+        return spark.table(".".join(p for p in (root, layer, table) if p))
     r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)

@@ -53,3 +53,9 @@ def test_incremental_replay(spark):
     assert incremental(spark, st, "x", src, dst_p, ident)
     assert not incremental(spark, st, "x", src, dst_p, ident)
     assert io.read_versions(spark, dst_p).count() == 6
+
+
+def test_read_layer_catalog_table(spark, sf):
+    df = io.read_layer(spark, sf, "", "orders.parquet")
+    df.createOrReplaceTempView("lakeshelf_orders_view")
+    assert io.read_layer(spark, "", "", "lakeshelf_orders_view", fmt="table").count() == df.count()

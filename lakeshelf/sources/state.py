@@ -1,7 +1,8 @@
-"""Incremental-load state: high-water marks per table, kept in a small
-parquet table (``table_name``, ``mark`` as text, ``kind``).
+"""Incremental-load state: high-water marks per table (``table_name``,
+``mark`` as text), a handful of control rows kept as a JSON-lines snapshot
+file in the shared folder.
 
-Writing a mark creates a new snapshot folder and then points a one-line
+Writing marks creates a new snapshot file and then points a one-line
 ``_CURRENT`` file at it, so readers never see a half-written state, and
 the data write always precedes the mark write (``run_step``): a failure
 between the two replays the same, idempotent, version write.
@@ -9,12 +10,12 @@ between the two replays the same, idempotent, version write.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SCHEMA = "table_name string, mark string"
 
@@ -58,44 +59,57 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
     return line.strip() if line else None
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
+def read_marks(spark: SparkSession, root: str) -> dict[str, str]:
+    """The current marks as {table_name: mark} (a few control rows, read
+    through the file system without a Spark job)."""
     snap = _read_text(spark, _pointer(root))
     if snap is None:
-        return spark.createDataFrame([], SCHEMA)
-    return spark.read.parquet(os.path.join(root, snap))
+        return {}
+    fs, p = _hadoop_fs(spark, os.path.join(root, snap))
+    jio = spark._jvm.java.io
+    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
+    marks = {}
+    try:
+        line = reader.readLine()
+        while line is not None:
+            if line.strip():
+                row = json.loads(line)
+                marks[row["table_name"]] = row["mark"]
+            line = reader.readLine()
+    finally:
+        reader.close()
+    return marks
 
 
-def write_state(state: DataFrame, root: str) -> None:
-    spark = state.sparkSession
-    snap = f"snapshot-{uuid.uuid4().hex[:12]}"
-    state.select("table_name", "mark").write.mode("overwrite").parquet(os.path.join(root, snap))
+def write_marks(spark: SparkSession, root: str, marks: dict[str, str]) -> None:
+    """Write a new snapshot of the marks, then point ``_CURRENT`` at it: a
+    reader sees the old or the new state, never a partial one."""
+    snap = f"snapshot-{uuid.uuid4().hex[:12]}.json"
+    body = "\n".join(json.dumps({"table_name": k, "mark": str(v)}) for k, v in sorted(marks.items()))
+    write_text(spark, os.path.join(root, snap), body + "\n")
     write_text(spark, _pointer(root), snap)
 
 
-def seed_marks(spark: SparkSession, root: str, names: Iterable[str], value: str) -> None:
-    """Create (or reset) marks for ``names`` to ``value``."""
-    names = list(names)
-    cur = read_state(spark, root).where(~F.col("table_name").isin(names))
-    new = spark.createDataFrame([(n, value) for n in names], SCHEMA)
-    write_state(_snapshot(cur.unionByName(new)), root)
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """The marks as a (table_name, mark) DataFrame."""
+    return spark.createDataFrame(sorted(read_marks(spark, root).items()), SCHEMA)
 
 
-def _snapshot(df: DataFrame) -> DataFrame:
-    # The state table is tiny (one row per table); pulling it to the driver
-    # lets the new snapshot be written without reading the folder it replaces.
-    rows = df.collect()
-    return df.sparkSession.createDataFrame(rows, SCHEMA)
+def seed_marks(spark: SparkSession, root: str, names: Iterable[str], value: str) -> None:
+    """Create (or reset) marks for ``names`` to ``value``."""
+    marks = read_marks(spark, root)
+    marks.update({n: str(value) for n in names})
+    write_marks(spark, root, marks)
 
 
 def get_mark(spark: SparkSession, root: str, name: str) -> str | None:
-    rows = read_state(spark, root).where(F.col("table_name") == name).select("mark").collect()
-    return rows[0][0] if rows else None
+    return read_marks(spark, root).get(name)
 
 
 def set_mark(spark: SparkSession, root: str, name: str, value) -> None:
-    cur = read_state(spark, root).where(F.col("table_name") != name)
-    new = spark.createDataFrame([(name, str(value))], SCHEMA)
-    write_state(_snapshot(cur.unionByName(new)), root)
+    marks = read_marks(spark, root)
+    marks[name] = str(value)
+    write_marks(spark, root, marks)
 
 
 def if_newer(last, current) -> bool:

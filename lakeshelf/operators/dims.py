@@ -20,10 +20,6 @@ from lakeshelf.session import materialize
 _ROW = "__row"
 
 
-def _cols(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in df.columns]
-
-
 def _order_struct(order: Sequence[Column | str]) -> Column:
     return F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}")
                       for i, o in enumerate(order)])

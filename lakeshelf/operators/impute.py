@@ -59,7 +59,12 @@ def mode_lookup(df: DataFrame, group: str, cols: Iterable[str]) -> DataFrame:
         wide = counts.groupBy(_G).agg(*[
             _pick_mode(F.col("__val"), F.when(F.col("__col") == n, F.col("__n"))).alias(n)
             for n in names])
-        result = wide if result is None else result.join(wide, _G, "full")
+        if result is None:
+            result = wide
+        else:
+            result = result.join(wide, result[_G].eqNullSafe(wide[_G]), "full").select(
+                F.coalesce(result[_G], wide[_G]).alias(_G),
+                *[result[c] for c in result.columns if c != _G], *[wide[c] for c in names])
     return result
 
 

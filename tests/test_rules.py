@@ -119,3 +119,13 @@ def test_exact_median_hot_value_and_group(spark):
     df = spark.createDataFrame(data, "g string, v double").repartition(4)
     pdf = pd.DataFrame(data, columns=["g", "v"])
     assert dict(im.exact_median(df, "g", "v").collect()) == pdf.groupby("g")["v"].median().to_dict()
+
+
+def test_wide_mode_path_matches_narrow(spark):
+    data = [(i % 4 if i % 7 else None, (i * 3) % 5 if i % 6 else None, float(i % 3) if i % 5 else None)
+            for i in range(200)]
+    df = spark.createDataFrame(data, "g int, a int, b double")
+    narrow = im.impute(df, "g", modes={"a": 1, "b": 1.0})
+    wide = im.impute(df, "g", modes={"a": 1, "b": 1.0}, wide_modes=["a", "b"])
+    assert rows(narrow) == rows(wide)
+    assert narrow.count() == 200

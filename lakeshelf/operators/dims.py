@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.dates import date_attributes
-from lakeshelf.session import materialize
+from lakeshelf.session import materialize, path_exists
 
 _ROW = "__row"
 
@@ -141,7 +141,7 @@ def upsert_dim(dim: DataFrame, delta: DataFrame, keys: Sequence[str], attrs: Seq
 
 def scd2(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], tracked: Sequence[str],
          sk: str = "id", active: str = "is_active", null_safe: bool = False,
-         order: Sequence[Column | str] | None = None) -> DataFrame:
+         order: Sequence[Column | str] | None = None, id_start: int | None = None) -> DataFrame:
     """Flag-style slowly changing dimension (type 2 without validity dates).
 
     1. the delta is reduced to one row per key (latest by ``order``);
@@ -172,11 +172,52 @@ def scd2(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], tracked: Se
     updated = materialize(updated, "scd2")
     still = updated.where(F.col(active) == 1).select(*[F.col(k).alias(f"__a_{k}") for k in keys])
     new = d.join(still, _key_match(d, still, keys, null_safe, "__a_"), "left_anti")
-    new = with_surrogate_key(new, keys, start=max_id(updated, sk), name=sk)
+    start = max_id(updated, sk) if id_start is None else id_start
+    new = with_surrogate_key(new, keys, start=start, name=sk)
     new = new.withColumn(active, F.lit(1).cast(dim.schema[active].dataType))
     return updated.unionByName(new.select(*dim.columns))
 
 
+# Type-2 history rewritten bucket by bucket ----------------------------------
+
+BUCKET = "_bucket"
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets)))
+
+
+def scd2_in_place(dim_path: str, delta: DataFrame, key: str | Sequence[str], tracked: Sequence[str],
+                  schema: str, buckets: int = 64, sk: str = "id", active: str = "is_active",
+                  null_safe: bool = False, order: Sequence[Column | str] | None = None) -> None:
+    """:func:`scd2` on a dimension stored at ``dim_path`` partitioned into
+    ``buckets`` hash buckets of the key: only the buckets the delta touches
+    are read (partition pruning) and rewritten (dynamic partition overwrite);
+    the rest of a large dimension is left as it is. New ids continue after
+    the largest id of the whole dimension. ``schema`` is the dimension's DDL
+    (used when it does not exist yet)."""
+    spark = delta.sparkSession
+    keys = [key] if isinstance(key, str) else list(key)
+    if order:
+        d = dedup_latest(delta, keys, order).select(*keys, *tracked)
+    else:
+        d = dedup_first(delta.select(*keys, *tracked), keys, list(tracked))
+    d = materialize(with_bucket(d, keys, buckets), "scd2_delta")
+    touched = [r[0] for r in d.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
+    if path_exists(spark, dim_path):
+        stored = spark.read.parquet(dim_path)
+    else:  # first run: no dimension yet
+        stored = with_bucket(spark.createDataFrame([], schema), keys, buckets)
+    start = max_id(stored, sk)
+    part = stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    out = scd2(part, d.drop(BUCKET), keys, tracked, sk=sk, active=active, null_safe=null_safe,
+               id_start=start)
+    # written to the shared folder first: the target buckets are being read
+    out = materialize(with_bucket(out, keys, buckets), "scd2_buckets")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET).parquet(dim_path))
+
+
 # The calendar dimension ------------------------------------------------------
 
 DATE_DIM_DEFAULT_LAST = _dt.date(2022, 12, 31)

@@ -204,3 +204,15 @@ def q_limit_n(spark, sf):
     10 rows per partition, never a global sort."""
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     return o.orderBy(F.desc("o_totalprice"), F.asc("o_orderkey")).limit(10)
+
+
+@query("scd2_bucketed", SCD2_SQL)
+def q_scd2_bucketed(spark, sf):
+    """The two SCD2 batches applied to a stored, bucketed dimension: each run
+    reads and rewrites only the buckets its delta touches."""
+    from lakeshelf.session import scratch_path
+    path = scratch_path(spark, "dim_users")
+    a, b = _batches(spark, sf)
+    for batch in (a, b):
+        dm.scd2_in_place(path, batch, "user_id", USER_TRACKED, SCD_SCHEMA, buckets=16, order=LATEST)
+    return spark.read.parquet(path).drop(dm.BUCKET)

@@ -51,7 +51,7 @@ def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str
     return out.select(*cols, *ids)
 
 
-def incremental(spark, state_root: str, mark_name: str, source: DataFrame, target_path: str,
+def incremental(spark, state_root: str, mark_name: str, source: DataFrame | str, target_path: str,
                 transform: Callable[[DataFrame], DataFrame], until: int | None = None) -> bool:
     """One gated increment of a versioned target from a versioned source:
 
@@ -59,8 +59,13 @@ def incremental(spark, state_root: str, mark_name: str, source: DataFrame, targe
     -> transform -> write as version ``current`` of the target -> move mark.
 
     The target write replaces its ``current`` version folder, so a replay
-    after a failure before the mark moves does not duplicate rows."""
-    cur = until if until is not None else io.current_version(source).first()[0]
+    after a failure before the mark moves does not duplicate rows. Given a
+    path, the current version comes from the folder listing (no job)."""
+    if isinstance(source, str):  # a versioned table path: version from the folder listing
+        cur = until if until is not None else io.latest_version(spark, source)
+        source = io.read_versions(spark, source)
+    else:
+        cur = until if until is not None else io.current_version(source).first()[0]
     if cur is None:
         return False
 

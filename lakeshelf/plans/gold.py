@@ -84,7 +84,7 @@ def city_month_report(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 DIM_NAMES = ("users", "cities", "districts", "categories", "features", "dates")
 
 
-def run_gold(spark, silver_versions: DataFrame, root: str, until: int | None = None) -> bool:
+def run_gold(spark, silver_versions: DataFrame | str, root: str, until: int | None = None) -> bool:
     """One gated gold increment over a versioned silver table.
 
     current silver version -> last gold mark -> gate -> changes in
@@ -94,7 +94,11 @@ def run_gold(spark, silver_versions: DataFrame, root: str, until: int | None = N
     folder, and the mark moves last, so a failed run can simply be rerun."""
     from lakeshelf.sources import io, state
 
-    cur = until if until is not None else io.current_version(silver_versions).first()[0]
+    if isinstance(silver_versions, str):  # a path: version from the folder listing
+        cur = until if until is not None else io.latest_version(spark, silver_versions)
+        silver_versions = io.read_versions(spark, silver_versions)
+    else:
+        cur = until if until is not None else io.current_version(silver_versions).first()[0]
     if cur is None:
         return False
 

@@ -74,10 +74,9 @@ def q_incremental_two_runs(spark, sf):
     bronze, target, marks = (os.path.join(root, p) for p in ("bronze", "silver", "state"))
     raw = raw_listings(spark, sf)
     io.append_version(raw.withColumn(io.VERSION, F.year("createdAt") - 1995), bronze)
-    src = io.read_versions(spark, bronze)
-    ran = [incremental(spark, marks, "silver_posts", src, target, silver.clean_listings, until=2),
-           incremental(spark, marks, "silver_posts", src, target, silver.clean_listings),
-           incremental(spark, marks, "silver_posts", src, target, silver.clean_listings)]
+    ran = [incremental(spark, marks, "silver_posts", bronze, target, silver.clean_listings, until=2),
+           incremental(spark, marks, "silver_posts", bronze, target, silver.clean_listings),
+           incremental(spark, marks, "silver_posts", bronze, target, silver.clean_listings)]
     if ran != [True, True, False]:
         raise RuntimeError(f"unexpected gate decisions {ran}")
     return io.read_versions(spark, target)
@@ -143,7 +142,7 @@ def q_gold_two_runs(spark, sf):
     root = scratch_path(spark, "gold")
     slv = silver.clean_listings(raw_listings(spark, sf))
     io.append_version(slv.withColumn(io.VERSION, F.year("created_at") - 1995), f"{root}/silver")
-    src = io.read_versions(spark, f"{root}/silver")
+    src = f"{root}/silver"
     ran = [gold.run_gold(spark, src, root, until=2), gold.run_gold(spark, src, root), gold.run_gold(spark, src, root)]
     if ran != [True, True, False]:
         raise RuntimeError(f"unexpected gate decisions {ran}")

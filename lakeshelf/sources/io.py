@@ -140,3 +140,24 @@ def current_version(table: DataFrame) -> DataFrame:
     """One row: the newest version. ``max`` of a partition column is answered
     from the file listing (no data pages read)."""
     return table.agg(F.max(VERSION).alias("current_version"))
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Newest version of the table at ``path`` from its folder listing alone
+    (one directory level, no Spark job); None if it has none."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    best = None
+    prefix = VERSION + "="
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            try:
+                v = int(name[len(prefix):])
+            except ValueError:
+                continue
+            best = v if best is None else max(best, v)
+    return best

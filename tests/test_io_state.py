@@ -59,3 +59,10 @@ def test_read_layer_catalog_table(spark, sf):
     df = io.read_layer(spark, sf, "", "orders.parquet")
     df.createOrReplaceTempView("lakeshelf_orders_view")
     assert io.read_layer(spark, "", "", "lakeshelf_orders_view", fmt="table").count() == df.count()
+
+
+def test_latest_version_from_listing(spark):
+    path = scratch_path(spark, "lv")
+    assert io.latest_version(spark, path) is None
+    io.append_version(spark.range(4).withColumn(io.VERSION, (F.col("id") + 3).cast("int")), path)
+    assert io.latest_version(spark, path) == 6

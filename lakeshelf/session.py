@@ -46,9 +46,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_scale_conf(spark: SparkSession) -> None:
+def apply_scale_conf(spark: SparkSession, input_bytes: int | None = None,
+                     target_partition_bytes: int = 256 << 20) -> None:
+    """Apply :data:`SCALE_CONF` to a (cluster) session. With the size of the
+    largest input, also size the shuffle so partitions stay near
+    ``target_partition_bytes``: the initial partition count covers the input
+    (AQE then merges small ones towards the advisory size and splits skewed
+    join partitions), and scans split files at the same size. For 100 TB at
+    256 MB that is about 400,000 initial shuffle partitions."""
     for k, v in SCALE_CONF.items():
         spark.conf.set(k, v)
+    if input_bytes:
+        parts = max(200, -(-int(input_bytes) // target_partition_bytes))
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
 
 
 def scratch_root(spark: SparkSession) -> str:

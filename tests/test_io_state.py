@@ -66,3 +66,15 @@ def test_latest_version_from_listing(spark):
     assert io.latest_version(spark, path) is None
     io.append_version(spark.range(4).withColumn(io.VERSION, (F.col("id") + 3).cast("int")), path)
     assert io.latest_version(spark, path) == 6
+
+
+def test_scale_conf_sizes_shuffle(spark):
+    from lakeshelf.session import apply_scale_conf
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_scale_conf(spark, input_bytes=100 * (1 << 40))
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 409600
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))

@@ -78,3 +78,4 @@ def test_scale_conf_sizes_shuffle(spark):
         spark.conf.set("spark.sql.shuffle.partitions", keep)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(64 << 20))

@@ -129,3 +129,10 @@ def test_wide_mode_path_matches_narrow(spark):
     wide = im.impute(df, "g", modes={"a": 1, "b": 1.0}, wide_modes=["a", "b"])
     assert rows(narrow) == rows(wide)
     assert narrow.count() == 200
+
+
+def test_keyword_phrases_and_metacharacters(spark):
+    from lakeshelf.functions.keywords import any_keyword
+    df = spark.createDataFrame([("نريد موعد معاينة غدا",), ("price (approx.) 5$",), ("nothing",)], "t string")
+    got = [r[0] for r in df.select(any_keyword("t", ["موعد معاينة", "(approx.)", "5$"])).collect()]
+    assert got == [True, True, False]

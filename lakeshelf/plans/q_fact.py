@@ -3,6 +3,7 @@ two-run incremental load of the silver table."""
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import functions as F
@@ -74,9 +75,10 @@ def q_incremental_two_runs(spark, sf):
     bronze, target, marks = (os.path.join(root, p) for p in ("bronze", "silver", "state"))
     raw = raw_listings(spark, sf)
     io.append_version(raw.withColumn(io.VERSION, F.year("createdAt") - 1995), bronze)
-    ran = [incremental(spark, marks, "silver_posts", bronze, target, silver.clean_listings, until=2),
-           incremental(spark, marks, "silver_posts", bronze, target, silver.clean_listings),
-           incremental(spark, marks, "silver_posts", bronze, target, silver.clean_listings)]
+    step = functools.partial(silver.clean_listings, dedup=True)  # one row per listing per change set
+    ran = [incremental(spark, marks, "silver_posts", bronze, target, step, until=2),
+           incremental(spark, marks, "silver_posts", bronze, target, step),
+           incremental(spark, marks, "silver_posts", bronze, target, step)]
     if ran != [True, True, False]:
         raise RuntimeError(f"unexpected gate decisions {ran}")
     return io.read_versions(spark, target)

@@ -77,9 +77,17 @@ def typed_projection(raw: DataFrame) -> DataFrame:
     return cl.project(raw, {out: cl.try_cast_col(src, t) for src, (out, t) in RAW_FIELDS.items()})
 
 
-def clean_listings(raw: DataFrame, group: str = "district", exact: bool = False) -> DataFrame:
+def clean_listings(raw: DataFrame, group: str = "district", exact: bool = False,
+                   dedup: bool = False) -> DataFrame:
+    """The silver chain. ``dedup=True`` first keeps one row per ``row_id``
+    (latest ``updated_at``; the whole row breaks ties), for feeds that
+    deliver a listing again when it is updated."""
     spark = raw.sparkSession
     df = typed_projection(raw)
+    if dedup:
+        from lakeshelf.operators.dims import dedup_latest
+        rest = [F.col(f"`{c}`") for c in df.columns if c != "row_id"]
+        df = dedup_latest(df, ["row_id"], [F.col("updated_at"), F.struct(*rest)])
     cats = code_table(spark, CATEGORY_CODES, CATEGORY_COLUMNS)
     # 23 literal rows: a proven size bound, so the broadcast is safe
     df = df.join(F.broadcast(cats), df["category"] == cats["category_id"], "left") \

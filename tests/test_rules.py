@@ -136,3 +136,13 @@ def test_keyword_phrases_and_metacharacters(spark):
     df = spark.createDataFrame([("نريد موعد معاينة غدا",), ("price (approx.) 5$",), ("nothing",)], "t string")
     got = [r[0] for r in df.select(any_keyword("t", ["موعد معاينة", "(approx.)", "5$"])).collect()]
     assert got == [True, True, False]
+
+
+def test_silver_dedup_keeps_latest_update(spark, sf):
+    from lakeshelf.plans import silver
+    from lakeshelf.plans.roles import raw_listings
+    raw = raw_listings(spark, sf)
+    again = raw.withColumn("updatedAt", F.col("updatedAt") + F.expr("INTERVAL 1 DAY")).withColumn("price", F.lit(1.0))
+    out = silver.clean_listings(raw.unionByName(again), dedup=True)
+    assert out.count() == raw.count()
+    assert out.where(F.col("price") != 1.0).count() == 0

@@ -190,7 +190,9 @@ def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool =
     3. per group, the first position and the total count give the one or two
        middle ranks; each pair covers ranks [pos, pos + count), so the pair
        holding a middle rank is found with a join on the group (the per-group
-       table is size-checked before broadcasting) and a range filter.
+       table is size-checked before broadcasting; past the limit the join
+       shuffles distinct pairs, and AQE splits a hot group's partition) and a
+       range filter.
 
     ``interpolate`` averages the two middle values (pandas ``median``,
     ``quantile_cont``); otherwise the lower one (``percentile_disc(0.5)``).

@@ -152,3 +152,19 @@ def q_classify_scored(spark, sf):
     scorer = al.sentiment_udf(_lexicon_model)
     s = cv.select("conv_id", "turn", "text", scorer(F.col("text")).alias("s"))
     return s.select("conv_id", "turn", al.classify("text", "s.label", "s.score", **CONV_WORDS).alias("ai_analysis"))
+
+
+@query("stream_route_bounded", ROUTE_SQL)
+def q_stream_route_bounded(spark, sf):
+    """The alert stream with a proven per-batch bound (the source table's row
+    count bounds every micro-batch of this file stream): each batch's keys
+    are broadcast, the listing table is filtered during its scan, and only
+    matching listings are de-duplicated."""
+    out, ck = scratch_path(spark, "alerts_b_out"), scratch_path(spark, "alerts_b_ckpt")
+    bound = read_table(spark, sf, "events").count()
+    s = _projected(_interactions(_event_stream(spark, sf)))
+    q = al.write_alerts(s, lambda: listings(spark, sf).select(*LISTING_COLS), out, ck,
+                        trigger={"availableNow": True}, label="label", score="score", words=EVENT_WORDS,
+                        max_event_rows=bound)
+    al.run_available(q)
+    return spark.read.parquet(out).drop("batch_id")

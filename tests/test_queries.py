@@ -6,10 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lakeshelf.plans import registry
 from scripts.check_oracle import TABLES, digest
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
+ORACLES = dict(registry.ORACLES)
 
 
 @pytest.fixture(scope="module")

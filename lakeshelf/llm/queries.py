@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import quality_rules, simhash
+from . import decontaminate, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,43 @@ def op7(spark, sf_dir):
     rules = quality_rules.learn_from_labels(docs, read_table(spark, sf_dir, "labels"))
     return quality_rules.judge(docs, rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP10_SQL = r"""
+WITH cut AS (
+    SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), items AS (
+    SELECT item, w, least(len(w), 10) AS n FROM cut WHERE len(w) > 0
+), item_windows AS (
+    SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS words
+    FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items)
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), doc_windows AS (
+    SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), hits AS (
+    SELECT d.r, d.i, d.n, t.item FROM doc_windows d JOIN item_windows t ON d.n = t.n AND d.words = t.words
+), words AS (
+    SELECT r, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""
+
+
+@query("op10_decontaminate", OP10_SQL)
+def op10(spark, sf_dir):
+    found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")

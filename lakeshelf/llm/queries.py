@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import decontaminate, quality_rules, simhash
+from . import decontaminate, pii, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,17 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op2_pii")
+def op2(spark, sf_dir):
+    found = pii.find(read_table(spark, sf_dir, "documents"))
+    joined = lambda c: F.concat_ws(",", F.transform(
+        c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 @query("op5_simhash")
 def op5(spark, sf_dir):
     near = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import read_table
-from . import decontaminate, pii, quality_rules, simhash
+from ..session import materialize, read_table
+from . import decontaminate, packing, pii, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,13 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_packing")
+def op1(spark, sf_dir):
+    pieces = packing.pieces(read_table(spark, sf_dir, "documents"))
+    narrow = materialize(pieces.select("item", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return packing.pack(narrow).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query("op2_pii")
 def op2(spark, sf_dir):
     found = pii.find(read_table(spark, sf_dir, "documents"))

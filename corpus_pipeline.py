@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeshelf.llm import quality_rules, simhash
+from lakeshelf.llm import decontaminate, packing, pii, quality_rules, simhash
 from lakeshelf.session import materialize, read_table
 
 
@@ -27,7 +27,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.one_per_group(docs, shingle=3, radius=2)
 
 
-STAGES = [("quality_rules", quality), ("simhash_dedup", near_duplicates)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item's window."""
+    return decontaminate.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 1024 token ids with their sequence and place."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality_rules", quality), ("simhash_dedup", near_duplicates), ("decontaminate", decontaminated),
+          ("pii", redacted), ("packing", packed)]
 
 #: No SQL: stages learn models, hash with XXH64 and tokenize; tests compare
 #: the stages with brute force instead.

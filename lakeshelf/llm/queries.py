@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, read_table
-from . import decontaminate, packing, pii, quality_rules, simhash
+from . import common, decontaminate, packing, pii, quality_model, quality_rules, simhash, url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,19 @@ def op2(spark, sf_dir):
         F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+@query("op3_quality_model")
+def op3(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    weights = quality_model.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, weights).select(
+        "doc_id", (common.crc32_of_id() % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_url_trust")
+def op4(spark, sf_dir):
+    return url_trust.judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op5_simhash")
 def op5(spark, sf_dir):
     near = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, read_table
-from . import common, decontaminate, packing, pii, quality_model, quality_rules, simhash, url_trust
+from . import common, decontaminate, packing, pii, quality_model, quality_rules, simhash, url_trust, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,6 +61,11 @@ def op5(spark, sf_dir):
     return near.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op6_wavelet")
+def op6(spark, sf_dir):
+    return wavelet.round_trip(read_table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query("op7_quality_rules")
 def op7(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")

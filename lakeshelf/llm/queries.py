@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, read_table
-from . import common, decontaminate, packing, pii, quality_model, quality_rules, simhash, url_trust, wavelet
+from . import common, decontaminate, licenses, packing, pii, quality_model, quality_rules, simhash, url_trust, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,13 @@ def op7(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op9_licenses")
+def op9(spark, sf_dir):
+    found = licenses.find(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "license", "bytes_saved", "similarity",
+                        F.concat_ws(" ", "differences").alias("differences"))
+
+
 OP10_SQL = r"""
 WITH cut AS (
     SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, read_table
-from . import common, decontaminate, licenses, packing, pii, quality_model, quality_rules, simhash, url_trust, wavelet
+from . import common, decontaminate, licenses, packing, pii, quality_model, quality_rules, repeats, simhash, url_trust, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,13 @@ def op7(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op8_repeats")
+def op8(spark, sf_dir):
+    out = repeats.remove_repeats(read_table(spark, sf_dir, "documents"), min_len=200)
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op9_licenses")
 def op9(spark, sf_dir):
     found = licenses.find(read_table(spark, sf_dir, "documents"))

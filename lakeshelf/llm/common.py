@@ -109,6 +109,18 @@ def map_batches(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch
     return map_arrow(df, run, schema)
 
 
+def private(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with its columns renamed to ``_k0``, ``_k1`` ..., and the new
+    name of each, so that no column of a caller clashes with a computed one."""
+    own = {c: f"_k{i}" for i, c in enumerate(docs.columns)}
+    return docs.select(*[ref(c).alias(k) for c, k in own.items()]), own
+
+
+def public(df: DataFrame, own: dict[str, str]) -> DataFrame:
+    """Only the caller's columns, under their names."""
+    return df.select(*[F.col(k).alias(c) for c, k in own.items()])
+
+
 def crc32_of_id(doc_id: str = "doc_id"):
     """Unsigned crc32 of the id's decimal text (null id: of the empty text)."""
     return F.crc32(F.coalesce(ref(doc_id).cast("string"), F.lit("")).cast("binary"))

@@ -208,7 +208,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any occurrence, with their columns."""
     bad = (contamination(docs, benchmark).where("contaminated")
            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    names = docs.columns
-    src = docs.withColumn("_id2", F.col("doc_id").cast("long")).withColumn("_hash2", F.xxhash64("text"))
-    on = [src["_id2"].eqNullSafe(bad["_id"]), src["_hash2"] == bad["_hash"]]
-    return src.join(bad, on, "left_anti").select(*[C.ref(c) for c in names])
+    src, own = C.private(docs)
+    src = src.withColumn("_i", F.col(own["doc_id"]).cast("long")).withColumn("_h", F.xxhash64(own["text"]))
+    on = [src["_i"].eqNullSafe(bad["_id"]), src["_h"] == bad["_hash"]]
+    return C.public(src.join(bad, on, "left_anti"), own)

@@ -309,8 +309,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with personal data replaced in ``text``; other columns,
     null texts included, stay as they are (``n_chars`` follows the text where
     it is a number)."""
-    own = {c: f"_k{i}" for i, c in enumerate(docs.columns)}
-    src = docs.select(*[C.ref(c).alias(k) for c, k in own.items()])
+    src, own = C.private(docs)
     model = train(docs.select(C.ref(text).alias("text")))
     at = own[text]
 

@@ -242,7 +242,6 @@ def filter_documents(docs: DataFrame, labels: DataFrame, train_rows: int = 12_00
     """The documents that pass the base rule and the learned list, with the
     columns they came with."""
     rules = learn_from_labels(docs, labels, train_rows)
-    own = {c: f"_k{i}" for i, c in enumerate(docs.columns)}  # so that no column clashes with a statistic
-    src = docs.select(*[C.ref(c).alias(k) for c, k in own.items()])
+    src, own = C.private(docs)
     judged = with_verdict(with_stats(src, own["text"], tuple(own.values())), rules)
-    return judged.where("kept").select(*[F.col(k).alias(c) for c, k in own.items()])
+    return C.public(judged.where("kept"), own)

@@ -63,7 +63,8 @@ def op5(spark, sf_dir):
 
 @query("op6_wavelet")
 def op6(spark, sf_dir):
-    return wavelet.round_trip(read_table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32")
+    back = wavelet.round_trip(read_table(spark, sf_dir, "documents"))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 @query("op7_quality_rules")

@@ -146,14 +146,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, cap: int
 
 
 def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group: the row of the component's smallest id (of
-    several rows with that id, that of the smallest text hash; exact repeats
+    """One document of each group: the row of the component's smallest id, null
+    last (of several rows with that id, that of the smallest text hash; exact repeats
     of it once). Columns are those of ``docs``."""
     near = near_duplicates(docs, shingle, radius)
-    chosen = near.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("x")).select(
+    chosen = near.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("x")).select(
         F.col("x.doc_id").alias("_id"), F.col("x.text_hash").alias("_hash"))
-    names = docs.columns
-    src = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_hash", F.xxhash64("text"))
-    on = [src["_id"].eqNullSafe(chosen["_id"]), src["_hash"] == chosen["_hash"]]
-    return (src.join(chosen, on, "left_semi").dropDuplicates(["_id", "_hash"])
-            .select(*[C.ref(c) for c in names]))
+    src, own = C.private(docs)
+    src = src.withColumn("_i", F.col(own["doc_id"]).cast("long")).withColumn("_h", F.xxhash64(own["text"]))
+    on = [src["_i"].eqNullSafe(chosen["_id"]), src["_h"] == chosen["_hash"]]
+    return C.public(src.join(chosen, on, "left_semi").dropDuplicates(["_i", "_h"]), own)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import checked_broadcast, scratch_path
 from . import common as C
 from . import tokens as T
 
@@ -233,13 +233,17 @@ def occurrences(files: DataFrame, token: int) -> DataFrame:
     return C.map_arrow(files, run, "part long, shard int, place long")
 
 
+def read_back(spark, path: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document in the files of
+    ``path``; ``start`` counts the ids of all documents before it."""
+    files = read(spark, path)
+    return documents(files).join(checked_broadcast(shard_starts(files)), ["part", "shard"]).select(
+        "doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids")
+
+
 def round_trip(docs: DataFrame, path: str | None = None, tokenizer: str | None = None) -> DataFrame:
-    """Writes the files and reads every document back: doc_id, start (over
-    all files), n_tokens, ids_crc32."""
+    """Writes the files and reads every document back from them."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "wavelet")
     write(docs, path, tokenizer)
-    files = read(spark, path)
-    out = documents(files).select("part", "shard", "doc_id", "at", "n_tokens", F.crc32("ids").alias("ids_crc32"))
-    return out.join(shard_starts(files), ["part", "shard"]).select(
-        "doc_id", (F.col("shard_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return read_back(spark, path)

@@ -22,7 +22,7 @@ def matches_ci(c: str | Column, pattern: str, literal: bool = False) -> Column:
     if literal:
         hit = F.lower(col).contains(pattern.lower())
     else:
-        hit = col.rlike("(?i)" + pattern)
+        hit = col.rlike("(?iu)" + pattern)  # u: case folding beyond ASCII
     return F.coalesce(hit, F.lit(False))
 
 
@@ -62,6 +62,12 @@ def nan_to_null_col(c: str | Column) -> Column:
     return F.when(F.isnan(col), F.lit(None)).otherwise(col)
 
 
+def present(c: str | Column) -> Column:
+    """Neither NULL nor NaN (for numbers)."""
+    col = _c(c)
+    return col.isNotNull() & ~F.isnan(col)
+
+
 def is_missing(c: str | Column, numeric: bool = True) -> Column:
     col = _c(c)
     return (col.isNull() | F.isnan(col)) if numeric else col.isNull()

@@ -78,8 +78,9 @@ def flags_to_text(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 
 
 def trim_strings(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Strip leading and trailing whitespace (spaces, tabs, line breaks)."""
-    return df.withColumns({c: F.regexp_replace(_ref(c), r"^\s+|\s+$", "") for c in cols})
+    """Strip leading and trailing white space, in its Unicode sense (spaces,
+    tabs, line breaks, no-break and wide spaces)."""
+    return df.withColumns({c: F.regexp_replace(_ref(c), r"(?U)^\s+|\s+$", "") for c in cols})
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:

@@ -28,9 +28,9 @@ def _order_struct(order: Sequence[Column | str]) -> Column:
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the row with the greatest ``order`` tuple.
 
-    ``max_by`` is a declarative aggregate, so each map task keeps one row per
-    key before the shuffle: a hot key costs one row per task, not a sort of
-    all its rows in one task. Give ``order`` a unique tail (e.g. the row id)
+    ``max_by`` is partially aggregated, so each map task sends one row per
+    key to the shuffle: a hot key costs one row per task, not all its rows in
+    one task. (Over a struct, Spark aggregates by sorting each task's rows.) Give ``order`` a unique tail (e.g. the row id)
     so the choice is deterministic."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -214,7 +214,7 @@ def scd2_in_place(dim_path: str, delta: DataFrame, key: str | Sequence[str], tra
                id_start=start)
     # written to the shared folder first: the target buckets are being read
     out = materialize(with_bucket(out, keys, buckets), "scd2_buckets")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET).parquet(dim_path))
 
 

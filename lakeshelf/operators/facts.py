@@ -10,7 +10,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshelf.session import checked_broadcast
+from lakeshelf.session import checked_broadcast, scratch_scope
 from lakeshelf.sources import io, state
 
 
@@ -51,27 +51,34 @@ def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str
     return out.select(*cols, *ids)
 
 
-def incremental(spark, state_root: str, mark_name: str, source: DataFrame | str, target_path: str,
-                transform: Callable[[DataFrame], DataFrame], until: int | None = None) -> bool:
-    """One gated increment of a versioned target from a versioned source:
-
-    current version -> last mark -> gate -> read changes in (last, current]
-    -> transform -> write as version ``current`` of the target -> move mark.
-
-    The target write replaces its ``current`` version folder, so a replay
-    after a failure before the mark moves does not duplicate rows. Given a
-    path, the current version comes from the folder listing (no job)."""
-    if isinstance(source, str):  # a versioned table path: version from the folder listing
-        cur = until if until is not None else io.latest_version(spark, source)
-        source = io.read_versions(spark, source)
-    else:
-        cur = until if until is not None else io.current_version(source).first()[0]
+def incremental_steps(spark, state_root: str, mark_name: str, source: str,
+                      step: Callable[[DataFrame, int, int], None], until: int | None = None) -> bool:
+    """Gated increments over the versioned table at ``source``:
+
+    current version (folder listing) -> last mark -> gate -> record the range
+    -> ``step(changes in (since, until], since, until)`` -> move mark.
+
+    The step writes version ``until`` of its targets, replacing that version.
+    A failure before the mark moves is repaired by the next call: it finishes
+    the recorded range first, whatever the source holds by then, so no row is
+    written under two versions."""
+    cur = until if until is not None else io.latest_version(spark, source)
     if cur is None:
         return False
 
-    def step(last):
+    def run(last, upto):
         since = -1 if last is None else int(last)
-        changes = io.read_changes(source, since, cur)
-        io.append_version(transform(changes), target_path, version=cur)
+        with scratch_scope(spark):
+            step(io.read_changes(io.read_versions(spark, source), since, int(upto)), since, int(upto))
+
+    return state.run_step(spark, state_root, mark_name, int(cur), run)
+
+
+def incremental(spark, state_root: str, mark_name: str, source: str, target_path: str,
+                transform: Callable[[DataFrame], DataFrame], until: int | None = None) -> bool:
+    """:func:`incremental_steps` with one target: ``transform(changes)``
+    becomes its version."""
+    def step(changes, since, upto):
+        io.append_version(transform(changes), target_path, version=upto)
 
-    return state.run_step(spark, state_root, mark_name, int(cur), step)
+    return incremental_steps(spark, state_root, mark_name, source, step, until)

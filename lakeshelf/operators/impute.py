@@ -2,14 +2,15 @@
 
 Plan shape (whatever the number of imputed columns):
 
-* mode: unpivot the columns to (group, column, value), count
-  (group, column, value) with map-side partial aggregation, then pick per
-  (group, column) the most frequent value with ``min_by`` — two small
-  shuffles over pre-aggregated rows, memory bounded per row, and a hot group
-  is spread over many tasks in the first count because the shuffle key
-  includes the value;
-* median: ``percentile_approx`` (bounded sketch per group, partial
-  aggregation) or, with ``exact=True``, ``percentile_disc``;
+* the columns are unpivoted to (group, column, value) and counted with
+  map-side partial aggregation (:func:`count_table`). The shuffle key holds
+  the value, so a hot group is spread over many tasks, and the counts are
+  additive: they can be stored per load and summed over the history;
+* mode: the most frequent value per (group, column) with ``min_by`` over the
+  counts, ties to the smallest value;
+* median: exact on the counts (:func:`weighted_median`), which never gathers
+  a group in one task. ``exact=False`` is the explicit approximate form
+  (``percentile_approx``), whose answer drifts once groups are large;
 * the lookups (one row per group) are joined to the input in ONE left join,
   broadcast only when their measured size is under the threshold, otherwise
   a shuffle join that AQE can split for skewed groups.
@@ -21,8 +22,9 @@ from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeshelf.session import checked_broadcast
+from lakeshelf.session import checked_broadcast, materialize
 
 _G = "__grp"
 
@@ -40,96 +42,65 @@ def _pick_mode(value: Column, freq: Column) -> Column:
     return F.min_by(value, F.when(freq.isNotNull(), F.struct((-freq).alias("f"), value.alias("v"))))
 
 
-def mode_lookup(df: DataFrame, group: str, cols: Iterable[str]) -> DataFrame:
-    """One row per group (that has any non-NULL value) with the mode of each
-    column, named ``<col>``. Columns of different types are handled in
-    per-type unpivots."""
+def count_table(df: DataFrame, group: str, cols: Iterable[str]) -> DataFrame:
+    """(__grp, __col, __val, __n): how often each value of each column occurs
+    in each group. Values are text (exact for numbers); NULL and NaN are
+    missing and not counted. Tables of disjoint rows add up."""
     cols = list(cols)
-    by_type: dict[str, list[str]] = {}
-    for c in cols:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    result = None
-    for _, names in by_type.items():
-        long = (df.select(F.col(group).alias(_G), *names)
-                  .unpivot(_G, names, "__col", "__val")
-                  .where(F.col("__val").isNotNull()))
-        counts = long.groupBy(_G, "__col", "__val").agg(F.count(F.lit(1)).alias("__n"))
-        # One final aggregate per group picks every column's mode: rows of
-        # other columns have a NULL ordering, which min_by skips.
-        wide = counts.groupBy(_G).agg(*[
-            _pick_mode(F.col("__val"), F.when(F.col("__col") == n, F.col("__n"))).alias(n)
-            for n in names])
-        if result is None:
-            result = wide
-        else:
-            result = result.join(wide, result[_G].eqNullSafe(wide[_G]), "full").select(
-                F.coalesce(result[_G], wide[_G]).alias(_G),
-                *[result[c] for c in result.columns if c != _G], *[wide[c] for c in names])
-    return result
-
-
-def median_lookup(df: DataFrame, group: str, cols: Iterable[str], exact: bool = False,
-                  accuracy: int = 10000) -> DataFrame:
-    """One row per group (key ``__grp``) with the median of each column
-    (NULLs ignored).
-
-    ``exact=False``: ``percentile_approx`` — a bounded sketch per group with
-    partial aggregation. ``exact=True``: the lower middle value
-    (``percentile_disc(0.5)``) by :func:`exact_median`, which never gathers a
-    group in one task."""
-    cols = list(cols)
-    if not exact:
-        aggs = [F.percentile_approx(c, 0.5, accuracy).alias(c) for c in cols]
-        return df.select(F.col(group).alias(_G), *cols).groupBy(_G).agg(*aggs)
-    keys = df.select(F.col(group).alias(_G)).distinct()
-    out = keys
-    for c in cols:
-        m = exact_median(df, group, c, interpolate=False, name=c).withColumnRenamed(group, _G)
-        out = out.join(m, out[_G].eqNullSafe(m[_G]), "left").drop(m[_G])
+    text = [F.when(~F.isnan(c), F.col(c)).cast("string").alias(c) if df.schema[c].dataType in _FLOATS
+            else F.col(c).cast("string").alias(c) for c in cols]
+    long = (df.select(F.col(group).alias(_G), *text).unpivot(_G, cols, "__col", "__val")
+              .where(F.col("__val").isNotNull()))
+    return long.groupBy(_G, "__col", "__val").agg(F.count(F.lit(1)).alias("__n"))
+
+
+_FLOATS = (T.DoubleType(), T.FloatType())
+
+
+def lookups_from_counts(counts: DataFrame, modes: Mapping[str, T.DataType],
+                        medians: Mapping[str, T.DataType]) -> DataFrame:
+    """One row per group with ``mode_<c>`` and ``median_<c>`` from count
+    tables (several of them are summed)."""
+    modes, medians = dict(modes), dict(medians)
+    total = counts.groupBy(_G, "__col", "__val").agg(F.sum("__n").alias("__n"))
+    out = None
+    if modes:
+        picks = []
+        for c, t in modes.items():
+            v = F.when(F.col("__col") == c, F.col("__val").try_cast(t))
+            picks.append(_pick_mode(v, F.when(v.isNotNull(), F.col("__n"))).alias(f"mode_{c}"))
+        out = total.where(F.col("__col").isin(*modes)).groupBy(_G).agg(*picks)
+    for c, t in medians.items():
+        pairs = total.where(F.col("__col") == c).select(_G, F.col("__val").try_cast(t).alias("__v"), F.col("__n").alias("__c"))
+        m = weighted_median(pairs, interpolate=False, name=f"median_{c}")
+        out = m if out is None else out.join(m, out[_G].eqNullSafe(m[_G]), "full").select(
+            F.coalesce(out[_G], m[_G]).alias(_G), *[out[x] for x in out.columns if x != _G], m[f"median_{c}"])
     return out
 
 
 def group_lookups(df: DataFrame, group: str, modes: Iterable[str] = (),
-                  medians: Iterable[str] = (), exact: bool = False,
-                  wide_modes: Iterable[str] = ()) -> DataFrame:
-    """All lookups keyed by ``__grp``, columns ``mode_<c>`` / ``median_<c>``.
-
-    Small-domain mode columns and approximate medians are ONE aggregate
-    (``mode(c, deterministic=True)``: most frequent, ties to the smallest;
-    ``percentile_approx``: a bounded sketch), both partially aggregated on
-    the map side, so a hot group costs one buffer per task. Columns listed in
-    ``wide_modes`` (many distinct values per group, where a per-group value
-    map would grow) use the two-level count of :func:`mode_lookup`; exact
-    medians use :func:`exact_median`. Those extra lookups are joined on the
-    group key (one row per group on each side)."""
-    modes, medians, wide = list(modes), list(medians), set(wide_modes)
-    narrow = [c for c in modes if c not in wide]
-    aggs = [F.mode(c, True).alias(f"mode_{c}") for c in narrow]
-    if not exact:
-        aggs += [F.percentile_approx(c, 0.5, 10000).alias(f"median_{c}") for c in medians]
-    parts = []
-    if aggs:
-        parts.append(df.groupBy(F.col(group).alias(_G)).agg(*aggs))
-    if wide & set(modes):
-        w = [c for c in modes if c in wide]
-        m = mode_lookup(df, group, w)
-        parts.append(m.select(_G, *[F.col(c).alias(f"mode_{c}") for c in w]))
-    if exact:
-        for c in medians:
-            m = exact_median(df, group, c, interpolate=False, name=f"median_{c}")
-            parts.append(m.withColumnRenamed(group, _G))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.join(p, out[_G].eqNullSafe(p[_G]), "full").select(
-            F.coalesce(out[_G], p[_G]).alias(_G), *[out[c] for c in out.columns if c != _G],
-            *[p[c] for c in p.columns if c != _G])
-    return out
+                  medians: Iterable[str] = (), exact: bool = True) -> DataFrame:
+    """All lookups keyed by ``__grp``, columns ``mode_<c>`` / ``median_<c>``,
+    from one count of the input. With ``exact=False`` the medians are
+    ``percentile_approx`` sketches instead."""
+    modes, medians = list(modes), list(medians)
+    types = {c: df.schema[c].dataType for c in modes + medians}
+    if exact or not medians:
+        counts = count_table(df, group, dict.fromkeys(modes + medians))
+        if medians:
+            counts = materialize(counts, "counts")  # small, and read once per kind of lookup
+        return lookups_from_counts(counts, {c: types[c] for c in modes}, {c: types[c] for c in medians})
+    approx = df.groupBy(F.col(group).alias(_G)).agg(
+        *[F.percentile_approx(c, 0.5, 10000).alias(f"median_{c}") for c in medians])
+    if not modes:
+        return approx
+    m = lookups_from_counts(count_table(df, group, modes), {c: types[c] for c in modes}, {})
+    return approx.join(m, approx[_G].eqNullSafe(m[_G]), "left").drop(m[_G])
 
 
 def impute(df: DataFrame, group: str, modes: Mapping[str, object] | None = None,
-           medians: Mapping[str, object] | None = None, exact: bool = False,
-           overwrite: bool = False, lookups: DataFrame | None = None,
-           wide_modes: Iterable[str] = ()) -> DataFrame:
+           medians: Mapping[str, object] | None = None, exact: bool = True,
+           overwrite: bool = False, lookups: DataFrame | None = None) -> DataFrame:
     """Fill missing values from per-group lookups in one pass.
 
     ``modes`` / ``medians`` map column -> default used when the row's group has
@@ -141,7 +112,7 @@ def impute(df: DataFrame, group: str, modes: Mapping[str, object] | None = None,
     modes, medians = dict(modes or {}), dict(medians or {})
     if not modes and not medians:
         return df
-    lk = lookups if lookups is not None else group_lookups(df, group, modes, medians, exact, wide_modes)
+    lk = lookups if lookups is not None else group_lookups(df, group, modes, medians, exact)
     lk = checked_broadcast(lk)
     joined = df.join(lk, df[group] == lk[_G], "left")
     repl = {}
@@ -162,7 +133,7 @@ def impute_mode(df: DataFrame, group: str, cols: Iterable[str], default: object
 
 
 def impute_median(df: DataFrame, group: str, col: str, default: object = 500,
-                  exact: bool = False) -> DataFrame:
+                  exact: bool = True) -> DataFrame:
     """coalesce(own, median within group, default)."""
     return impute(df, group, medians={col: default}, exact=exact)
 
@@ -173,9 +144,15 @@ def mode_by_group(df: DataFrame, group: str, col: str) -> DataFrame:
     return counts.groupBy(group).agg(_pick_mode(F.col(col), F.col("__n")).alias(f"mode_{col}"))
 
 
-def median_by_group(df: DataFrame, group: str, col: str, exact: bool = False) -> DataFrame:
-    m = median_lookup(df, group, [col], exact=exact)
-    return m.select(F.col(_G).alias(group), F.col(col).alias(f"median_{col}"))
+def median_by_group(df: DataFrame, group: str, col: str, exact: bool = True) -> DataFrame:
+    """(group, median) of every group, NULL where it has no value."""
+    if exact:
+        m = exact_median(df, group, col, interpolate=False, name=f"median_{col}").withColumnRenamed(group, _G)
+        keys = df.select(F.col(group).alias(_G)).distinct()
+        m = keys.join(m, keys[_G].eqNullSafe(m[_G]), "left").drop(m[_G])
+    else:
+        m = df.groupBy(F.col(group).alias(_G)).agg(F.percentile_approx(col, 0.5, 10000).alias(f"median_{col}"))
+    return m.withColumnRenamed(_G, group)
 
 
 def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool = True,
@@ -196,12 +173,18 @@ def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool =
 
     ``interpolate`` averages the two middle values (pandas ``median``,
     ``quantile_cont``); otherwise the lower one (``percentile_disc(0.5)``).
-    NULL values are ignored; a group with no values is absent."""
-    from lakeshelf.operators.dims import positions
-    name = name or f"median_{col}"
+    NULL and NaN are ignored; a group with no values is absent."""
     g = F.col(group) if group else F.lit(0)
-    pairs = (df.select(g.alias(_G), F.col(col).alias("__v")).where(F.col("__v").isNotNull())
+    v = F.when(~F.isnan(col), F.col(col)) if df.schema[col].dataType in _FLOATS else F.col(col)
+    pairs = (df.select(g.alias(_G), v.alias("__v")).where(F.col("__v").isNotNull())
                .groupBy(_G, "__v").agg(F.count(F.lit(1)).alias("__c")))
+    out = weighted_median(pairs, interpolate, name or f"median_{col}")
+    return out.withColumnRenamed(_G, group) if group else out.drop(_G)
+
+
+def weighted_median(pairs: DataFrame, interpolate: bool, name: str) -> DataFrame:
+    """(__grp, median) from distinct (__grp, __v) pairs with counts __c."""
+    from lakeshelf.operators.dims import positions
     pos = positions(pairs, [_G, "__v"], weight="__c", name="__p")
     stats = pos.groupBy(_G).agg(F.min("__p").alias("__s"), F.sum("__c").alias("__n"))
     stats = stats.select(F.col(_G).alias("__g2"),
@@ -213,5 +196,4 @@ def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool =
     lo_v = F.max(F.when(hit(F.col("__lo")), F.col("__v")))
     hi_v = F.max(F.when(hit(F.col("__hi")), F.col("__v")))
     val = ((lo_v + hi_v) / 2) if interpolate else lo_v
-    out = j.groupBy(_G).agg(val.alias(name))
-    return out.withColumnRenamed(_G, group) if group else out.drop(_G)
+    return j.groupBy(_G).agg(val.alias(name))

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from lakeshelf.operators import dims as dm
 from lakeshelf.operators.facts import Lookup, resolve_keys
-from lakeshelf.session import checked_broadcast, materialize
+from lakeshelf.session import checked_broadcast, materialize, path_exists
 
-LATEST = ["created_at", "row_id"]
+# newest by update; creation and id break ties
+LATEST = ["updated_at", "created_at", "row_id"]
 USER_TRACKED = ["user_name", "advertiser_type", "is_verified"]
 CATEGORY_KEYS = ["property_type", "transaction_type"]
 FEATURE_KEYS = ["has_air_condition", "has_kitchen", "has_furnished", "is_daily_rentable", "rent_period"]
@@ -18,40 +19,48 @@ FACT_MEASURES = ["user_review", "location_lat", "location_lng", "age", "bathroom
                  "livings", "area", "price"]
 
 
-def _empty(spark, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+DIM_SCHEMAS = {
+    "users": "id bigint, user_id bigint, user_name string, advertiser_type string, is_verified string, is_active int",
+    "cities": "id bigint, city_id bigint, city string",
+    "districts": "id bigint, district_id bigint, district string",
+    "categories": "id bigint, property_type string, transaction_type string",
+    "features": "id bigint, " + ", ".join(f"{k} string" for k in FEATURE_KEYS),
+    "dates": "date_key int, date date, year int, month int, month_name string, quarter int, day_of_week int, is_weekend int",
+}
+#: natural key and attributes of the insert-only dimensions
+INSERT_ONLY = {"cities": (["city_id"], ["city"]), "districts": (["district_id"], ["district"]),
+               "categories": (CATEGORY_KEYS, []), "features": (FEATURE_KEYS, [])}
+
+
+def _empty(spark, name: str) -> DataFrame:
+    return spark.createDataFrame([], DIM_SCHEMAS[name])
+
+
+def new_rows(name: str, stored: DataFrame, silver: DataFrame) -> DataFrame:
+    """The rows that a change set adds to an insert-only dimension."""
+    keys, attrs = INSERT_ONLY[name]
+    return dm.upsert_dim(stored, silver.select(*keys, *attrs, *LATEST), keys, attrs, order=LATEST if attrs else None, only_new=True)
+
+
+def new_dates(stored: DataFrame, silver: DataFrame) -> DataFrame:
+    """Days that the calendar lacks to reach without a gap from the earliest
+    to the latest day of the stored calendar and the change set."""
+    span = (stored.select("date").unionByName(silver.select(F.to_date("created_at").alias("date")))
+            .agg(F.min("date").alias("s"), F.max("date").alias("e")).where(F.col("s").isNotNull()))
+    cal = dm.date_dim(silver.sparkSession, F.col("s"), F.col("e"), source=span)
+    return cal.join(stored.select("date"), "date", "left_anti").select(*cal.columns)
 
 
 def build_dims(silver: DataFrame, dims: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Apply one silver change set to the dimensions (empty ones when
-    ``dims`` is None). Each result is written to the shared scratch folder,
-    as the gold tables would be."""
+    """One silver change set applied to dimensions held as DataFrames (empty
+    ones when ``dims`` is None): the whole-table form, for a first build.
+    Increments of stored dimensions are :func:`run_gold`."""
     spark = silver.sparkSession
-    dims = dict(dims or {})
-    d = {}
-    d["users"] = dm.scd2(
-        dims.get("users", _empty(spark, "id bigint, user_id bigint, user_name string, "
-                                 "advertiser_type string, is_verified string, is_active int")),
-        silver.select("user_id", *USER_TRACKED, "created_at", "row_id"), "user_id", USER_TRACKED, order=LATEST)
-    d["cities"] = dm.upsert_dim(dims.get("cities", _empty(spark, "id bigint, city_id bigint, city string")),
-                                silver.select("city_id", "city", "created_at", "row_id"),
-                                ["city_id"], ["city"], order=LATEST)
-    d["districts"] = dm.upsert_dim(
-        dims.get("districts", _empty(spark, "id bigint, district_id bigint, district string")),
-        silver.select("district_id", "district", "created_at", "row_id"),
-        ["district_id"], ["district"], order=LATEST)
-    d["categories"] = dm.upsert_dim(
-        dims.get("categories", _empty(spark, "id bigint, property_type string, transaction_type string")),
-        silver, CATEGORY_KEYS)
-    d["features"] = dm.upsert_dim(
-        dims.get("features", _empty(spark, "id bigint, " + ", ".join(f"{k} string" for k in FEATURE_KEYS))),
-        silver, FEATURE_KEYS)
-    bounds = silver.agg(F.to_date(F.min("created_at")).alias("s"), F.to_date(F.max("created_at")).alias("e"))
-    cal = dm.date_dim(spark, F.col("s"), F.col("e"), source=bounds)
-    if "dates" in dims:
-        cal = cal.join(dims["dates"].select("date"), "date", "left_anti").select(*dims["dates"].columns)
-        cal = dims["dates"].unionByName(cal)
-    d["dates"] = cal
+    stored = {n: (dims or {}).get(n, _empty(spark, n)) for n in DIM_SCHEMAS}
+    d = {"users": dm.scd2(stored["users"], silver.select("user_id", *USER_TRACKED, *LATEST), "user_id", USER_TRACKED, order=LATEST)}
+    for n in INSERT_ONLY:
+        d[n] = stored[n].unionByName(new_rows(n, stored[n], silver))
+    d["dates"] = stored["dates"].unionByName(new_dates(stored["dates"], silver))
     return {k: materialize(v, f"dim_{k}") for k, v in d.items()}
 
 
@@ -81,39 +90,43 @@ def city_month_report(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("listings"), F.round(F.avg("price"), 2).alias("avg_price")))
 
 
-DIM_NAMES = ("users", "cities", "districts", "categories", "features", "dates")
+def read_dim(spark, root: str, name: str, upto: int) -> DataFrame:
+    """A stored dimension as of version ``upto``: the versions of an
+    insert-only one add up; users are the current history."""
+    from lakeshelf.sources import io
+
+    path = f"{root}/dim_{name}"
+    if not path_exists(spark, path):
+        return _empty(spark, name)
+    t = spark.read.parquet(path)
+    if name == "users":
+        return t.drop(dm.BUCKET)
+    return t.where(F.col(io.VERSION) <= upto).drop(io.VERSION)
 
 
-def run_gold(spark, silver_versions: DataFrame | str, root: str, until: int | None = None) -> bool:
-    """One gated gold increment over a versioned silver table.
+def run_gold(spark, silver_versions: str, root: str, until: int | None = None) -> bool:
+    """One gated gold increment over the versioned silver table at a path.
 
     current silver version -> last gold mark -> gate -> changes in
-    (last, current] -> dimensions first (each written as version ``current``
-    of its table, so the next run reads them back) -> the fact, appended as
-    version ``current`` -> mark. Every write replaces only its version
-    folder, and the mark moves last, so a failed run can simply be rerun."""
-    from lakeshelf.sources import io, state
-
-    if isinstance(silver_versions, str):  # a path: version from the folder listing
-        cur = until if until is not None else io.latest_version(spark, silver_versions)
-        silver_versions = io.read_versions(spark, silver_versions)
-    else:
-        cur = until if until is not None else io.current_version(silver_versions).first()[0]
-    if cur is None:
-        return False
-
-    def step(last):
-        since = -1 if last is None else int(last)
-        changes = io.read_changes(silver_versions, since, cur).drop(io.VERSION)
-        prev = None
-        if last is not None:
-            prev = {n: io.read_versions(spark, f"{root}/dim_{n}").where(F.col(io.VERSION) == int(last))
-                          .drop(io.VERSION) for n in DIM_NAMES}
-        dims = build_dims(changes, prev)
-        for n, d in dims.items():
-            io.append_version(d, f"{root}/dim_{n}", version=cur)
-        stored = {n: io.read_versions(spark, f"{root}/dim_{n}").where(F.col(io.VERSION) == cur)
-                        .drop(io.VERSION) for n in DIM_NAMES}
-        io.append_version(build_fact(changes, stored), f"{root}/fact_posts", version=cur)
-
-    return state.run_step(spark, f"{root}/state", "fact_posts", int(cur), step)
+    (last, current] -> dimensions -> fact, appended as version ``current`` ->
+    mark. Insert-only dimensions and the calendar get their new rows as
+    version ``current``; users are rewritten only in the hash buckets that the
+    changes touch (applying a change set twice changes nothing). Nothing
+    copies a whole dimension. After a failure the recorded range is finished
+    first; it reads the dimensions as of the last mark and replaces its own
+    versions."""
+    from lakeshelf.operators.facts import incremental_steps
+    from lakeshelf.sources import io
+
+    def step(changes, since, upto):
+        changes = materialize(changes.drop(io.VERSION), "changes")  # read by every dimension
+        dm.scd2_in_place(f"{root}/dim_users", changes.select("user_id", *USER_TRACKED, *LATEST), "user_id", USER_TRACKED,
+                         DIM_SCHEMAS["users"], order=LATEST)
+        for n in (*INSERT_ONLY, "dates"):
+            stored = read_dim(spark, root, n, since)
+            new = new_dates(stored, changes) if n == "dates" else new_rows(n, stored, changes)
+            io.append_version(materialize(new, f"new_{n}"), f"{root}/dim_{n}", version=upto)
+        dims = {n: read_dim(spark, root, n, upto) for n in DIM_SCHEMAS}
+        io.append_version(build_fact(changes, dims), f"{root}/fact_posts", version=upto)
+
+    return incremental_steps(spark, f"{root}/state", "fact_posts", silver_versions, step, until)

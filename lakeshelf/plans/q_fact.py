@@ -8,11 +8,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from lakeshelf.operators.facts import incremental
+from lakeshelf.operators.facts import incremental, incremental_steps
 from lakeshelf.plans import gold, silver
 from lakeshelf.plans.registry import query
 from lakeshelf.plans.roles import RAW_LISTINGS_SQL, raw_listings
-from lakeshelf.session import materialize, scratch_path
+from lakeshelf.session import materialize, read_table, scratch_path
 from lakeshelf.sources import io
 
 S = silver.clean_listings_sql(RAW_LISTINGS_SQL)
@@ -99,7 +99,7 @@ def _users_sql() -> str:
     tr = gold.USER_TRACKED
     cols = ", ".join(tr)
     latest = lambda src: (f"(SELECT user_id, {cols} FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
-                          f"ORDER BY created_at DESC, row_id DESC) AS rn FROM {src}) WHERE rn = 1)")
+                          f"ORDER BY updated_at DESC, created_at DESC, row_id DESC) AS rn FROM {src}) WHERE rn = 1)")
     diff = " OR ".join(f"u1.{c} <> ub.{c}" for c in tr)
     return f"""ua AS {latest('sa')}, ub AS {latest('sb')},
 u1 AS (SELECT CAST(row_number() OVER (ORDER BY user_id NULLS LAST) AS BIGINT) AS id, user_id, {cols},
@@ -149,3 +149,73 @@ def q_gold_two_runs(spark, sf):
     if ran != [True, True, False]:
         raise RuntimeError(f"unexpected gate decisions {ran}")
     return io.read_versions(spark, f"{root}/fact_posts")
+
+
+def _history_sql(lo: int, hi: int) -> str:
+    rows = f"(SELECT * FROM {RAW_LISTINGS_SQL} r1 WHERE year(create_time) - 1995 > {lo} AND year(create_time) - 1995 <= {hi})"
+    seen = f"(SELECT * FROM {RAW_LISTINGS_SQL} r2 WHERE year(create_time) - 1995 <= {hi})"
+    return f"SELECT *, {hi} AS _commit_version FROM ({silver.clean_listings_sql(rows, history_sql=seen)}) b{hi}"
+
+
+@query("silver_three_runs", "\nUNION ALL\n".join(_history_sql(*r) for r in ((-1, 1), (1, 3), (3, 6))))
+def q_silver_three_runs(spark, sf):
+    """Silver loaded in three runs: each imputes its rows from all bronze
+    versions up to its own, kept as additive value counts."""
+    root = scratch_path(spark, "history")
+    raw = raw_listings(spark, sf)
+    io.append_version(raw.withColumn(io.VERSION, F.year("createdAt") - 1995), f"{root}/bronze")
+    for until in (1, 3, 6):
+        silver.run_silver(spark, f"{root}/bronze", root, until=until)
+    return io.read_versions(spark, f"{root}/silver")
+
+
+@query("incremental_crash_retry", f"""SELECT o_orderkey, o_totalprice,
+  CAST(CASE WHEN year(o_orderdate) - 1995 <= 2 THEN 2 ELSE 6 END AS INTEGER) AS _commit_version FROM orders""")
+def q_incremental_crash_retry(spark, sf):
+    """A run that fails after its data is written, while the source moves on:
+    the next run finishes the recorded range, then takes the newer versions,
+    and every source row is there once."""
+    root = scratch_path(spark, "crash")
+    src, dst, marks = (os.path.join(root, p) for p in ("src", "dst", "state"))
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice", (F.year("o_orderdate") - 1995).alias(io.VERSION))
+    io.append_version(o.where(F.col(io.VERSION) <= 2), src)
+
+    class Crash(Exception):
+        pass
+
+    def write_and_crash(changes, since, upto):
+        io.append_version(changes.drop(io.VERSION), dst, version=upto)
+        raise Crash
+
+    try:
+        incremental_steps(spark, marks, "orders", src, write_and_crash)
+    except Crash:
+        pass
+    io.append_version(o.where(F.col(io.VERSION) > 2), src)
+    incremental(spark, marks, "orders", src, dst, lambda changes: changes.drop(io.VERSION))
+    return io.read_versions(spark, dst)
+
+
+# A listing feed with unusable ids: every 24th id is text that is no number.
+BAD_IDS_SQL = f"(SELECT * REPLACE (CASE WHEN category = 7 THEN 'x' || id ELSE id END AS id) FROM {RAW_LISTINGS_SQL} b)"
+
+
+@query("silver_bad_ids", f"""SELECT row_id, count(*) AS n, max(price) AS price FROM ({silver.clean_listings_sql(BAD_IDS_SQL)}) s GROUP BY row_id""")
+def q_silver_bad_ids(spark, sf):
+    """De-duplication keeps every row whose id is unusable."""
+    raw = raw_listings(spark, sf)
+    raw = raw.withColumn("id", F.when(F.col("category") == 7, F.concat(F.lit("x"), "id")).otherwise(F.col("id")))
+    slv = silver.clean_listings(raw, dedup=True)
+    return slv.groupBy("row_id").agg(F.count(F.lit(1)).alias("n"), F.max("price").alias("price"))
+
+
+NAN_AREA_SQL = f"""(SELECT * REPLACE (CASE WHEN advertiser_type = '1-URGENT' THEN 'NaN' ELSE CAST(area AS VARCHAR) END AS area)
+FROM {RAW_LISTINGS_SQL} b)"""
+
+
+@query("silver_nan_area", silver.clean_listings_sql(NAN_AREA_SQL))
+def q_silver_nan_area(spark, sf):
+    """An area that reads "NaN" is missing: filled by the group's median."""
+    raw = raw_listings(spark, sf)
+    area = F.when(F.col("advertiser_type") == "1-URGENT", "NaN").otherwise(F.col("area").cast("string"))
+    return silver.clean_listings(raw.withColumn("area", area))

@@ -3,6 +3,7 @@ made by rules on other columns; group = supplier, itself sometimes NULL)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from lakeshelf.operators import impute as im
 from lakeshelf.plans.registry import query
@@ -78,3 +79,16 @@ def q_median_exact(spark, sf):
     from lakeshelf.session import read_table
     li = read_table(spark, sf, "lineitem").select("l_suppkey", "l_extendedprice")
     return im.median_by_group(li, "l_suppkey", "l_extendedprice", exact=True)
+
+
+@query("impute_median_large_groups", """
+SELECT x.l_orderkey, x.l_linenumber, x.l_returnflag, coalesce(x.price, m.med, 500) AS price
+FROM (SELECT *, CASE WHEN l_linenumber = 2 THEN NULL ELSE l_extendedprice END AS price FROM lineitem) x
+LEFT JOIN (SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS med FROM lineitem WHERE l_linenumber <> 2
+  GROUP BY l_returnflag) m ON x.l_returnflag = m.l_returnflag""")
+def q_impute_median_large_groups(spark, sf):
+    """Three groups that grow with the data, most prices distinct."""
+    from lakeshelf.session import read_table
+    price = F.when(F.col("l_linenumber") != 2, F.col("l_extendedprice"))
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", price.alias("price"))
+    return im.impute_median(li, "l_returnflag", "price", default=500)

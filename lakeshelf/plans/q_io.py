@@ -65,16 +65,53 @@ def q_ingest_partitioned(spark, sf):
     dst = scratch_path(spark, "bronze")
     io.ingest(spark, entries, sf, dst, AS_OF)
     posts = io.read_json_partitioned(
-        spark, f"{dst}/posts",
+        spark, f"{dst}/raw/posts",
         schema="o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
                "o_orderpriority string, year int, month int, day int")
     return posts.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
                         "year", "month", "day")
 
 
+@query("ingest_two_containers", """
+SELECT 'raw' AS container, o_orderkey AS key, o_totalprice AS amount FROM orders
+UNION ALL SELECT 'curated', c_custkey, c_acctbal FROM customer""")
+def q_ingest_two_containers(spark, sf):
+    """Two entries with the same folder and file in different containers;
+    both copies are read back."""
+    dst = scratch_path(spark, "bronze")
+    io.ingest(spark, [
+        {"relative_path": "orders.parquet", "container_name": "raw", "folder_destination": "feed", "file_destination": "rows"},
+        {"relative_path": "customer.parquet", "container_name": "curated", "folder_destination": "feed", "file_destination": "rows"}],
+        sf, dst, AS_OF)
+    part = lambda c, schema, k, v: io.read_json_partitioned(spark, f"{dst}/{c}/feed", schema=schema).select(
+        F.lit(c).alias("container"), F.col(k).alias("key"), F.col(v).alias("amount"))
+    return part("raw", "o_orderkey bigint, o_totalprice double", "o_orderkey", "o_totalprice").unionByName(
+        part("curated", "c_custkey bigint, c_acctbal double", "c_custkey", "c_acctbal"))
+
+
+@query("catalog_scan", "SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal > 0")
+def q_catalog_scan(spark, sf):
+    """A registered table read by name; filter and columns reach its files."""
+    read_table(spark, sf, "supplier").createOrReplaceTempView("lakeshelf_supplier")
+    t = io.read_layer(spark, "", "", "lakeshelf_supplier", fmt="table")
+    return t.where(F.col("s_acctbal") > 0).select("s_suppkey", "s_nationkey", "s_acctbal")
+
+
 @query("latest_partition", """
 SELECT max(strftime(CAST(o_orderdate AS DATE), '%Y%m%d')) AS max_ingestion FROM orders""")
 def q_latest_partition(spark, sf):
+    """Folder names of a table partitioned by date; no file is opened."""
+    path = scratch_path(spark, "dated")
+    o = read_table(spark, sf, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+        F.dayofmonth("o_orderdate").alias("day"))
+    o.hint("rebalance", "year", "month").write.partitionBy("year", "month", "day").parquet(path)
+    return io.newest_date(spark, path)
+
+
+@query("latest_scanned", """
+SELECT max(strftime(CAST(o_orderdate AS DATE), '%Y%m%d')) AS max_ingestion FROM orders""")
+def q_latest_scanned(spark, sf):
     o = read_table(spark, sf, "orders").select(
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
         F.dayofmonth("o_orderdate").alias("day"))
@@ -116,7 +153,9 @@ def q_changes_since(spark, sf):
 
 @query("current_version", f"SELECT max(_commit_version) AS current_version FROM {LISTINGS_SQL} l")
 def q_current_version(spark, sf):
-    return io.current_version(_versioned_listings(spark, sf))
+    path = scratch_path(spark, "listings")
+    io.append_version(listings(spark, sf), path)
+    return io.current_version(spark, path)
 
 
 @query("state_marks", f"""
@@ -136,6 +175,7 @@ def q_state_marks(spark, sf):
     newest = io.latest_partition(o).first()[0]
     if state.if_newer(state.get_mark(spark, root, "posts"), newest):
         state.set_mark(spark, root, "posts", newest)
-    cur = io.current_version(_versioned_listings(spark, sf)).first()[0]
-    state.run_step(spark, root, "fact_posts", cur, lambda last: None)
+    path = scratch_path(spark, "listings")
+    io.append_version(listings(spark, sf), path)
+    state.run_step(spark, root, "fact_posts", io.latest_version(spark, path), lambda since, until: None)
     return state.read_state(spark, root)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshelf.operators import cleaning as cl
+from lakeshelf.operators import impute as im
+from lakeshelf.operators.dims import dedup_latest
 from lakeshelf.operators.impute import impute
 from lakeshelf.plans.roles import RENT_PERIODS
 from lakeshelf.sources.io import code_table
@@ -42,7 +44,7 @@ FLAG_RENAMES = {"user_iam_verified": "is_verified", "is_furnished": "has_furnish
                 "daily_rentable": "is_daily_rentable"}
 
 SILVER_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
-    ("row_id", T.IntegerType()), ("user_id", T.LongType()), ("user_name", T.StringType()),
+    ("row_id", T.LongType()), ("user_id", T.LongType()), ("user_name", T.StringType()),
     ("advertiser_type", T.StringType()), ("is_verified", T.StringType()),
     ("user_review", T.FloatType()), ("city_id", T.LongType()), ("city", T.StringType()),
     ("district_id", T.LongType()), ("district", T.StringType()),
@@ -58,7 +60,7 @@ SILVER_SCHEMA = T.StructType([T.StructField(n, t) for n, t in [
 
 # raw key -> (silver name, type); every cast is tolerant
 RAW_FIELDS = {
-    "id": ("row_id", "int"), "user_id": ("user_id", "bigint"), "user.name": ("user_name", "string"),
+    "id": ("row_id", "bigint"), "user_id": ("user_id", "bigint"), "user.name": ("user_name", "string"),
     "user.iam_verified": ("user_iam_verified", "int"), "user.review": ("user_review", "float"),
     "location.lat": ("location_lat", "decimal(10,5)"), "location.lng": ("location_lng", "decimal(10,5)"),
     "create_time": ("create_time", "timestamp_ntz"), "createdAt": ("created_at", "timestamp_ntz"),
@@ -74,41 +76,90 @@ RAW_FIELDS = {
 
 
 def typed_projection(raw: DataFrame) -> DataFrame:
-    return cl.project(raw, {out: cl.try_cast_col(src, t) for src, (out, t) in RAW_FIELDS.items()})
-
-
-def clean_listings(raw: DataFrame, group: str = "district", exact: bool = False,
-                   dedup: bool = False) -> DataFrame:
-    """The silver chain. ``dedup=True`` first keeps one row per ``row_id``
-    (latest ``updated_at``; the whole row breaks ties), for feeds that
-    deliver a listing again when it is updated."""
-    spark = raw.sparkSession
+    """Typed columns under their silver names; casts are tolerant and NaN
+    becomes NULL, the only marker of a missing value from here on."""
+    return cl.nan_to_null(cl.project(raw, {out: cl.try_cast_col(src, t) for src, (out, t) in RAW_FIELDS.items()}))
+
+
+def latest_listings(typed: DataFrame) -> DataFrame:
+    """One row per ``row_id`` (latest ``updated_at``; the whole row breaks
+    ties). Rows without a usable id cannot be told apart: all of them stay,
+    and ``cleaning.cast_rejects`` on the raw id counts them."""
+    rest = [F.col(f"`{c}`") for c in typed.columns if c != "row_id"]
+    known = dedup_latest(typed.where(F.col("row_id").isNotNull()), ["row_id"], [F.col("updated_at"), F.struct(*rest)])
+    return known.unionByName(typed.where(F.col("row_id").isNull()))
+
+
+def clean_listings(raw: DataFrame, group: str = "district", exact: bool = True,
+                   dedup: bool = False, lookups: DataFrame | None = None) -> DataFrame:
+    """The silver chain. ``dedup=True`` first keeps one row per listing
+    (:func:`latest_listings`), for feeds that deliver a listing again when it
+    is updated. ``lookups`` are group values from elsewhere, e.g. the whole
+    history (:func:`run_silver`); without them they come from ``raw``.
+    ``exact=False`` takes an approximate median."""
     df = typed_projection(raw)
     if dedup:
-        from lakeshelf.operators.dims import dedup_latest
-        rest = [F.col(f"`{c}`") for c in df.columns if c != "row_id"]
-        df = dedup_latest(df, ["row_id"], [F.col("updated_at"), F.struct(*rest)])
+        df = latest_listings(df)
+    return finish_listings(df, group, exact, lookups)
+
+
+def finish_listings(df: DataFrame, group: str = "district", exact: bool = True,
+                    lookups: DataFrame | None = None) -> DataFrame:
+    """The chain after typing and de-duplication."""
+    spark = df.sparkSession
     cats = code_table(spark, CATEGORY_CODES, CATEGORY_COLUMNS)
     # 23 literal rows: a proven size bound, so the broadcast is safe
     df = df.join(F.broadcast(cats), df["category"] == cats["category_id"], "left") \
            .drop("category_id", "category")
     df = cl.fill_const(df, {"user_review": 0, "advertiser_type": "N/A"})
     df = impute(df, group, modes={c: MODE_DEFAULT for c in MODE_COLUMNS},
-                medians={MEDIAN_COLUMN: MEDIAN_DEFAULT}, exact=exact)
+                medians={MEDIAN_COLUMN: MEDIAN_DEFAULT}, exact=exact, lookups=lookups)
     df = cl.decode(df, "rent_period", RENT_PERIODS)
     df = cl.flags_to_text(df, FLAG_RENAMES)
     return cl.conform(df, SILVER_SCHEMA)
 
 
-def clean_listings_sql(raw_sql: str, group: str = "district") -> str:
-    """The same chain as SQL text (used as the oracle)."""
-    casts = ",\n  ".join(
-        f'TRY_CAST("{src}" AS {t.upper().replace("TIMESTAMP_NTZ", "TIMESTAMP")}) AS {out}'
-        for src, (out, t) in RAW_FIELDS.items())
+def run_silver(spark, bronze: str, root: str, until: int | None = None) -> bool:
+    """One gated silver increment whose imputation sees the whole history.
+
+    The rule: a run over bronze versions (since, until] imputes its rows from
+    the group values of all rows of versions up to ``until``. They are kept as
+    counts (district, column, value, n), one version of ``value_counts`` per
+    run, which add up; so no run reads old bronze rows again, and a group's
+    lookup at a version does not depend on how the versions were batched
+    (repeated deliveries within one run count once, as its newest row).
+    Counts, rows and mark are written in this order, each run replaces only
+    its own versions, and an unfinished run is finished first."""
+    from lakeshelf.operators.facts import incremental_steps
+    from lakeshelf.session import materialize
+    from lakeshelf.sources import io
+
+    counts_path = f"{root}/value_counts"
+
+    def step(changes, since, upto):
+        typed = materialize(latest_listings(typed_projection(changes)), "typed")
+        counts = im.count_table(typed, "district", [*MODE_COLUMNS, MEDIAN_COLUMN])
+        io.append_version(counts, counts_path, version=upto)
+        history = io.read_versions(spark, counts_path).where(F.col(io.VERSION) <= upto)
+        lookups = im.lookups_from_counts(history, {c: typed.schema[c].dataType for c in MODE_COLUMNS},
+                                         {MEDIAN_COLUMN: typed.schema[MEDIAN_COLUMN].dataType})
+        io.append_version(finish_listings(typed, lookups=lookups), f"{root}/silver", version=upto)
+
+    return incremental_steps(spark, f"{root}/state", "silver_posts", bronze, step, until)
+
+
+def clean_listings_sql(raw_sql: str, group: str = "district", history_sql: str | None = None) -> str:
+    """The same chain as SQL text (used as the oracle); lookups come from
+    ``history_sql``, by default the rows themselves."""
+    def cast(src, t):
+        e = f'TRY_CAST("{src}" AS {t.upper().replace("TIMESTAMP_NTZ", "TIMESTAMP")})'
+        return f"CASE WHEN isnan({e}) THEN NULL ELSE {e} END" if t in ("float", "double") else e
+    casts = ",\n  ".join(f"{cast(src, t)} AS {out}" for src, (out, t) in RAW_FIELDS.items())
+    hist = "t" if history_sql is None else "h"
     values = ", ".join(f"({c}, '{p}', '{t}')" for c, p, t in CATEGORY_CODES)
     modes = "\n".join(
         f""", m_{c} AS (SELECT {group}, {c} AS v FROM (SELECT {group}, {c}, row_number() OVER (
-  PARTITION BY {group} ORDER BY n DESC, {c}) AS r FROM (SELECT {group}, {c}, count(*) AS n FROM t
+  PARTITION BY {group} ORDER BY n DESC, {c}) AS r FROM (SELECT {group}, {c}, count(*) AS n FROM {hist}
   WHERE {c} IS NOT NULL GROUP BY {group}, {c}) f) WHERE r = 1)""" for c in MODE_COLUMNS)
     imputed = {c: f"coalesce(t.{c}, m_{c}.v, {MODE_DEFAULT})" for c in MODE_COLUMNS}
     imputed[MEDIAN_COLUMN] = f"coalesce(t.{MEDIAN_COLUMN}, md.v, {MEDIAN_DEFAULT})"
@@ -135,9 +186,10 @@ def clean_listings_sql(raw_sql: str, group: str = "district") -> str:
         "is_daily_rentable": flag(imputed["daily_rentable"]),
     }
     sel = ",\n  ".join(f"{e} AS {n}" for n, e in out.items())
+    h = "" if history_sql is None else f"h AS (SELECT {casts} FROM {history_sql} raw_h),\n"
     return f"""WITH t AS (SELECT {casts} FROM {raw_sql} raw),
-k0 AS (SELECT * FROM (VALUES {values}) v(category_id, property_type, transaction_type)),
-md AS (SELECT {group}, quantile_disc({MEDIAN_COLUMN}, 0.5) AS v FROM t GROUP BY {group}){modes}
+{h}k0 AS (SELECT * FROM (VALUES {values}) v(category_id, property_type, transaction_type)),
+md AS (SELECT {group}, quantile_disc({MEDIAN_COLUMN}, 0.5) AS v FROM {hist} GROUP BY {group}){modes}
 SELECT {sel}
 FROM t LEFT JOIN k0 k ON t.category = k.category_id
 LEFT JOIN md ON t.{group} = md.{group}

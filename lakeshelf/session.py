@@ -8,6 +8,7 @@ counts and configuration strings.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -24,8 +25,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -39,7 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g"))
-    for k, v in {**SCALE_CONF, **(extra or {})}.items():
+    for k, v in {**SCALE_CONF, "spark.sql.session.timeZone": "UTC", **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -82,9 +81,30 @@ def scratch_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_SCOPES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared scratch root."""
-    return f"{scratch_root(spark)}/lakeshelf/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared scratch root (or the folder of
+    the current :func:`scratch_scope`)."""
+    top = _SCOPES[-1] if _SCOPES else f"{scratch_root(spark)}/lakeshelf"
+    return f"{top}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that :func:`materialize` writes inside the ``with`` block are
+    deleted at its end: for steps that write their result elsewhere before
+    they return. (A query that returns a lazy DataFrame cannot know its last
+    reader; its tables stay until the scratch folder is cleaned.)"""
+    top = f"{scratch_root(spark)}/lakeshelf/scope-{uuid.uuid4().hex[:12]}"
+    _SCOPES.append(top)
+    try:
+        yield top
+    finally:
+        _SCOPES.remove(top)
+        p = spark._jvm.org.apache.hadoop.fs.Path(top)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -148,8 +168,8 @@ def checked_broadcast(small: DataFrame, max_bytes: int | None = None,
     under ``max_bytes`` (default: the session's broadcast threshold).
 
     ``known_rows`` is a proven upper bound on the rows (e.g. a literal code
-    table, or the stored table a key join cannot grow); the bytes are then
-    estimated from the schema. Otherwise the side is written to the shared
+    table); with columns of fixed width only, the bytes then follow from the
+    schema. Otherwise the side is written to the shared
     scratch folder (``stored=True``: it already reads a stored table) and
     measured: row count and the actual byte length of its text columns. Above
     the limit the side is returned unhinted, so the join shuffles on its keys
@@ -158,7 +178,7 @@ def checked_broadcast(small: DataFrame, max_bytes: int | None = None,
     limit = broadcast_limit(spark) if max_bytes is None else max_bytes
     if limit <= 0:
         return small
-    if known_rows is not None:
+    if known_rows is not None and all(type(f.dataType) in _WIDTH for f in small.schema.fields):
         size = known_rows * row_width(small.schema)
     else:
         if not stored:

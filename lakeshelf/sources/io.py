@@ -80,7 +80,8 @@ def dated_folder(as_of: _dt.datetime) -> str:
 def ingest(spark: SparkSession, entries: Iterable[dict], src_root: str, dst_root: str,
            as_of: _dt.datetime, src_format: str = "parquet", dst_format: str = "json") -> list[str]:
     """Copy each manifest entry to
-    ``<dst_root>/<folder_destination>/year=yyyy/month=MM/day=dd/<file>_HHmm``.
+    ``<dst_root>/<container_name>/<folder_destination>/year=yyyy/month=MM/day=dd/<file>_HHmm``
+    (entries without a container go to ``dst_root`` itself).
 
     The loop runs over manifest entries (a handful of configuration rows);
     each copy is a distributed read and write. ``as_of`` is a parameter so a
@@ -88,17 +89,18 @@ def ingest(spark: SparkSession, entries: Iterable[dict], src_root: str, dst_root
     written = []
     for e in entries:
         src = os.path.join(src_root, e["relative_path"])
-        dst = "/".join([dst_root.rstrip("/"), e["folder_destination"].strip("/"), dated_folder(as_of),
-                        f"{e['file_destination']}_{as_of:%H%M}"])
+        dst = "/".join(x for x in (dst_root.rstrip("/"), (e.get("container_name") or "").strip("/"),
+                                   e["folder_destination"].strip("/"), dated_folder(as_of),
+                                   f"{e['file_destination']}_{as_of:%H%M}") if x)
         spark.read.format(src_format).load(src).write.mode("overwrite").format(dst_format).save(dst)
         written.append(dst)
     return written
 
 
 def latest_partition(df: DataFrame, year: str = "year", month: str = "month", day: str = "day") -> DataFrame:
-    """One row: the newest ``yyyyMMdd`` over Hive-style date parts (parts may
-    be unpadded integers). On a partitioned scan only the partition values
-    are read."""
+    """One row: the newest ``yyyyMMdd`` over date columns (parts may be
+    unpadded integers), by a scan. For a stored table partitioned by date use
+    :func:`newest_date`, which only lists folders."""
     d = F.to_date(F.concat_ws("-", F.col(year), F.col(month), F.col(day)))
     return df.select(F.date_format(d, "yyyyMMdd").alias("ingestion")).agg(
         F.max("ingestion").alias("max_ingestion"))
@@ -112,14 +114,14 @@ def append_version(df: DataFrame, path: str, version: int | Column | None = None
 
     ``version`` = an int stamps every row; ``None`` keeps the rows' own
     ``_commit_version`` column. Only the written versions are replaced."""
-    spark = df.sparkSession
     if version is not None:
         v = version if isinstance(version, Column) else F.lit(int(version))
         df = df.withColumn(VERSION, v.cast("int"))
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(VERSION)
+    # AQE then writes few files for a small version and splits a large one
+    w = (df.hint("rebalance", VERSION).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 
@@ -136,28 +138,45 @@ def read_changes(table: DataFrame, since: int, until: int | None = None) -> Data
     return table.where(cond)
 
 
-def current_version(table: DataFrame) -> DataFrame:
-    """One row: the newest version. ``max`` of a partition column is answered
-    from the file listing (no data pages read)."""
-    return table.agg(F.max(VERSION).alias("current_version"))
-
-
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Newest version of the table at ``path`` from its folder listing alone
-    (one directory level, no Spark job); None if it has none."""
+def _folder_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Values of the folders ``<column>=<int>`` in ``path`` (one listing, no
+    Spark job)."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return None
-    best = None
-    prefix = VERSION + "="
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix):
-            try:
-                v = int(name[len(prefix):])
-            except ValueError:
-                continue
-            best = v if best is None else max(best, v)
-    return best
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    values = [n[len(column) + 1:] for n in names if n.startswith(column + "=")]
+    return [int(v) for v in values if v.lstrip("-").isdigit()]
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """Newest version of the table at ``path`` from its folder names; None if
+    it has none."""
+    return max(_folder_values(spark, path, VERSION), default=None)
+
+
+def current_version(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the newest version of the table at ``path``, without a scan."""
+    return spark.createDataFrame([(latest_version(spark, path),)], "current_version int")
+
+
+def newest_date(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the newest ``yyyyMMdd`` of a table partitioned by year, month
+    and day, from three folder listings."""
+    parts = []
+    for column in ("year", "month", "day"):
+        v = max(_folder_values(spark, "/".join([path, *[f"{c}={x}" for c, x in parts]]), column), default=None)
+        if v is None:
+            return spark.createDataFrame([(None,)], "max_ingestion string")
+        parts.append((column, _shown(spark, path, parts, column, v)))
+    return spark.createDataFrame([(f"{int(parts[0][1]):04d}{int(parts[1][1]):02d}{int(parts[2][1]):02d}",)], "max_ingestion string")
+
+
+def _shown(spark: SparkSession, path: str, parts: list, column: str, value: int) -> str:
+    """How a folder writes its value: plain or padded to two digits."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path("/".join([path, *[f"{c}={x}" for c, x in parts], f"{column}={value}"]))
+    plain = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return str(value) if plain else f"{value:02d}"

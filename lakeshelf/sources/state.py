@@ -1,11 +1,14 @@
 """Incremental-load state: high-water marks per table (``table_name``,
-``mark`` as text), a handful of control rows kept as a JSON-lines snapshot
-file in the shared folder.
+``mark`` as text) and the range that a run has started, in the shared folder.
 
-Writing marks creates a new snapshot file and then points a one-line
-``_CURRENT`` file at it, so readers never see a half-written state, and
-the data write always precedes the mark write (``run_step``): a failure
-between the two replays the same, idempotent, version write.
+Each move of a mark is one small new file, never changed or deleted, whose
+name carries the table and a sequence number; the newest file of a table wins.
+It is created under a temporary name and renamed, so a reader sees the old or
+the new mark, and writers of different tables cannot lose each other's marks.
+
+``run_step`` records the range (since, until] before it writes data and
+finishes exactly that range after a failure, even if the source has moved on
+since: data written for it is replaced, not repeated.
 """
 
 from __future__ import annotations
@@ -19,13 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = "table_name string, mark string"
 
-# Seeds (fixed values): bronze marks start at the epoch date, gold marks at version 1.
+# Seeds (fixed values): bronze marks start at the epoch date; gold marks before
+# version 0, as the first version of a table here already holds data.
 BRONZE_SEED = "1970-01-01"
-GOLD_SEED = "1"
-
+GOLD_SEED = "-1"
 
-def _pointer(root: str) -> str:
-    return os.path.join(root, "_CURRENT")
+_INTENT = "#started"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -35,59 +37,53 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file through the Hadoop file system (any scheme the
-    cluster supports), replacing it by rename."""
+    """Create a small text file through the Hadoop file system (any scheme the
+    cluster supports): complete under its name or not there."""
     fs, p = _hadoop_fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(path + f".{uuid.uuid4().hex}.tmp")
+    tmp = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(os.path.dirname(path), f".{uuid.uuid4().hex}.tmp"))
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode()))
     out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    if not fs.rename(tmp, p):
+        raise OSError(f"cannot create {path}")
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def _read_text(spark: SparkSession, path: str) -> str:
     fs, p = _hadoop_fs(spark, path)
-    if not fs.exists(p):
-        return None
     jio = spark._jvm.java.io
     reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
     try:
-        line = reader.readLine()
+        return reader.readLine() or ""
     finally:
         reader.close()
-    return line.strip() if line else None
+
+
+def _newest(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
+    """{key: (sequence, file name)} of the newest file of each key."""
+    fs, p = _hadoop_fs(spark, root)
+    best: dict[str, tuple[int, str]] = {}
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.endswith(".mark"):
+                key, seq, _ = name[:-5].rsplit("~", 2)
+                best[key] = max(best.get(key, (-1, "")), (int(seq), name))
+    return best
+
+
+def _put(spark: SparkSession, root: str, key: str, value: str) -> None:
+    seq = _newest(spark, root).get(key, (-1, ""))[0] + 1
+    write_text(spark, os.path.join(root, f"{key}~{seq:012d}~{uuid.uuid4().hex[:8]}.mark"), json.dumps({"value": value}))
+
+
+def _get_all(spark: SparkSession, root: str) -> dict[str, str]:
+    return {k: json.loads(_read_text(spark, os.path.join(root, name)))["value"] for k, (_, name) in _newest(spark, root).items()}
 
 
 def read_marks(spark: SparkSession, root: str) -> dict[str, str]:
     """The current marks as {table_name: mark} (a few control rows, read
     through the file system without a Spark job)."""
-    snap = _read_text(spark, _pointer(root))
-    if snap is None:
-        return {}
-    fs, p = _hadoop_fs(spark, os.path.join(root, snap))
-    jio = spark._jvm.java.io
-    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
-    marks = {}
-    try:
-        line = reader.readLine()
-        while line is not None:
-            if line.strip():
-                row = json.loads(line)
-                marks[row["table_name"]] = row["mark"]
-            line = reader.readLine()
-    finally:
-        reader.close()
-    return marks
-
-
-def write_marks(spark: SparkSession, root: str, marks: dict[str, str]) -> None:
-    """Write a new snapshot of the marks, then point ``_CURRENT`` at it: a
-    reader sees the old or the new state, never a partial one."""
-    snap = f"snapshot-{uuid.uuid4().hex[:12]}.json"
-    body = "\n".join(json.dumps({"table_name": k, "mark": str(v)}) for k, v in sorted(marks.items()))
-    write_text(spark, os.path.join(root, snap), body + "\n")
-    write_text(spark, _pointer(root), snap)
+    return {k: v for k, v in _get_all(spark, root).items() if not k.endswith(_INTENT)}
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -97,9 +93,8 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 def seed_marks(spark: SparkSession, root: str, names: Iterable[str], value: str) -> None:
     """Create (or reset) marks for ``names`` to ``value``."""
-    marks = read_marks(spark, root)
-    marks.update({n: str(value) for n in names})
-    write_marks(spark, root, marks)
+    for n in names:
+        _put(spark, root, n, str(value))
 
 
 def get_mark(spark: SparkSession, root: str, name: str) -> str | None:
@@ -107,9 +102,7 @@ def get_mark(spark: SparkSession, root: str, name: str) -> str | None:
 
 
 def set_mark(spark: SparkSession, root: str, name: str, value) -> None:
-    marks = read_marks(spark, root)
-    marks[name] = str(value)
-    write_marks(spark, root, marks)
+    _put(spark, root, name, str(value))
 
 
 def if_newer(last, current) -> bool:
@@ -121,14 +114,26 @@ def if_newer(last, current) -> bool:
     return last < current
 
 
-def run_step(spark: SparkSession, root: str, name: str, current, step: Callable[[object], None]) -> bool:
-    """Gate on the mark, run ``step(last_mark)`` (which must write its data
-    idempotently), then move the mark. Errors propagate; the mark only moves
-    after the data is written."""
-    last = get_mark(spark, root, name)
-    if not if_newer(_typed(last, current), current):
-        return False
-    step(_typed(last, current))
+def run_step(spark: SparkSession, root: str, name: str, current, step: Callable[[object, object], None]) -> bool:
+    """Gate on the mark and run ``step(since, until)``, which must write its
+    data so that a repeat of the same range replaces it; then move the mark.
+
+    The range is recorded first. If an earlier run recorded one and did not
+    move the mark, exactly that range is finished before a newer one starts.
+    Errors propagate. Returns whether any range was run."""
+    ran = False
+    state = _get_all(spark, root)
+    last = _typed(state.get(name), current)
+    started = json.loads(state.get(name + _INTENT, "null"))
+    if started and started["since"] == state.get(name) and if_newer(last, _typed(started["until"], current)):
+        until = _typed(started["until"], current)
+        step(last, until)
+        set_mark(spark, root, name, until)
+        last, ran = until, True
+    if not if_newer(last, current):
+        return ran
+    _put(spark, root, name + _INTENT, json.dumps({"since": None if last is None else str(last), "until": str(current)}))
+    step(last, current)
     set_mark(spark, root, name, current)
     return True
 

@@ -17,7 +17,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshelf.functions.predicates import all_of, eq_ci, matches_ci
+from lakeshelf.functions.predicates import all_of, eq_ci, matches_ci, present
+from lakeshelf.operators.dims import dedup_latest
 from lakeshelf.operators.impute import exact_median
 from lakeshelf.session import checked_broadcast
 
@@ -50,12 +51,13 @@ def relax(c: Criteria, factor: float = 0.7) -> Criteria:
 
 
 def predicate(c: Criteria, cols: Mapping[str, str] = DEFAULT_COLS) -> Column:
-    """Conjunction of the given criteria plus "price is present". Text
+    """Conjunction of the given criteria plus "price is present" (neither
+    NULL nor NaN; a NaN is in no range either). Text
     criteria: city/district are case-insensitive regex containment (NULL
     never matches), type/transaction are case-insensitive equality with a
     trimmed parameter; ranges are inclusive."""
     col = lambda f: F.col(cols[f])
-    p = [col("price").isNotNull()]
+    p = [present(col("price"))]
     if c.city:
         p.append(matches_ci(col("city"), c.city))
     if c.district:
@@ -68,7 +70,7 @@ def predicate(c: Criteria, cols: Mapping[str, str] = DEFAULT_COLS) -> Column:
                      (c.min_bedrooms, "bedrooms", "ge"), (c.min_bathrooms, "bathrooms", "ge"),
                      (c.min_area, "area", "ge"), (c.max_area, "area", "le")):
         if v is not None:
-            p.append(col(f) >= v if op == "ge" else col(f) <= v)
+            p.append((col(f) >= v) & ~F.isnan(col(f)) if op == "ge" else col(f) <= v)
     if c.furnished is not None:
         p.append(col("has_furnished") == ("Yes" if c.furnished else "No"))
     return all_of(p)
@@ -96,16 +98,20 @@ def _int_text(c: Column, suffix: str = "") -> Column:
     return F.when(c.isNull(), F.lit("N/A")).otherwise(F.concat(txt, F.lit(suffix)))
 
 
-def detail(df: DataFrame, ids: DataFrame, cols: Mapping[str, str] = DEFAULT_COLS) -> DataFrame:
+def detail(df: DataFrame, ids: DataFrame, cols: Mapping[str, str] = DEFAULT_COLS,
+           order: Sequence[str] = ("updated_at", "_commit_version")) -> DataFrame:
     """Detail cards (17 labelled text fields, "N/A" when missing, price with
     thousands separators) for the rows whose id is in ``ids`` (one column).
     ``ids`` is a short list (a search result): it is size-checked before
-    broadcasting. Duplicated ids keep their first row by the full row order."""
+    broadcasting. A repeated id shows its newest row by those of the
+    ``order`` columns that the table has (the whole row breaks ties)."""
     col = lambda f: F.col(cols[f])
     idc = ids.columns[0]
     hits = df.join(checked_broadcast(ids.select(F.col(idc).alias(cols["row_id"])).distinct()),
                    cols["row_id"], "left_semi")
-    card = hits.select(
+    rest = [c for c in hits.columns if c != cols["row_id"]]
+    hits = dedup_latest(hits, [cols["row_id"]], [*[c for c in order if c in rest], *rest])
+    return hits.select(
         col("row_id").alias("property_id"), col("property_type").alias("type"),
         col("transaction_type").alias("transaction"), col("city").alias("city"),
         col("district").alias("district"), _int_text(col("price"), " SAR").alias("price"),
@@ -116,10 +122,6 @@ def detail(df: DataFrame, ids: DataFrame, cols: Mapping[str, str] = DEFAULT_COLS
         col("rent_period").alias("rent_period"),
         F.coalesce(col("user_name"), F.lit("N/A")).alias("advertiser"),
         col("is_verified").alias("verified"))
-    rest = [c for c in card.columns if c != "property_id"]
-    first = F.min_by(F.struct(*rest), F.struct(*rest))
-    return (card.groupBy("property_id").agg(first.alias("r"))
-                .select("property_id", *[F.col(f"r.{c}").alias(c) for c in rest]))
 
 
 def facets(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -139,6 +141,30 @@ def facet_by_parent(df: DataFrame, parent: str, pattern: str, child: str) -> Dat
               .select(child).distinct().orderBy(child))
 
 
+def price_range_of(df: DataFrame, property_type: str | None = None, transaction_type: str | None = None,
+                   cols: Mapping[str, str] = DEFAULT_COLS) -> DataFrame:
+    """One row (min, max, median) of the prices that are present, truncated to
+    integers, of the listings of a type and a transaction type, each optional
+    (case-insensitive); 0, 0, 0 if there are none."""
+    m = F.col(cols["price"])
+    p = [present(m)] + [F.coalesce(F.lower(F.col(cols[f])) == v.lower(), F.lit(False))
+                        for f, v in (("property_type", property_type), ("transaction_type", transaction_type)) if v]
+    x = df.where(all_of(p)).select(F.lit(0).alias("__k"), m.alias("__m"))
+    mm = x.agg(F.min("__m").alias("mn"), F.max("__m").alias("mx")).withColumn("__k", F.lit(0))
+    out = mm.join(F.broadcast(exact_median(x, "__k", "__m", name="md")), "__k", "left")  # one row
+    return out.select(*[F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")).alias(n)
+                        for c, n in (("mn", "min"), ("mx", "max"), ("md", "median"))])
+
+
+def options(df: DataFrame, deals: Sequence[str] = ("Sell", "Rental"), cols: Mapping[str, str] = DEFAULT_COLS) -> DataFrame:
+    """What a customer can choose from: a row (option, value, min, max,
+    median) for each city and property type, and the price range of each deal."""
+    null = [F.lit(None).cast("bigint").alias(c) for c in ("min", "max", "median")]
+    out = facets(df, [cols["city"], cols["property_type"]]).select(F.col("facet").alias("option"), "value", *null)
+    ranges = price_range(df, cols["transaction_type"], list(deals), cols["price"])
+    return out.unionByName(ranges.select(F.lit("price").alias("option"), F.col(cols["transaction_type"]).alias("value"), "min", "max", "median"))
+
+
 def price_range(df: DataFrame, by: str, values: Sequence[str], measure: str = "price") -> DataFrame:
     """For each requested ``by`` value (case-insensitive): min, max and
     interpolated median of ``measure`` truncated to integers; a value with no
@@ -146,7 +172,7 @@ def price_range(df: DataFrame, by: str, values: Sequence[str], measure: str = "p
     spark = df.sparkSession
     want = spark.createDataFrame([(v, v.lower()) for v in values], f"{by} string, __k string")
     x = df.select(F.lower(F.col(by)).alias("__k"), F.col(measure).alias("__m")) \
-          .where(F.col("__m").isNotNull())
+          .where(present("__m"))
     x = x.join(F.broadcast(want.select("__k")), "__k", "left_semi")  # literal list: bounded
     mm = x.groupBy("__k").agg(F.min("__m").alias("mn"), F.max("__m").alias("mx"))
     med = exact_median(x, "__k", "__m", interpolate=True, name="md")

@@ -103,3 +103,25 @@ SELECT l_orderkey, l_linenumber, CASE WHEN isnan(disc) THEN NULL ELSE disc END A
 FROM {NAN_LINEITEM_SQL} x""")
 def q_nan_to_null(spark, sf):
     return cl.nan_to_null(_nan_lineitem(spark, sf))
+
+
+@query("profile_bundle", """
+WITH f AS (SELECT l_returnflag AS k, l_quantity AS m, l_linenumber FROM lineitem)
+SELECT 'freq' AS part, k, CAST(count(*) AS DOUBLE) AS v FROM f GROUP BY k
+UNION ALL SELECT 'distinct', k, NULL FROM f GROUP BY k
+UNION ALL SELECT 'nulls', 'm', CAST(count(*) AS DOUBLE) FROM f WHERE l_linenumber = 3 HAVING count(*) > 0
+UNION ALL SELECT 'min', NULL, min(m) FROM f WHERE l_linenumber <> 3 UNION ALL SELECT 'max', NULL, max(m) FROM f WHERE l_linenumber <> 3
+UNION ALL SELECT 'avg', k, round(avg(m), 2) FROM f WHERE l_linenumber <> 3 GROUP BY k""")
+def q_profile_bundle(spark, sf):
+    """All parts of the exploration bundle as one long table."""
+    li = read_table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("k"), F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("m"))
+    p = pr.profile(li, "k", "m")
+    none = F.lit(None).cast("string").alias("k")
+    part = lambda name, df, key, v: df.select(F.lit(name).alias("part"), key, v.cast("double").alias("v"))
+    out = part("nulls", p["nulls"], F.col("column_name").alias("k"), F.col("null_count"))
+    for x in (part("freq", p["freq"], F.col("k"), F.col("freq")), part("distinct", p["distinct"], F.col("k"), F.lit(None)),
+              part("min", p["min_max"], none, F.col("min_m")), part("max", p["min_max"], none, F.col("max_m")),
+              part("avg", p["avg"], F.col("k"), F.col("avg_m"))):
+        out = out.unionByName(x)
+    return out

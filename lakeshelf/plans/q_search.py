@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from lakeshelf.operators import search as se
 from lakeshelf.plans.registry import query
 from lakeshelf.plans.roles import LISTINGS_SQL as L
 from lakeshelf.plans.roles import listings
+from lakeshelf.session import read_table
 
 FILTER = se.Criteria(city="amer", property_type=" building ", min_price=100000, max_price=300000,
                      min_bedrooms=2, min_bathrooms=2, min_area=1000, max_area=3000, furnished=True)
@@ -96,3 +98,55 @@ LEFT JOIN {L} l ON lower(l.transaction_type) = lower(w.transaction_type) AND l.p
 GROUP BY w.transaction_type""")
 def q_price_range(spark, sf):
     return se.price_range(listings(spark, sf), "transaction_type", PRICE_TYPES)
+
+
+NAN_SQL = f"(SELECT * REPLACE (CASE WHEN transaction_type = 'P' THEN 'NaN'::DOUBLE ELSE price END AS price) FROM {L} n)"
+
+
+def _nan_prices(spark, sf):
+    """Listings whose price is NaN in one transaction type."""
+    price = F.when(F.col("transaction_type") == "P", F.lit(float("nan"))).otherwise(F.col("price"))
+    return listings(spark, sf).withColumn("price", price)
+
+
+@query("search_nan_price", f"SELECT row_id, price FROM {NAN_SQL} x WHERE NOT isnan(price) AND price >= 50 AND bedrooms >= 4")
+def q_search_nan_price(spark, sf):
+    return se.search_filter(_nan_prices(spark, sf), se.Criteria(min_price=50, min_bedrooms=4)).select("row_id", "price")
+
+
+@query("price_range_nan", f"""
+SELECT w.transaction_type, coalesce(CAST(trunc(min(l.price)) AS BIGINT), 0) AS min,
+  coalesce(CAST(trunc(max(l.price)) AS BIGINT), 0) AS max,
+  coalesce(CAST(trunc(median(l.price)) AS BIGINT), 0) AS median
+FROM (VALUES {', '.join(f"('{v}')" for v in PRICE_TYPES)}) w(transaction_type)
+LEFT JOIN {NAN_SQL} l ON lower(l.transaction_type) = lower(w.transaction_type) AND l.price IS NOT NULL AND NOT isnan(l.price)
+GROUP BY w.transaction_type""")
+def q_price_range_nan(spark, sf):
+    return se.price_range(_nan_prices(spark, sf), "transaction_type", PRICE_TYPES)
+
+
+@query("price_range_two_filters", f"""
+SELECT coalesce(CAST(trunc(min(price)) AS BIGINT), 0) AS min, coalesce(CAST(trunc(max(price)) AS BIGINT), 0) AS max,
+  coalesce(CAST(trunc(median(price)) AS BIGINT), 0) AS median
+FROM {L} l WHERE lower(property_type) = 'building' AND lower(transaction_type) = 'o'""")
+def q_price_range_two_filters(spark, sf):
+    return se.price_range_of(listings(spark, sf), property_type="Building", transaction_type="o")
+
+
+DEALS = ["F", "O"]
+
+
+@query("options_summary", f"""
+SELECT DISTINCT 'city' AS option, city AS value, NULL::BIGINT AS min, NULL::BIGINT AS max, NULL::BIGINT AS median FROM {L} a
+UNION ALL SELECT DISTINCT 'property_type', property_type, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT FROM {L} b
+UNION ALL SELECT 'price', transaction_type, CAST(trunc(min(price)) AS BIGINT), CAST(trunc(max(price)) AS BIGINT),
+  CAST(trunc(median(price)) AS BIGINT) FROM {L} c WHERE transaction_type IN ('F', 'O') GROUP BY transaction_type""")
+def q_options_summary(spark, sf):
+    return se.options(listings(spark, sf), DEALS)
+
+
+@query("search_text_unicode", "SELECT doc_id, n_chars FROM documents WHERE regexp_matches(text, '(?i)ÉLLE|ÜNG|CIÓN')")
+def q_search_text_unicode(spark, sf):
+    """Case folding beyond ASCII, over documents as listings."""
+    cols = {**se.DEFAULT_COLS, "district": "text", "price": "n_chars"}
+    return se.search_filter(read_table(spark, sf, "documents"), se.Criteria(district="ÉLLE|ÜNG|CIÓN"), cols).select("doc_id", "n_chars")

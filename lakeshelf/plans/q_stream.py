@@ -10,11 +10,39 @@ from pyspark.sql import functions as F
 from lakeshelf.plans.registry import query
 from lakeshelf.plans.roles import LISTINGS_SQL, listings
 from lakeshelf.session import read_table, scratch_path
+from lakeshelf.sources import io
 from lakeshelf.streaming import alerts as al
 
 EVENT_WORDS = {"urgent": ["error"], "sales": ["purchase", "signup"], "intent": ['"k": 7']}
 CONV_WORDS = {"urgent": ["entre", "pas"], "sales": ["tion", "elle"], "intent": ["oui"]}
-LISTING_COLS = ["row_id", "user_name", "district", "city", "property_type", "area", "price"]
+LISTING_COLS = ["row_id", *al.LOOKUP_COLUMNS, "updated_at", io.VERSION]
+
+
+def _versions(spark, sf):
+    """The listing table with earlier states: every third listing was first
+    delivered by another user at half the price."""
+    li = listings(spark, sf).withColumn("updated_at", F.col("created_at"))
+    old = li.where(F.col("row_id") % 3 == 0).withColumns({
+        "user_name": F.lit("Zz former owner"), "price": F.col("price") / 2,
+        "updated_at": F.col("updated_at") - F.expr("interval 3 days"), io.VERSION: F.lit(0)})
+    return old.unionByName(li).select(*LISTING_COLS)
+
+
+def _lookup(spark, sf):
+    """The stored lookup, as kept by two loads: the earlier states, then the rest."""
+    path = scratch_path(spark, "lookup")
+    v = _versions(spark, sf)
+    al.write_lookup(v.where(F.col("user_name") == "Zz former owner"), path)
+    al.write_lookup(v.where(F.col("user_name") != "Zz former owner"), path)
+    return path
+
+
+VERSIONS_SQL = f"""(SELECT row_id, user_name, district, city, property_type, area, price, created_at AS updated_at, _commit_version
+FROM {LISTINGS_SQL} v1 UNION ALL
+SELECT row_id, 'Zz former owner', district, city, property_type, area, price / 2, created_at - INTERVAL 3 DAY, 0
+FROM {LISTINGS_SQL} v2 WHERE row_id % 3 = 0)"""
+NEWEST_SQL = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id
+  ORDER BY updated_at DESC, _commit_version DESC) AS rn FROM {VERSIONS_SQL} v) WHERE rn = 1)"""
 
 
 def _interactions(df):
@@ -31,18 +59,17 @@ def _interactions(df):
 def _projected(df):
     """T1 projection keeping the scorer columns."""
     return df.select(
-        F.col("id").alias("msg_id"), F.col("listing_ref").try_cast("int").alias("listing_ref"),
+        F.col("id").alias("msg_id"), F.col("listing_ref").try_cast("bigint").alias("listing_ref"),
         "phone_number", "comment",
         F.timestamp_seconds(F.col("_ts")).cast("timestamp_ntz").alias("event_time"), "label", "score")
 
 
 def _event_stream(spark, sf):
     schema = read_table(spark, sf, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-                 .option("maxFilesPerTrigger", 1).parquet(sf))
+    return al.read_interactions(spark, sf, schema=schema, max_files=1, pathGlobFilter="events.parquet")
 
 
-EV_SQL = """(SELECT CAST(event_id AS VARCHAR) AS msg_id, CAST(event_id AS INTEGER) AS listing_ref,
+EV_SQL = """(SELECT CAST(event_id AS VARCHAR) AS msg_id, CAST(event_id AS BIGINT) AS listing_ref,
   '05' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS phone_number, event_type || ' ' || props AS comment,
   make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) AS event_time,
   CASE WHEN value < 50 THEN 'negative' ELSE 'positive' END AS label, value / 500 AS score FROM events)"""
@@ -60,11 +87,8 @@ def _line(label, e):
 
 
 ROUTE_SQL = f"""WITH ev AS {EV_SQL},
-li AS (SELECT row_id, min(struct_pack(user_name, district, city, property_type, area, price)) AS r
-       FROM {LISTINGS_SQL} l GROUP BY row_id),
-j AS (SELECT ev.*, li.r.user_name AS user_name, li.r.district AS district, li.r.city AS city,
-        li.r.property_type AS property_type, li.r.area AS area, li.r.price AS price
-      FROM ev JOIN li ON ev.listing_ref = li.row_id),
+j AS (SELECT ev.*, li.user_name, li.district, li.city, li.property_type, li.area, li.price
+      FROM ev JOIN {NEWEST_SQL} li ON ev.listing_ref = li.row_id),
 c AS (SELECT *, {_classify_sql(EVENT_WORDS)} AS ai_analysis FROM j)
 SELECT msg_id, ai_analysis, CASE WHEN ai_analysis = 'urgent' THEN 'urgent_group' ELSE 'sales_group' END AS channel,
   CASE WHEN ai_analysis = 'urgent' THEN concat_ws(chr(10), 'URGENT (maintenance)', '------------------',
@@ -91,36 +115,54 @@ def q_stream_ingest(spark, sf):
 
 @query("stream_enrich", f"""
 SELECT e.msg_id, e.listing_ref, l.user_name, l.city, l.district, l.price
-FROM {EV_SQL} e JOIN {LISTINGS_SQL} l ON e.listing_ref = l.row_id""")
+FROM {EV_SQL} e JOIN {NEWEST_SQL} l ON e.listing_ref = l.row_id""")
 def q_stream_enrich(spark, sf):
-    """Stream-static inner join: each micro-batch re-reads the static side."""
+    """Each micro-batch reads the lookup buckets that it refers to."""
     out, ck = scratch_path(spark, "enrich_out"), scratch_path(spark, "enrich_ckpt")
+    path = _lookup(spark, sf)
     s = al.project_interactions(_interactions(_event_stream(spark, sf)))
-    e = al.enrich(s, listings(spark, sf).select(*LISTING_COLS))
-    q = (e.select("msg_id", "listing_ref", "user_name", "city", "district", "price")
-          .writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-          .trigger(availableNow=True).start())
+    q = al.write_batches(s, lambda batch: al.enrich(batch, spark.read.parquet(path)), out, ck, {"availableNow": True})
     al.run_available(q)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("msg_id", "listing_ref", "user_name", "city", "district", "price")
 
 
 @query("route_alerts", ROUTE_SQL)
 def q_route_alerts(spark, sf):
-    """Batch twin of the alert stream."""
+    """Batch twin of the alert stream, on the listing table itself."""
     ev = _projected(_interactions(read_table(spark, sf, "events")))
-    return al.alert_pipeline(ev, listings(spark, sf).select(*LISTING_COLS), "label", "score", EVENT_WORDS)
+    return al.alert_pipeline(ev, _versions(spark, sf), "label", "score", EVENT_WORDS)
 
 
 @query("stream_route", ROUTE_SQL)
 def q_stream_route(spark, sf):
     out, ck = scratch_path(spark, "alerts_out"), scratch_path(spark, "alerts_ckpt")
+    path = _lookup(spark, sf)
     s = _projected(_interactions(_event_stream(spark, sf)))
-    q = al.write_alerts(s, lambda: listings(spark, sf).select(*LISTING_COLS), out, ck,
+    q = al.write_alerts(s, lambda: spark.read.parquet(path), out, ck,
                         trigger={"availableNow": True}, label="label", score="score", words=EVENT_WORDS)
     al.run_available(q)
     return spark.read.parquet(out).drop("batch_id")
 
 
+@query("stream_route_bounded", ROUTE_SQL)
+def q_stream_route_bounded(spark, sf):
+    """The alert stream at its default trigger (every 5 seconds), stopped once
+    the source is used up."""
+    out, ck = scratch_path(spark, "alerts_b_out"), scratch_path(spark, "alerts_b_ckpt")
+    path = _lookup(spark, sf)
+    s = _projected(_interactions(_event_stream(spark, sf)))
+    q = al.write_alerts(s, lambda: spark.read.parquet(path), out, ck, label="label", score="score", words=EVENT_WORDS)
+    q.processAllAvailable()
+    q.stop()
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@query("classify_no_model", "SELECT conv_id, turn, 'general' AS ai_analysis FROM conversations")
+def q_classify_no_model(spark, sf):
+    """Without a sentiment model every message is general."""
+    return read_table(spark, sf, "conversations").select("conv_id", "turn", al.classify("text", **CONV_WORDS).alias("ai_analysis"))
+
+
 CONV_LABEL = "CASE WHEN (conv_id + turn) % 3 = 0 THEN 'negative' ELSE 'positive' END"
 CONV_SCORE = "((conv_id * 7 + turn) % 100) / 100.0"
 
@@ -152,19 +194,3 @@ def q_classify_scored(spark, sf):
     scorer = al.sentiment_udf(_lexicon_model)
     s = cv.select("conv_id", "turn", "text", scorer(F.col("text")).alias("s"))
     return s.select("conv_id", "turn", al.classify("text", "s.label", "s.score", **CONV_WORDS).alias("ai_analysis"))
-
-
-@query("stream_route_bounded", ROUTE_SQL)
-def q_stream_route_bounded(spark, sf):
-    """The alert stream with a proven per-batch bound (the source table's row
-    count bounds every micro-batch of this file stream): each batch's keys
-    are broadcast, the listing table is filtered during its scan, and only
-    matching listings are de-duplicated."""
-    out, ck = scratch_path(spark, "alerts_b_out"), scratch_path(spark, "alerts_b_ckpt")
-    bound = read_table(spark, sf, "events").count()
-    s = _projected(_interactions(_event_stream(spark, sf)))
-    q = al.write_alerts(s, lambda: listings(spark, sf).select(*LISTING_COLS), out, ck,
-                        trigger={"availableNow": True}, label="label", score="score", words=EVENT_WORDS,
-                        max_event_rows=bound)
-    al.run_available(q)
-    return spark.read.parquet(out).drop("batch_id")

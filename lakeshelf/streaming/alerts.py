@@ -11,7 +11,7 @@ that returns ``struct<label, score>``.
 
 from __future__ import annotations
 
-from typing import Callable, Iterable, Iterator
+from typing import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshelf.functions.keywords import any_keyword
-from lakeshelf.session import checked_broadcast
+from lakeshelf.operators.dims import BUCKET, with_bucket
+from lakeshelf.session import checked_broadcast, materialize, path_exists, scratch_scope
+from lakeshelf.sources.io import VERSION
 
 # Default keyword lists (fixed values), matched as substrings of the lower-cased text.
 URGENT_WORDS = ["صيانة", "تسريب", "خربان", "عاجل", "عاجلة", "مشكلة", "الحقوا", "خلل", "مكسور"]
@@ -37,10 +39,10 @@ INTERACTION_SCHEMA = T.StructType([
 
 
 def project_interactions(df: DataFrame) -> DataFrame:
-    """id -> msg_id, listing_ref -> int (tolerant), _ts (epoch seconds) ->
+    """id -> msg_id, listing_ref -> bigint (tolerant), _ts (epoch seconds) ->
     event_time."""
     return df.select(
-        F.col("id").alias("msg_id"), F.col("listing_ref").try_cast("int").alias("listing_ref"),
+        F.col("id").alias("msg_id"), F.col("listing_ref").try_cast("bigint").alias("listing_ref"),
         "phone_number", "comment",
         F.timestamp_seconds(F.col("_ts")).cast("timestamp_ntz").alias("event_time"))
 
@@ -48,13 +50,16 @@ def project_interactions(df: DataFrame) -> DataFrame:
 def classify(text: str | Column, label: str | Column | None = None, score: str | Column | None = None,
              urgent: Iterable[str] = URGENT_WORDS, sales: Iterable[str] = SALES_WORDS,
              intent: Iterable[str] = INTENT_WORDS, threshold: float = COMPLAINT_SCORE) -> Column:
-    """Ordered rules:
+    """Ordered rules, given the label and score of a sentiment model:
     1. any urgent word -> urgent;
     2. (any sales word and the label is not negative) or any intent word -> sales_lead;
     3. negative label with score above ``threshold`` -> complaint;
     4. general.
-    A NULL text matches no word; a missing label counts as not negative."""
-    lab = F.lit(None).cast("string") if label is None else (F.col(label) if isinstance(label, str) else label)
+    Without a model (``label`` is None) every message is general. A NULL text
+    matches no word; a NULL label counts as not negative."""
+    if label is None:
+        return F.lit(GENERAL)
+    lab = F.col(label) if isinstance(label, str) else label
     sc = F.lit(None).cast("double") if score is None else (F.col(score) if isinstance(score, str) else score)
     not_neg = F.coalesce(F.lower(lab) != NEGATIVE, F.lit(True))
     neg_conf = F.coalesce((F.lower(lab) == NEGATIVE) & (sc > threshold), F.lit(False))
@@ -82,28 +87,55 @@ def sentiment_udf(load_model: Callable[[], Callable[[list], list]]):
     return _score
 
 
-def enrich(events: DataFrame, listings: DataFrame, key: str = "row_id",
-           ref: str = "listing_ref", max_event_rows: int | None = None) -> DataFrame:
-    """Inner join of interactions to listings on ``ref = key``.
-
-    The listing side is reduced to one row per key (a duplicated listing
-    would otherwise raise one alert per copy). For a static batch (a
-    micro-batch inside ``foreachBatch``) the listing table is first
-    semi-joined to the batch's keys, so only matching listings are
-    de-duplicated; when a per-trigger limit bounds the batch
-    (``max_event_rows``) those keys are broadcast and the listing table is
-    filtered during its scan instead of being shuffled. A streaming
-    ``events`` frame gets the plain stream-static join."""
-    cols = [c for c in listings.columns if c != key]
-    if not events.isStreaming:
-        keys = events.select(F.col(ref).alias(key)).where(F.col(key).isNotNull()).distinct()
-        if max_event_rows:
-            keys = checked_broadcast(keys, known_rows=max_event_rows)
-        listings = listings.join(keys, key, "left_semi")
-    first = F.min_by(F.struct(*cols), F.struct(*cols))
-    one = listings.groupBy(key).agg(first.alias("__r")).select(key, *[F.col(f"__r.{c}").alias(c) for c in cols])
-    ev = checked_broadcast(events, known_rows=max_event_rows) if max_event_rows else events
-    return ev.join(one, ev[ref] == one[key], "inner").drop(one[key])
+LOOKUP_COLUMNS = ("user_name", "district", "city", "property_type", "area", "price")
+LOOKUP_ORDER = ("updated_at", VERSION)
+LOOKUP_BUCKETS = 64
+
+
+def newest_listings(listings: DataFrame, key: str = "row_id", order: Sequence[str] = LOOKUP_ORDER) -> DataFrame:
+    """One row per listing: the newest by those of the ``order`` columns that
+    the table has (the whole row breaks ties)."""
+    rest = [c for c in listings.columns if c != key]
+    by = [c for c in order if c in rest]
+    last = F.max_by(F.struct(*rest), F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate([*by, *rest])]))
+    return listings.groupBy(key).agg(last.alias("__r")).select(key, *[F.col(f"__r.{c}").alias(c) for c in rest])
+
+
+def write_lookup(listings: DataFrame, path: str, key: str = "row_id", columns: Sequence[str] = LOOKUP_COLUMNS,
+                 order: Sequence[str] = LOOKUP_ORDER, buckets: int = LOOKUP_BUCKETS) -> None:
+    """Write the compact lookup table of the alert stream: the newest row of
+    each listing, the columns that alerts need, partitioned by hash bucket of
+    the key. Given changes of a listing table whose lookup is already there,
+    only the buckets that they touch are read and rewritten."""
+    spark = listings.sparkSession
+    have = [c for c in order if c in listings.columns and c not in columns]
+    new = with_bucket(listings.select(key, *columns, *have).where(F.col(key).isNotNull()), [key], buckets)
+    if path_exists(spark, path):
+        new = materialize(new, "lookup_changes")
+        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
+        new = new.unionByName(spark.read.parquet(path).where(F.col(BUCKET).isin(touched)))
+    # written aside first: the buckets that are replaced are being read
+    out = materialize(newest_listings(new, key, order), "lookup")
+    (out.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET).parquet(path))
+
+
+def enrich(events: DataFrame, listings: DataFrame, key: str = "row_id", ref: str = "listing_ref",
+           buckets: int = LOOKUP_BUCKETS) -> DataFrame:
+    """Inner join of a batch of interactions to listings on ``ref = key``.
+
+    ``listings`` is a lookup table as :func:`write_lookup` stores it (one row
+    per listing): only the buckets that the batch refers to are read, and if
+    the batch's measured size is small it is broadcast, so no listing is
+    shuffled. Any other listing table is first reduced to its newest rows."""
+    if BUCKET not in listings.columns:
+        one = newest_listings(listings, key)
+        return events.join(one, events[ref] == one[key], "inner").drop(one[key])
+    refs = with_bucket(events.select(F.col(ref).cast(listings.schema[key].dataType).alias(key)).where(F.col(key).isNotNull()), [key], buckets)
+    touched = [r[0] for r in refs.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
+    one = listings.where(F.col(BUCKET).isin(touched)).drop(BUCKET).drop(*[c for c in LOOKUP_ORDER if c not in events.columns])
+    ev = checked_broadcast(events)
+    return one.join(ev, F.col(ref) == one[key], "inner").drop(one[key])
 
 
 def route(df: DataFrame, cls: str = "ai_analysis") -> DataFrame:
@@ -131,12 +163,11 @@ ALERT_COLUMNS = ["msg_id", "ai_analysis", "channel", "message", "comment", "even
 
 
 def alert_pipeline(events: DataFrame, listings: DataFrame, label: str | None = None,
-                   score: str | None = None, words: dict | None = None,
-                   max_event_rows: int | None = None) -> DataFrame:
+                   score: str | None = None, words: dict | None = None) -> DataFrame:
     """project -> enrich (join first: unmatched events are never scored) ->
     classify -> route."""
     words = words or {}
-    e = enrich(events, listings, max_event_rows=max_event_rows)
+    e = enrich(events, listings)
     e = e.withColumn("ai_analysis", classify("comment", label, score, **words))
     return route(e).select(*ALERT_COLUMNS)
 
@@ -151,25 +182,37 @@ def read_interactions(spark: SparkSession, path: str, schema: T.StructType = INT
     return r.load(path)
 
 
-def write_alerts(stream: DataFrame, listings_loader: Callable[[], DataFrame], out: str, checkpoint: str,
-                 trigger: dict | None = None, label: str | None = None, score: str | None = None,
-                 words: dict | None = None, max_event_rows: int | None = None):
-    """Start the alert query. Each micro-batch is enriched against a fresh
-    read of the listing table (``listings_loader``), classified, routed, and
-    written to ``out/batch_id=<id>``, overwriting that folder so a replayed
-    batch does not duplicate alerts."""
+def write_batches(stream: DataFrame, make: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+                  trigger: dict | None = None):
+    """Start a query that writes ``make(batch)`` of each micro-batch to
+    ``out/batch_id=<id>``, replacing that folder so that a replayed batch
+    does not duplicate rows. The batch is written to the shared scratch
+    folder once, as ``make`` may read it several times, and deleted after."""
+    spark = stream.sparkSession
+
     def sink(batch: DataFrame, batch_id: int):
-        alerts = alert_pipeline(batch, listings_loader(), label, score, words, max_event_rows)
-        alerts.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        with scratch_scope(spark):
+            make(materialize(batch, "batch")).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return w.start()
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def run_available(query, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to finish (bounded)."""
-    if not query.awaitTermination(timeout_s):
+def write_alerts(stream: DataFrame, listings_loader: Callable[[], DataFrame], out: str, checkpoint: str,
+                 trigger: dict | None = None, label: str | None = None, score: str | None = None,
+                 words: dict | None = None):
+    """Start the alert query: each micro-batch is enriched against a fresh
+    read of the lookup (``listings_loader``), classified, routed and written
+    (:func:`write_batches`)."""
+    return write_batches(stream, lambda batch: alert_pipeline(batch, listings_loader(), label, score, words), out, checkpoint, trigger)
+
+
+def run_available(query, timeout_s: int | None = None) -> None:
+    """Wait for an ``availableNow`` query to finish, however long its backlog
+    takes; with ``timeout_s``, stop it and raise after that time."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError("stream did not finish in time")
     if query.exception() is not None:

@@ -7,9 +7,10 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+from lakeshelf.plans import registry
 
-QUERIES = entry.queries()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
 
 
 def plan_text(df) -> str:
@@ -46,3 +47,18 @@ def test_impute_joins_lookups_once(spark, sf):
     # category code table and ONE lookup table for all ten imputed columns
     assert text.count("BroadcastHashJoin") // 2 == 5  # each join appears in tree and details
     assert text.count("SortMergeJoin") == 0
+
+
+def test_stream_lookup_reads_touched_buckets_without_a_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lakeshelf.operators.dims import BUCKET
+    from lakeshelf.streaming import alerts as al
+    path = f"file://{tmp_path}/lookup"
+    li = spark.range(5000).select(F.col("id").alias("row_id"), *[F.lit("x").alias(c) for c in al.LOOKUP_COLUMNS], F.lit(1).alias("updated_at"))
+    al.write_lookup(li, path)
+    batch = spark.createDataFrame([("m", 17), ("n", 23), ("o", None)], "msg_id string, listing_ref bigint")
+    out = al.enrich(batch, spark.read.parquet(path))
+    text = plan_text(out)
+    assert f"PartitionFilters: [{BUCKET}" in text and "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+    assert out.count() == 2

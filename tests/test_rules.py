@@ -121,14 +121,36 @@ def test_exact_median_hot_value_and_group(spark):
     assert dict(im.exact_median(df, "g", "v").collect()) == pdf.groupby("g")["v"].median().to_dict()
 
 
-def test_wide_mode_path_matches_narrow(spark):
-    data = [(i % 4 if i % 7 else None, (i * 3) % 5 if i % 6 else None, float(i % 3) if i % 5 else None)
-            for i in range(200)]
+def test_lookups_from_added_counts_match_one_count(spark):
+    data = [(i % 4 if i % 7 else None, (i * 3) % 5 if i % 6 else None,
+             float("nan") if i % 11 == 0 else float(i % 3) / 3 if i % 5 else None) for i in range(200)]
     df = spark.createDataFrame(data, "g int, a int, b double")
-    narrow = im.impute(df, "g", modes={"a": 1, "b": 1.0})
-    wide = im.impute(df, "g", modes={"a": 1, "b": 1.0}, wide_modes=["a", "b"])
-    assert rows(narrow) == rows(wide)
-    assert narrow.count() == 200
+    types = {c: df.schema[c].dataType for c in "ab"}
+    whole = im.group_lookups(df, "g", ["a", "b"], ["b"])
+    parts = im.count_table(df.where("a > 2"), "g", "ab").unionByName(im.count_table(df.where("a is null or a <= 2"), "g", "ab"))
+    added = im.lookups_from_counts(parts, types, {"b": types["b"]})
+    assert rows(whole) == rows(added, *whole.columns)
+    out = im.impute(df, "g", modes={"a": 1}, medians={"b": 7.0})
+    assert out.count() == 200
+
+
+def test_median_is_exact_in_large_groups(spark):
+    df = spark.range(120_000).select((F.col("id") % 2).alias("g"), ((F.col("id") * 7919) % 120_011).cast("double").alias("v"))
+    want = {g: sorted((i * 7919) % 120_011 for i in range(g, 120_000, 2))[29_999] for g in (0, 1)}
+    assert {r.g: r.median_v for r in im.median_by_group(df, "g", "v").collect()} == want
+
+
+def test_unicode_case_and_space(spark):
+    from lakeshelf.functions.predicates import matches_ci
+    df = spark.createDataFrame([("Élan",), ("DÜBENDORF",), ("\u00a0x\u3000",)], "t string")
+    assert [r[0] for r in df.select(matches_ci("t", "éL")).collect()] == [True, False, False]
+    assert [r[0] for r in df.select(matches_ci("t", "düb")).collect()] == [False, True, False]
+    assert cl.trim_strings(df, ["t"]).collect()[2][0] == "x"
+
+
+def test_classify_without_a_model(spark):
+    df = spark.createDataFrame([("عاجل سعر",), (None,)], "t string")
+    assert [r[0] for r in df.select(al.classify("t")).collect()] == ["general", "general"]
 
 
 def test_keyword_phrases_and_metacharacters(spark):
@@ -146,3 +168,25 @@ def test_silver_dedup_keeps_latest_update(spark, sf):
     out = silver.clean_listings(raw.unionByName(again), dedup=True)
     assert out.count() == raw.count()
     assert out.where(F.col("price") != 1.0).count() == 0
+
+
+def test_silver_keeps_rows_without_a_usable_id(spark, sf):
+    from lakeshelf.plans import silver
+    from lakeshelf.plans.roles import raw_listings
+    raw = raw_listings(spark, sf)
+    bad = raw.withColumn("id", F.when(F.col("category") == 7, F.concat(F.lit("x"), "id")).otherwise(F.col("id")))
+    n = bad.where(F.col("id").startswith("x")).count()
+    out = silver.clean_listings(bad, dedup=True)
+    assert n > 0 and out.count() == raw.count() and out.where("row_id is null").count() == n
+    assert cl.cast_rejects(bad, {"id": "bigint"}).first()[0] == n
+
+
+def test_lookup_keeps_the_newest_row_over_loads(spark, tmp_path):
+    path = f"file://{tmp_path}/lookup"
+    row = lambda i, who, price, at: (i, who, "d", "c", "p", 1.0, price, at)
+    cols = "row_id long, user_name string, district string, city string, property_type string, area double, price double, updated_at int"
+    al.write_lookup(spark.createDataFrame([row(1, "Ahmed", 900.0, 1), row(2, "Sara", 5.0, 9), row(None, "none", 1.0, 1)], cols), path)
+    al.write_lookup(spark.createDataFrame([row(1, "Zaid", 500.0, 2), row(2, "old", 1.0, 3)], cols), path)
+    ev = spark.createDataFrame([("m", 1), ("n", 2), ("o", 3)], "msg_id string, listing_ref bigint")
+    got = {r.msg_id: (r.user_name, r.price) for r in al.enrich(ev, spark.read.parquet(path)).collect()}
+    assert got == {"m": ("Zaid", 500.0), "n": ("Sara", 5.0)}

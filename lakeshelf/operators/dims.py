@@ -19,6 +19,9 @@ from lakeshelf.session import materialize, path_exists
 
 _ROW = "__row"
 
+#: Tables of at most this many rows may be ordered in one task.
+SMALL_ROWS = 100_000
+
 
 def _order_struct(order: Sequence[Column | str]) -> Column:
     return F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(f"o{i}")
@@ -68,9 +71,19 @@ def positions(df: DataFrame, order: Sequence[str], weight: str | None = None, na
     cannot re-sample the ranges and renumber rows. Per-partition totals (one
     row per partition: a proven bound) give each partition its offset; with
     a weight, the running total inside a partition is a window over that
-    partition only (range partitions are balanced)."""
+    partition only (range partitions are balanced).
+
+    The input is written first (the range shuffle would compute it twice). If
+    the written table has at most SMALL_ROWS rows and no ``partitions`` are
+    asked for, one window over them gives the same positions."""
     so = [(F.asc_nulls_last(c) if nulls_last else F.asc_nulls_first(c)) for c in order]
     mid = F.monotonically_increasing_id()
+    df = materialize(df, "positions_in")
+    if partitions is None and df.count() <= SMALL_ROWS:
+        w = Window.orderBy(*so)
+        pos = (F.row_number().over(w) - 1 if weight is None else
+               F.coalesce(F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        return df.select(*[F.col(f"`{c}`") for c in df.columns], pos.cast("bigint").alias(name))
     # Without an explicit count the shuffle uses the session's partition
     # count and AQE may merge adjacent (still ordered) ranges.
     ranged = df.repartitionByRange(partitions, *so) if partitions else df.repartitionByRange(*so)

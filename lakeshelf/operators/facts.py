@@ -10,7 +10,7 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshelf.session import checked_broadcast, scratch_scope
+from lakeshelf.session import checked_broadcasts, materialize, scratch_scope
 from lakeshelf.sources import io, state
 
 
@@ -36,11 +36,13 @@ def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup], keep: Sequence[str
     only if its measured size is under the threshold; otherwise the join
     shuffles and AQE may split skewed fact partitions."""
     out = fact
-    for i, lk in enumerate(lookups):
+    names_of = [[f"__l{i}_{j}" for j in range(len(lk.on))] for i, lk in enumerate(lookups)]
+    sides = []
+    for lk, names in zip(lookups, names_of):
         d = lk.dim.where(lk.where) if lk.where is not None else lk.dim
-        names = [f"__l{i}_{j}" for j in range(len(lk.on))]
         d = d.select(*[F.col(dc).alias(n) for dc, n in zip(lk.on, names)], F.col(lk.take).alias(lk.alias))
-        d = checked_broadcast(d, stored=lk.stored)
+        sides.append(d if lk.stored else materialize(d, "lookup"))
+    for lk, names, d in zip(lookups, names_of, checked_broadcasts(sides)):
         conds = []
         for (dc, fc), n in zip(lk.on.items(), names):
             fcol = F.col(fc) if isinstance(fc, str) else fc

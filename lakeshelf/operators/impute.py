@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,11 +58,11 @@ _FLOATS = (T.DoubleType(), T.FloatType())
 
 
 def lookups_from_counts(counts: DataFrame, modes: Mapping[str, T.DataType],
-                        medians: Mapping[str, T.DataType]) -> DataFrame:
+                        medians: Mapping[str, T.DataType], summed: bool = False) -> DataFrame:
     """One row per group with ``mode_<c>`` and ``median_<c>`` from count
-    tables (several of them are summed)."""
+    tables (several of them are summed, unless they already are)."""
     modes, medians = dict(modes), dict(medians)
-    total = counts.groupBy(_G, "__col", "__val").agg(F.sum("__n").alias("__n"))
+    total = counts if summed else counts.groupBy(_G, "__col", "__val").agg(F.sum("__n").alias("__n"))
     out = None
     if modes:
         picks = []
@@ -89,7 +89,7 @@ def group_lookups(df: DataFrame, group: str, modes: Iterable[str] = (),
         counts = count_table(df, group, dict.fromkeys(modes + medians))
         if medians:
             counts = materialize(counts, "counts")  # small, and read once per kind of lookup
-        return lookups_from_counts(counts, {c: types[c] for c in modes}, {c: types[c] for c in medians})
+        return lookups_from_counts(counts, {c: types[c] for c in modes}, {c: types[c] for c in medians}, summed=True)
     approx = df.groupBy(F.col(group).alias(_G)).agg(
         *[F.percentile_approx(c, 0.5, 10000).alias(f"median_{c}") for c in medians])
     if not modes:
@@ -183,8 +183,19 @@ def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool =
 
 
 def weighted_median(pairs: DataFrame, interpolate: bool, name: str) -> DataFrame:
-    """(__grp, median) from distinct (__grp, __v) pairs with counts __c."""
-    from lakeshelf.operators.dims import positions
+    """(__grp, median) from distinct (__grp, __v) pairs with counts __c. At
+    most SMALL_ROWS pairs are ordered by a window, more by :func:`positions`."""
+    from lakeshelf.operators.dims import SMALL_ROWS, positions
+    pairs = materialize(pairs, "pairs")
+    if pairs.count() <= SMALL_ROWS:
+        group = Window.partitionBy(_G)
+        upto = F.sum("__c").over(group.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
+        x = pairs.select(_G, "__v", "__c", upto.alias("__u"), F.sum("__c").over(group).alias("__n"))
+        # ranks [u - c, u) are this value's; the middle ranks are (n - 1) / 2, down and up
+        hit = lambda r: (F.col("__u") - F.col("__c") <= r) & (r < F.col("__u"))
+        lo, hi = F.floor((F.col("__n") - 1) / 2), F.ceil((F.col("__n") - 1) / 2)
+        lo_v, hi_v = F.max(F.when(hit(lo), F.col("__v"))), F.max(F.when(hit(hi), F.col("__v")))
+        return x.groupBy(_G).agg((((lo_v + hi_v) / 2) if interpolate else lo_v).alias(name))
     pos = positions(pairs, [_G, "__v"], weight="__c", name="__p")
     stats = pos.groupBy(_G).agg(F.min("__p").alias("__s"), F.sum("__c").alias("__n"))
     stats = stats.select(F.col(_G).alias("__g2"),

@@ -124,8 +124,10 @@ def run_gold(spark, silver_versions: str, root: str, until: int | None = None) -
                          DIM_SCHEMAS["users"], order=LATEST)
         for n in (*INSERT_ONLY, "dates"):
             stored = read_dim(spark, root, n, since)
-            new = new_dates(stored, changes) if n == "dates" else new_rows(n, stored, changes)
-            io.append_version(materialize(new, f"new_{n}"), f"{root}/dim_{n}", version=upto)
+            # the table that is extended is being read: new days are written aside
+            # first (new rows of the others already were, to number them)
+            new = materialize(new_dates(stored, changes), "new_dates") if n == "dates" else new_rows(n, stored, changes)
+            io.append_version(new, f"{root}/dim_{n}", version=upto)
         dims = {n: read_dim(spark, root, n, upto) for n in DIM_SCHEMAS}
         io.append_version(build_fact(changes, dims), f"{root}/fact_posts", version=upto)
 

@@ -187,6 +187,28 @@ def checked_broadcast(small: DataFrame, max_bytes: int | None = None,
     return F.broadcast(small) if size <= limit else small
 
 
+def checked_broadcasts(sides: list[DataFrame], max_bytes: int | None = None) -> list[DataFrame]:
+    """:func:`checked_broadcast` of several sides that read stored tables,
+    all measured by one aggregate."""
+    if not sides:
+        return []
+    spark = sides[0].sparkSession
+    limit = broadcast_limit(spark) if max_bytes is None else max_bytes
+    parts = []
+    for i, df in enumerate(sides):
+        var = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+        fixed = row_width(T.StructType([f for f in df.schema.fields if f.name not in var])) + 8 * len(var)
+        size = F.lit(fixed).cast("bigint")
+        for c in var:
+            size = size + F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0))
+        parts.append(df.select(F.lit(i).alias("i"), size.alias("b")))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    got = {r["i"]: int(r["b"]) for r in every.groupBy("i").agg(F.sum("b").alias("b")).collect()}  # a row for each side
+    return [F.broadcast(df) if 0 < limit and got.get(i, 0) <= limit else df for i, df in enumerate(sides)]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the cluster's file system (any scheme)."""
     jvm = spark._jvm

@@ -54,7 +54,9 @@ def test_surrogate_ids_follow_key_order(spark, keys, parts):
 @given(st.lists(st.tuples(st.sampled_from([1, 2]), st.integers(0, 3)), min_size=1, max_size=40))
 def test_weighted_positions_are_prefix_sums(spark, data):
     df = spark.createDataFrame(data, "g int, w int").groupBy("g", "w").count()
-    got = sorted(tuple(r) for r in dm.positions(df, ["g", "w"], weight="count").select("g", "w", "count", "__pos").collect())
+    got, ranged = (sorted(tuple(r) for r in dm.positions(df, ["g", "w"], weight="count", partitions=p).select("g", "w", "count", "__pos").collect())
+                   for p in (None, 3))
+    assert got == ranged
     run, want = 0, []
     for g, w, c in sorted((r[0], r[1], r[2]) for r in df.collect()):
         want.append((g, w, c, run))

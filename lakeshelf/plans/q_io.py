@@ -98,14 +98,13 @@ def q_catalog_scan(spark, sf):
 
 
 @query("latest_partition", """
-SELECT max(strftime(CAST(o_orderdate AS DATE), '%Y%m%d')) AS max_ingestion FROM orders""")
+SELECT max(strftime(CAST(ts AS DATE), '%Y%m%d')) AS max_ingestion FROM events""")
 def q_latest_partition(spark, sf):
     """Folder names of a table partitioned by date; no file is opened."""
     path = scratch_path(spark, "dated")
-    o = read_table(spark, sf, "orders").select(
-        "o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
-        F.dayofmonth("o_orderdate").alias("day"))
-    o.hint("rebalance", "year", "month").write.partitionBy("year", "month", "day").parquet(path)
+    ev = read_table(spark, sf, "events").select(
+        "event_id", F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"))
+    ev.hint("rebalance", "year", "month", "day").write.partitionBy("year", "month", "day").parquet(path)
     return io.newest_date(spark, path)
 
 

@@ -12,14 +12,15 @@ built in a task, so suffixes are brought together by anchors:
 2. Contexts that are equal as a whole are repeated as a whole. Only where
    different contexts meet at an anchor and some context is single are bytes
    compared, one copy of each context.
-3. Contexts of an anchor hash go to one block; the block's suffixes are
-   sorted by prefix doubling, previous and next smaller positions in suffix
-   order give each suffix's earlier (and later) match. An anchor's repeated
-   windows cover one interval, as all of them hold it.
-4. More than ``cap`` different contexts at one anchor are first split by what
-   their windows must have in common: half of the offsets share the bytes left
-   of the anchor, half those right of it, and so on down; halves that agree as
-   a whole are settled, single ones are dropped. No pairs are made.
+3. Contexts of an anchor hash go to one block. Their windows are split by what
+   they must have in common: half of the offsets share the bytes left of the
+   anchor, half those right of it, and so on down; halves that agree as a
+   whole are settled, single ones are dropped. The suffixes that are left are
+   sorted by prefix doubling, and previous and next smaller positions in
+   suffix order give each suffix's earlier (and later) match. An anchor's
+   repeated windows cover one interval, as all of them hold it.
+4. More than ``cap`` different contexts at one anchor are halved in this way
+   by Spark first, until groups fit. No pairs are made.
 
 Positions are ordered by (doc_id, text hash, place); ``keep_first`` removes
 only bytes with an earlier match, so that the first copy stays; otherwise
@@ -134,13 +135,13 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def suffix_ranks(block: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     """Rank of the ``depth`` bytes at each start, equal for equal strings, in
-    suffix order: eight-byte words, then prefix doubling."""
-    pad = np.concatenate([block, np.zeros(depth + 8, dtype=np.uint8)])
+    suffix order: words of up to eight bytes, then prefix doubling."""
+    pad = np.concatenate([block, np.zeros(8, dtype=np.uint8)])
     n = len(block)
     key = np.zeros(n, dtype=np.uint64)
-    for i in range(8):
+    have = min(8, depth)
+    for i in range(have):
         key = key << np.uint64(8) | pad[i:n + i].astype(np.uint64)
-    have = 8
     while True:
         rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
         step = min(have, depth - have)
@@ -169,6 +170,51 @@ def earlier_and_later(rank: np.ndarray, order: np.ndarray) -> tuple[np.ndarray,
     return prev, nxt
 
 
+#: Offsets are halved within a block until a node has at most this many, so
+#: that only these have to be sorted.
+NODE = 24
+
+
+class _Found:
+    """Smallest and largest offset with any / an earlier match, per context."""
+
+    def __init__(self, n: int):
+        self.low, self.high, self.low1, self.high1 = [1 << 30] * n, [-1] * n, [1 << 30] * n, [-1] * n
+
+    def add(self, i: int, lo: int, hi: int, earlier: bool) -> None:
+        self.low[i], self.high[i] = min(self.low[i], lo), max(self.high[i], hi)
+        if earlier:
+            self.low1[i], self.high1[i] = min(self.low1[i], lo), max(self.high1[i], hi)
+
+
+def _halved(rows: list[dict], nodes: list[tuple], found: _Found, min_len: int) -> list[tuple]:
+    """One level of halving: nodes (context, group, a, b) of equal group
+    compare their windows with offsets a to b. Halves that agree as a whole
+    are found; the rest is returned, one node for each different half, without
+    halves that share their common bytes with no other."""
+    cores: dict[tuple, dict[tuple, list[tuple]]] = {}
+    for i, g, a, b in nodes:
+        ctx, left = rows[i]["ctx"], rows[i]["left"]
+        short, mid = min_len - (len(ctx) - left), (a + b) // 2
+        for a2, b2 in ((a, mid), (mid + 1, b)):
+            lo, hi = max(a2, short), min(b2, left)
+            if lo <= hi:
+                core = ctx[left - a2:left + min_len - b2]
+                part = (ctx[left - hi:left + min_len - lo], hi)
+                cores.setdefault((g, a2, core), {}).setdefault(part, []).append((i, lo, hi, a2, b2))
+    out = []
+    for number, parts in enumerate(cores.values()):
+        for same in parts.values():
+            if len(same) > 1:  # in position order, so all but the first have an earlier match
+                for k, (i, lo, hi, _, _) in enumerate(same):
+                    found.add(i, lo, hi, k > 0)
+            if len(parts) > 1:
+                i, _, _, a2, b2 = same[0]
+                out.append((i, number, a2, b2))
+    out.sort()
+    return out
+
+
 def block_intervals(rows: list[dict], min_len: int) -> list[tuple[int, int, int, int]]:
     """Per context (g, ctx, left, a, b; rows in position order) the smallest
     and largest offset of its windows with any match, and with an earlier one;
@@ -176,32 +222,49 @@ def block_intervals(rows: list[dict], min_len: int) -> list[tuple[int, int, int,
     bytes before the anchor. Only windows of one group and offset are
     compared: equal ones meet there, and a place does not meet itself in the
     overlapping context of another anchor."""
-    block = np.frombuffer(b"".join(r["ctx"] for r in rows), dtype=np.uint8)
-    starts, owner, offsets, groups = [], [], [], []
-    number: dict[int, int] = {}
+    found = _Found(len(rows))
+    nodes = [(i, r["g"], r["a"], r["b"]) for i, r in enumerate(rows)]
+    while nodes and max(b - a for _, _, a, b in nodes) > NODE:
+        nodes = _halved(rows, nodes, found, min_len)
+    by_width: dict[int, list[tuple]] = {}
+    for x in nodes:
+        by_width.setdefault(x[3] - x[2], []).append(x)
+    for width, same in by_width.items():
+        if width:  # a single offset is one string, and different ones were kept
+            _sorted_matches(rows, same, width, found, min_len)
+    return [(-1, -1, -1, -1) if h < 0 else (lo, h, -1 if h1 < 0 else lo1, h1)
+            for lo, h, lo1, h1 in zip(found.low, found.high, found.low1, found.high1)]
+
+
+def _sorted_matches(rows: list[dict], nodes: list[tuple], width: int, found: _Found, min_len: int) -> None:
+    """Matches within nodes of ``width`` + 1 offsets, by suffix order. The
+    bytes that all windows of a node share are equal in its group and left
+    out: what remains of a window is ``width`` bytes, which start at the
+    largest offset less its own."""
+    texts, starts, owner, offsets, groups = [], [], [], [], []
+    number: dict[tuple, int] = {}
     base = 0
-    for i, r in enumerate(rows):
-        n, left = len(r["ctx"]), r["left"]
-        lo, hi = max(r["a"], min_len - (n - left)), min(r["b"], left)
-        if lo <= hi:
-            o = np.arange(lo, hi + 1)
-            starts.append(base + left - o)
-            owner.append(np.full(len(o), i))
-            offsets.append(o)
-            groups.append(o + min_len * number.setdefault(r["g"], len(number)))
-        base += n
-    out = [(-1, -1, -1, -1)] * len(rows)
-    if not starts:
-        return out
+    for i, g, a, b in nodes:
+        ctx, left = rows[i]["ctx"], rows[i]["left"]
+        lo, hi = max(a, min_len - (len(ctx) - left)), min(b, left)
+        if lo > hi:
+            continue
+        text = ctx[left - hi:left - a] + ctx[left + min_len - b:left + min_len - lo]
+        o = np.arange(lo, hi + 1)
+        texts.append(text)
+        starts.append(base + hi - o)
+        owner.append(np.full(len(o), i))
+        offsets.append(o)
+        groups.append(o + min_len * number.setdefault((g, a), len(number)))
+        base += len(text)
+    if not texts:
+        return
+    block = np.frombuffer(b"".join(texts), dtype=np.uint8)
     starts, owner, offsets, groups = map(np.concatenate, (starts, owner, offsets, groups))
-    prev, nxt = earlier_and_later(groups * len(starts) + suffix_ranks(block, starts, min_len), owner)
-    ends = []
-    for hit in (prev | nxt, prev):
-        low, high = np.full(len(rows), 1 << 30), np.full(len(rows), -1)
-        np.minimum.at(low, owner[hit], offsets[hit])
-        np.maximum.at(high, owner[hit], offsets[hit])
-        ends += [np.where(high < 0, -1, low), high]
-    return list(zip(*(x.tolist() for x in ends)))
+    rank = suffix_ranks(block, starts, width)
+    prev, nxt = earlier_and_later(groups * (int(rank.max()) + 1) + rank, owner)
+    for k in np.flatnonzero(prev | nxt).tolist():
+        found.add(int(owner[k]), int(offsets[k]), int(offsets[k]), bool(prev[k]))
 
 
 # --- steps ------------------------------------------------------------------

@@ -489,6 +489,41 @@ def test_repeats(spark, passages, first, cap):
     assert got == _plain_repeats(passages, 200, first)
 
 
+@pytest.mark.parametrize("length", [200, 60, 40, 33])
+def test_block_intervals(length):
+    """Contexts that share an anchor, some cut at a text's end."""
+    rnd, left = random.Random(5), length - 32
+    for _ in range(8):
+        rows, seen = [], set()
+        for g in range(3):
+            core = bytes(rnd.randrange(97, 123) for _ in range(32))
+            lefts = [bytes(rnd.randrange(97, 99) for _ in range(left)) for _ in range(2)]
+            rights = [bytes(rnd.randrange(97, 99) for _ in range(left)) for _ in range(2)]
+            for k in range(9):
+                a, b = bytearray(rnd.choice(lefts)), bytearray(rnd.choice(rights))
+                for x in (a, b):
+                    if rnd.random() < 0.8:
+                        x[rnd.randrange(left)] = 65 + k
+                cut_l, cut_r = rnd.choice([0, 0, rnd.randrange(left)]), rnd.choice([left, left, rnd.randrange(left)])
+                ctx = bytes(a[cut_l:]) + core + bytes(b[:cut_r])
+                if (g, ctx, cut_l) not in seen:
+                    seen.add((g, ctx, cut_l))
+                    rows.append({"g": g, "ctx": ctx, "left": left - cut_l, "a": 0, "b": left})
+        windows, either, earlier = {}, {}, {}
+        for i, r in enumerate(rows):
+            for o in range(max(0, length - (len(r["ctx"]) - r["left"])), min(left, r["left"]) + 1):
+                windows.setdefault((r["g"], o, r["ctx"][r["left"] - o:r["left"] - o + length]), []).append(i)
+        for (_, o, _), v in windows.items():
+            for k, i in enumerate(v):
+                if len(v) > 1:
+                    either.setdefault(i, []).append(o)
+                if k:
+                    earlier.setdefault(i, []).append(o)
+        want = [(min(either[i]), max(either[i]), min(earlier.get(i, [-1])), max(earlier.get(i, [-1]))) if i in either else (-1,) * 4
+                for i in range(len(rows))]
+        assert repeats.block_intervals(rows, length) == want
+
+
 def test_repeated_rows_and_empty_tables(mixed, none):
     got = sorted((str(r.doc_id), r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest())
                  for r in repeats.remove_repeats(mixed).collect())

@@ -42,16 +42,16 @@ class Matrix:
         x = np.ascontiguousarray(ids, dtype=np.uint16)
         planes, zeros, ranks = [], [], []
         for k in range(PLANES - 1, -1, -1):
-            bit = (x >> np.uint16(k)) & np.uint16(1) != 0
+            bit = (x & np.uint16(1 << k)) != 0
             packed = np.packbits(bit)
             pad = np.zeros(-(-len(packed) // (BLOCK // 8)) * (BLOCK // 8), dtype=np.uint8)
             pad[:len(packed)] = packed
             ones = np.bitwise_count(pad.reshape(-1, BLOCK // 8)).sum(axis=1, dtype=np.int64)
             planes.append(packed)
             ranks.append((np.cumsum(ones) - ones).astype(np.int32))
-            low = x[~bit]
+            low = x[np.flatnonzero(~bit)]
             zeros.append(len(low))
-            x = np.concatenate([low, x[bit]])
+            x = np.concatenate([low, x[np.flatnonzero(bit)]])
         return cls(len(ids), planes, zeros, ranks)
 
     def _ones(self, k: int, i: int) -> int:
@@ -122,8 +122,8 @@ class Matrix:
             bit = np.unpackbits(self.planes[k], count=self.n).view(bool)
             z = self.zeros[k]
             out = np.empty_like(x)
-            out[~bit] = x[:z]
-            out[bit] = x[z:] | np.uint16(1 << (PLANES - 1 - k))
+            out[np.flatnonzero(~bit)] = x[:z]
+            out[np.flatnonzero(bit)] = x[z:] | np.uint16(1 << (PLANES - 1 - k))
             x = out
         return x
 

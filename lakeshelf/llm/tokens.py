@@ -1,18 +1,25 @@
 """Token ids of whole texts, with ids of repeated words kept.
 
-The byte-level pre-tokenizer never lets a token cross a single space between
-two characters that are not white space (the space starts the next token). So
-a text is cut there, each distinct piece is encoded once by the tokenizers
+A byte-level pre-tokenizer never lets a token cross a single space between two
+characters that are not white space (the space starts the next token). So a
+text is cut there, each distinct piece is tokenized once by the tokenizers
 library, and the ids of a text are gathered from the pieces' ids. Texts with
-other white space around spaces are cut at the safe places only."""
+other white space around spaces are cut at the safe places only. Pieces of
+Latin, Greek or Cyrillic letters, digits and punctuation go to the library's
+BPE model pre-token by pre-token, others through its whole pipeline. With any
+other kind of tokenizer, whole texts are encoded.
+
+Equality with the library on whole texts is tested."""
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 
 import numpy as np
+import regex
 
 END_ID = 2
 #: White space other than space and newline, in Python's reading (a superset
@@ -52,6 +59,18 @@ def pieces_of(text: str) -> list[str]:
     return text.split(" ")
 
 
+#: The byte-level pre-tokens (fixed value), and its rule for bytes as
+#: characters: printable ones stand for themselves, the others for 256, 257 ...
+_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+#: Letters from here on may be classed differently by the two regular
+#: expressions.
+_BEYOND = re.compile("[\u0530-\U0010ffff]")
+#: Single characters that are a pre-token after a letter, at a piece's end.
+_STOPS = frozenset(".,;:!?")
+
+
 class Encoder:
     """Encodes batches of texts; keeps the ids of at most ``limit`` pieces."""
 
@@ -60,19 +79,61 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
+        spec = json.loads(definition)
+        pre = spec.get("pre_tokenizer") or {}
+        self.byte_level = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+                           and not spec.get("normalizer") and spec["model"].get("type", "BPE") == "BPE" and not spec["model"].get("dropout")
+                           and not spec["model"].get("ignore_merges"))
         self.limit = limit
         self._reset()
 
     def _reset(self) -> None:
         self.number: dict[str, int] = {"": 0}  # the key of the end mark: no piece that is kept is empty
+        self.parts: dict[str, list[int]] = {}
         self.ids = np.full(1 << 16, END_ID, dtype=np.uint32)
         self.start = np.zeros(1 << 16, dtype=np.int64)
         self.length = np.zeros(1 << 16, dtype=np.int64)
         self.length[0] = 1
         self.used = 1
 
+    def _bpe(self, token: str) -> list[int]:
+        """Ids of one pre-token, from the model."""
+        if token.isascii() and token[1:].isalpha():
+            mapped = "\u0120" + token[1:] if token[0] == " " else token
+        else:
+            mapped = token.encode().decode("latin-1").translate(_BYTE_CHARS)
+        return [t.id for t in self.model.tokenize(mapped)]
+
+    def _part(self, token: str) -> list[int]:
+        """Ids of a pre-token within a piece, which often are known."""
+        n = self.number.get(token[1:]) if token[0] == " " and len(token) > 1 else None
+        if n is not None:
+            s = self.start[n]
+            return self.ids[s:s + self.length[n]].tolist()
+        got = self.parts.get(token)
+        if got is None:
+            if len(self.parts) >= 100_000:
+                self.parts.clear()
+            got = self.parts[token] = self._bpe(token)
+        return got
+
+    def _ids_of(self, text: str) -> list[int]:
+        """Ids of a piece."""
+        body = text[1:] if text[0] == " " else text
+        if not text.isascii() and _BEYOND.search(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if body.isalpha():
+            return self._bpe(text)
+        if body[-1:] in _STOPS and body[:-1].isalpha():
+            return self._part(text[:-1]) + self._part(body[-1])
+        out: list[int] = []
+        for p in _PRETOKEN.findall(text):
+            out += self._part(p)
+        return out
+
     def _add(self, keys: list[str], texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = list(map(self._ids_of, texts))
         n, first = len(keys), len(self.number)
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=n)
         total = int(lengths.sum())
@@ -89,6 +150,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each text followed by END_ID; where each text
         starts among them, and the end)."""
+        if not self.byte_level:
+            found = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            bounds = np.cumsum([0, *map(len, found)])
+            return np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(bounds[-1])), bounds
         if len(self.number) > self.limit:
             self._reset()
         words: list[str] = []
@@ -106,19 +171,16 @@ class Encoder:
         missing = np.flatnonzero(number < 0)
         long: dict[int, np.ndarray] = {}
         if len(missing):
-            new = list(dict.fromkeys(words[i] for i in missing.tolist()))
+            asked = [words[i] for i in missing.tolist()]
+            keep = [k for k in dict.fromkeys(asked) if len(k) <= MAX_PIECE]
             text_of = lambda k: k[1:] if k[0] == " " else " " + k
-            keep = [k for k in new if len(k) <= MAX_PIECE]
             for i in range(0, len(keep), 20_000):
                 part = keep[i:i + 20_000]
-                self._add(part, [text_of(k) for k in part])
-            for i in missing.tolist():
-                k = words[i]
-                if len(k) <= MAX_PIECE:
-                    number[i] = self.number[k]
-                else:
-                    long[i] = np.array(self.tokenizer.encode(text_of(k), add_special_tokens=False).ids, dtype=np.uint32)
-                    number[i] = 0
+                self._add(part, list(map(text_of, part)))
+            number[missing] = np.fromiter(map(self.number.get, asked, itertools.repeat(-1)), dtype=np.int64, count=len(asked))
+            for i in np.flatnonzero(number < 0).tolist():
+                long[i] = np.array(self.tokenizer.encode(text_of(words[i]), add_special_tokens=False).ids, dtype=np.uint32)
+                number[i] = 0
         lengths = self.length[number]
         for i, ids in long.items():
             lengths[i] = len(ids)

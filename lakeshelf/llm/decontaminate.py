@@ -189,7 +189,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     of those items in text order."""
     windows = materialize(item_windows(benchmark), "windows")
     found = materialize(candidates(docs, print_map(windows)), "candidates")
-    per_window = windows.groupBy("fp", "n", "words").agg(F.collect_set("item").alias("items"))
+    # written, so that the join reads two plain shuffles and a window that
+    # very many documents hold can be split
+    per_window = materialize(windows.groupBy("fp", "n", "words").agg(F.collect_set("item").alias("items")), "per_window")
     hits = (found.select("row", F.explode("found").alias("f"))
             .select("row", F.col("f.fp").alias("fp"), F.col("f.n").alias("n"), F.col("f.words").alias("words"),
                     F.col("f.at").alias("at"))

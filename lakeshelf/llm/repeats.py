@@ -459,7 +459,9 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, keep_first: bool = False
                                       F.min(F.struct("doc_id", "k", "pos", "size")).alias("first"))
     ctx = materialize(ctx, "contexts")
     groups = ctx.where("mixed").groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min("total").alias("least"))
-    groups = groups.where("m > 1" if keep_first else "m > 1 and least = 1").select("h", "m")
+    # written, so that the join reads two plain shuffles and an anchor that
+    # very many contexts share can be split
+    groups = materialize(groups.where("m > 1" if keep_first else "m > 1 and least = 1").select("h", "m"), "groups")
     wanted = ctx.where("mixed").join(groups, "h").select("h", "c", "m", "first.doc_id", "first.k", "first.size", "first.pos")
     work = materialize(contexts(long, wanted, min_len), "context_bytes")
     settled = materialize(compared(work.where(F.col("m") <= cap), min_len), "settled")
@@ -474,7 +476,7 @@ def repeated_spans(docs: DataFrame, min_len: int = 200, keep_first: bool = False
     none = lambda c: F.when(F.col(c) >= 0, F.col(c))
     intervals = settled.groupBy("h", "c").agg(*[f(none(c)).alias(c) for f, c in ((F.min, "low"), (F.max, "high"), (F.min, "low1"), (F.max, "high1"))])
     known = ctx.join(intervals, ["h", "c"], "left").select("h", "c", "total", "first", "low", "high", "low1", "high1")
-    each = found.join(known, ["h", "c"])
+    each = found.join(materialize(known, "known"), ["h", "c"])  # written, as above
     whole = F.array(F.struct((F.col("pos") - left).alias("s"), (F.col("pos") + min_len).alias("e")))
     part = lambda lo, hi: F.when(F.col(hi).isNotNull(), F.array(F.struct(
         (F.col("pos") - F.col(hi)).alias("s"), (F.col("pos") - F.col(lo) + min_len).alias("e"))))

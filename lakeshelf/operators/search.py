@@ -149,9 +149,11 @@ def price_range_of(df: DataFrame, property_type: str | None = None, transaction_
     m = F.col(cols["price"])
     p = [present(m)] + [F.coalesce(F.lower(F.col(cols[f])) == v.lower(), F.lit(False))
                         for f, v in (("property_type", property_type), ("transaction_type", transaction_type)) if v]
-    x = df.where(all_of(p)).select(F.lit(0).alias("__k"), m.alias("__m"))
-    mm = x.agg(F.min("__m").alias("mn"), F.max("__m").alias("mx")).withColumn("__k", F.lit(0))
-    out = mm.join(F.broadcast(exact_median(x, "__k", "__m", name="md")), "__k", "left")  # one row
+    x = df.where(all_of(p)).select(F.lit(0).alias("__k"), m.cast("double").alias("__m"))
+    none = F.lit(None).cast("double")
+    rows = x.agg(F.min("__m").alias("mn"), F.max("__m").alias("mx"), none.alias("md")).unionByName(
+        exact_median(x, "__k", "__m", name="md").select(none.alias("mn"), none.alias("mx"), "md"))
+    out = rows.agg(*[F.max(c).alias(c) for c in ("mn", "mx", "md")])  # two rows
     return out.select(*[F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")).alias(n)
                         for c, n in (("mn", "min"), ("mx", "max"), ("md", "median"))])
 

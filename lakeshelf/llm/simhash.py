@@ -133,24 +133,26 @@ def links(distinct_fps: DataFrame, radius: int = 2, cap: int = 1000) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, cap: int = 1000) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id): the smallest doc_id that each
-    row reaches over links of at most ``radius`` differing bits."""
+    """(doc_id, text_hash, fp, component, component_id): the smallest
+    fingerprint and the smallest doc_id that each row reaches over links of at
+    most ``radius`` differing bits. Only ``component`` tells components apart:
+    ids may be null or repeated."""
     rows = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     comp = components(links(distinct.select("fp"), radius, cap)).withColumnRenamed("node", "fp")
     # the id of a component is the smallest of its members' ids
     joined = distinct.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     lowest = joined.groupBy("component").agg(F.min("low").alias("component_id"))
-    of_fp = joined.join(lowest, "component").select("fp", "component_id")
+    of_fp = joined.join(lowest, "component").select("fp", "component", "component_id")
     return rows.join(of_fp, "fp")
 
 
 def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One document of each group: the row of the component's smallest id, null
+    """One document of each component: the row of its smallest id, null
     last (of several rows with that id, that of the smallest text hash; exact repeats
     of it once). Columns are those of ``docs``."""
     near = near_duplicates(docs, shingle, radius)
-    chosen = near.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("x")).select(
+    chosen = near.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("x")).select(
         F.col("x.doc_id").alias("_id"), F.col("x.text_hash").alias("_hash"))
     src, own = C.private(docs)
     src = src.withColumn("_i", F.col(own["doc_id"]).cast("long")).withColumn("_h", F.xxhash64(own["text"]))

@@ -171,6 +171,16 @@ def test_one_per_group(mixed, none):
     assert kept.columns == mixed.columns and simhash.one_per_group(none).count() == 0
 
 
+def test_one_per_group_of_null_and_repeated_ids(spark):
+    """Components are told apart by their texts, not by their ids."""
+    texts = [" ".join(random.Random(s).choice(WORDS) + str(s) for _ in range(60)) for s in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]),
+            (7, texts[4]), (8, texts[5]), (None, texts[5]), (9, texts[3])]
+    kept = simhash.one_per_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5])]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 # --- op10 -------------------------------------------------------------------
 
 def _plain_contamination(docs, items):

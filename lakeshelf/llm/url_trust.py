@@ -4,9 +4,11 @@ Hosts are nodes; links between hosts, counted over all pages, are edges.
 Trust starts at hosts with pages under allow rules and follows links
 (personalised PageRank); distrust starts at hosts with pages under block rules
 and runs against the links, to the hosts that point there. A seed's weight is
-the share of its host's pages under such rules. A host is blocked if its
-distrust exceeds its trust by ``margin``; a page under a rule follows the
-longest rule instead.
+the share of its host's pages under such rules. Distrust is split over all
+links into a host, so each share shrinks with their number. Exposure is the
+same distrust averaged over the links of the host that points there, however
+many others do. A host is blocked if its distrust or its exposure exceeds its
+trust by ``margin``; a page under a rule follows the longest rule instead.
 
 All of it is DataFrame operations: edges are summed before they are joined,
 each iteration is a join, a grouped sum and a written table. The verdicts of
@@ -83,45 +85,47 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20, tolerance: float = 1e-4) -> DataFrame:
-    """(host, trust, distrust) for all hosts of ``seeds`` (host, allow,
+    """(host, trust, distrust, exposure) for all hosts of ``seeds`` (host, allow,
     block) and ``edges`` (src, dst, n, written). Stops after ``rounds`` or when no value
     moves by ``tolerance``."""
     out_sum = edges.groupBy("src").agg(F.sum("n").alias("total"))
     in_sum = edges.groupBy("dst").agg(F.sum("n").alias("total"))
     forward = edges.join(out_sum, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"),
-                                                (F.col("n") / F.col("total")).alias("wt"), F.lit(0.0).alias("wd"))
-    back = edges.join(in_sum, "dst").select(F.col("dst").alias("host"), F.col("src").alias("to"),
-                                            F.lit(0.0).alias("wt"), (F.col("n") / F.col("total")).alias("wd"))
+                                                (F.col("n") / F.col("total")).alias("wt"),
+                                                F.lit(0.0).alias("wd"), F.lit(0.0).alias("wx"))
+    back = edges.join(in_sum, "dst").join(out_sum.withColumnRenamed("total", "links"), "src").select(
+        F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(0.0).alias("wt"),
+        (F.col("n") / F.col("total")).alias("wd"), (F.col("n") / F.col("links")).alias("wx"))
     flows = materialize(forward.unionByName(back), "flows")
     nodes = seeds.unionByName(edges.select(F.explode(F.array("src", "dst")).alias("host"), F.lit(0.0).alias("allow"), F.lit(0.0).alias("block")))
     nodes = materialize(nodes.groupBy("host").agg(F.max("allow").alias("allow"), F.max("block").alias("block")), "nodes")
-    state = nodes.select("host", "allow", "block", (F.col("allow") * (1 - damping)).alias("trust"), (F.col("block") * (1 - damping)).alias("distrust"))
+    base = {"trust": "allow", "distrust": "block", "exposure": "block"}
+    start = {c: (1 - damping) * F.col(seed) for c, seed in base.items()}
+    state = nodes.select("host", "allow", "block", *[v.alias(c) for c, v in start.items()])
     if flows.isEmpty():
-        return state.select("host", "trust", "distrust")
+        return state.select("host", *base)
     for _ in range(rounds):
         got = flows.join(state, "host").groupBy(F.col("to").alias("host")).agg(
-            F.sum(F.col("trust") * F.col("wt")).alias("t"), F.sum(F.col("distrust") * F.col("wd")).alias("d"))
+            *[F.sum(F.col(c) * F.col(w)).alias(f"_{c}") for c, w in zip(base, ("wt", "wd", "wx"))])
+        new = {c: start[c] + damping * F.coalesce(f"_{c}", F.lit(0.0)) for c in base}
         state = materialize(state.join(got, "host", "left").select(
-            "host", "allow", "block",
-            ((1 - damping) * F.col("allow") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
-            ((1 - damping) * F.col("block") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
-            F.greatest(F.abs(F.col("trust") - (1 - damping) * F.col("allow") - damping * F.coalesce("t", F.lit(0.0))),
-                       F.abs(F.col("distrust") - (1 - damping) * F.col("block") - damping * F.coalesce("d", F.lit(0.0)))).alias("moved")), "ranks")
+            "host", "allow", "block", *[v.alias(c) for c, v in new.items()],
+            F.greatest(*[F.abs(F.col(c) - v) for c, v in new.items()]).alias("moved")), "ranks")
         if (state.agg(F.max("moved")).first()[0] or 0.0) < tolerance:
             break
         state = state.drop("moved")
-    return state.select("host", "trust", "distrust")
+    return state.select("host", *base)
 
 
 def host_verdicts(pages: DataFrame, rules=RULES, damping: float = 0.85, margin: float | None = None) -> DataFrame:
-    """(host, trust, distrust, blocked). ``margin`` defaults to what a host
+    """(host, trust, distrust, exposure, blocked). ``margin`` defaults to what a host
     without links has when half of its pages are under block rules."""
     margin = (1 - damping) / 2 if margin is None else margin
     seeds = located(pages, rules).where("host != ''").groupBy("host").agg(
         F.avg(F.coalesce((F.col("rule_verdict") == "allow").cast("double"), F.lit(0.0))).alias("allow"),
         F.avg(F.coalesce((F.col("rule_verdict") == "block").cast("double"), F.lit(0.0))).alias("block"))
     ranks = propagate(seeds, materialize(host_edges(pages), "edges"), damping)
-    return ranks.withColumn("blocked", F.col("distrust") - F.col("trust") > margin)
+    return ranks.withColumn("blocked", F.greatest("distrust", "exposure") - F.col("trust") > margin)
 
 
 def judge(pages: DataFrame, rules=RULES, damping: float = 0.85, margin: float | None = None) -> DataFrame:

@@ -455,6 +455,22 @@ def test_url_trust(spark):
     assert url_trust.judge(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("k", [1, 2, 1000])
+def test_hosts_that_point_only_to_blocked_hosts_are_blocked(spark, k):
+    """However many they are. A host with one such link of ten is allowed, one
+    that alone points to several blocked hosts is not."""
+    link = lambda *u: " ".join(f'<a href="{x}">x</a>' for x in u)
+    pages = [(i, f"http://farm{i}.io/", link("http://bad.net/")) for i in range(k)]
+    pages += [(-1, "http://bad.net/", ""), (-2, "http://worse.net/", ""), (-3, "http://good.org/fr/", link("http://portal.io")),
+              (-4, "http://portal.io/", link("http://worse.net/", *[f"http://site{i}.io/" for i in range(9)])),
+              (-5, "http://far.io/", link("http://farm0.io/")),
+              (-6, "http://hub.io/", link(*[f"http://{i}.net/" for i in range(3)], *[f"http://site{i}.io/" for i in range(60)]))]
+    pages += [(-7, f"http://{i}.net/", "") for i in range(3)]
+    got = {r.page_id: r.verdict for r in url_trust.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(-6, 0)] == ["block", "block", "allow", "allow", "block", "block"]
+    assert all(got[i] == "block" for i in range(k))
+
+
 # --- op8 ----------------------------------------------------------------------
 
 def _plain_repeats(docs, length, first):

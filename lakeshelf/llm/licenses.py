@@ -1,7 +1,8 @@
 """License scan by conditional compression.
 
-Candidate blocks are runs of text around licence words. Each distinct block is
-compressed with zstandard alone and with every template as raw dictionary;
+Candidate blocks are runs of text around licence words. The wording of each
+distinct block (words in lower case, single spaces) is compressed with
+zstandard alone and with every template as raw dictionary;
 templates are ranked by the size that they save, and the best few are
 confirmed by the exact differences in wording between block and template.
 
@@ -56,17 +57,25 @@ TEMPLATES = (
 )
 _NAMES = re.compile(r"licen[cs]e|copyright|redistribution and use|permission is hereby granted|free software|public domain|"
                     r"all rights reserved|spdx", re.IGNORECASE)
-_HINTS = ("icens", "icenc", "ICENS", "ICENC", "opyright", "OPYRIGHT", "edistribution", "ermission is", "ree software", "ublic domain",
-          "ights reserved", "spdx", "SPDX")
+#: One of these is in the folded text wherever ``_NAMES`` matches.
+_HINTS = ("licens", "licenc", "copyright", "redistribution", "hereby", "software", "domain", "reserved", "spdx")
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 #: Code points of a block on each side of its licence words at most.
 REACH = 400
 
 
+def folded(text: str) -> str:
+    """Lower case, with the few other characters that ``re.IGNORECASE`` takes
+    for ASCII letters."""
+    low = text.lower()
+    return low if low.isascii() else low.replace("\u0307", "").replace("\u0131", "i").replace("\u017f", "s")
+
+
 def blocks(text: str) -> list[tuple[int, int]]:
     """Spans of lines with licence words; long lines are cut to REACH code
     points around the words, overlapping spans are joined."""
-    if not any(h in text for h in _HINTS):
+    low = folded(text)
+    if not any(h in low for h in _HINTS):
         return []
     out: list[tuple[int, int]] = []
     for m in _NAMES.finditer(text):
@@ -91,9 +100,10 @@ class Matcher:
         self.templates, self.finalists, self.similarity = templates, finalists, similarity
         self.words = [wording(t) for _, t in templates]
         params = zstandard.ZstdCompressionParameters.from_level(19, write_content_size=False, write_checksum=False)
+        # cases and spaces are no difference in wording, so they cost no bytes either
         self.alone = zstandard.ZstdCompressor(compression_params=params)
         self.given = [zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(
-            t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, t in templates]
+            " ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for w in self.words]
 
     def match(self, block: str) -> tuple[str, int, float, list[str]]:
         """(license, bytes saved, similarity of wording, differences). The
@@ -102,7 +112,7 @@ class Matcher:
         missing and "+word" for words in between. The license is the closest
         confirmed finalist: most similar, then fewest words in between, then
         longest template, then first."""
-        raw = block.encode()
+        raw = " ".join(wording(block)).encode()
         size = len(self.alone.compress(raw))
         saved = [size - len(c.compress(raw)) for c in self.given]
         ranked = sorted(range(len(saved)), key=lambda i: (-saved[i], i))[:self.finalists]

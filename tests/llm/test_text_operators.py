@@ -579,3 +579,21 @@ def test_licenses(spark, none):
     assert got[0][2] == 6 and got[0][3] == [] and got[-1][3] == ["+now"]
     assert licenses.find(none).count() == 0
     assert {r.doc_id: r.n_blocks for r in licenses.scan(df).collect()}[6] == 2
+
+
+def test_licence_words_in_any_case(spark):
+    lines = ["All Rights Reserved", "ALL RIGHTS RESERVED", "This Is Free And Unencumbered Software Released Into The Public Domain",
+             "Free Software", "PUBLIC DOMAIN", *[f(t) for _, t in licenses.TEMPLATES for f in (str.upper, str.title, str.lower)]]
+    want = ["Proprietary", "Proprietary", "Unlicense", "unknown", "unknown", *[n for n, _ in licenses.TEMPLATES for _ in range(3)]]
+    df = spark.createDataFrame([(i, f"x\n{t}\ny") for i, t in enumerate(lines)], "doc_id long, text string")
+    assert [(r.doc_id, r.license) for r in licenses.find(df).orderBy("doc_id").collect()] == list(enumerate(want))
+
+
+def test_licence_hints_accept_what_the_names_match():
+    letters = set("".join(licenses._HINTS))
+    odd = [(chr(c), x) for x in letters for c in range(0x80, 0x110000) if c < 0x3000 or 0xa000 < c < 0x10000 if re.fullmatch(x, chr(c), re.I)]
+    assert odd and all(licenses.folded(c) == x for c, x in odd)
+    for name in ("license", "licence", "copyright", "redistribution and use", "permission is hereby granted", "free software",
+                 "public domain", "all rights reserved", "spdx"):
+        for t in (name, name.upper(), name.title(), *[name.replace(x, c) for c, x in odd]):
+            assert licenses._NAMES.search(t) and licenses.blocks(t) == [(0, len(t))]

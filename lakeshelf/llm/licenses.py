@@ -1,23 +1,25 @@
 """License scan by conditional compression.
 
-Candidate blocks are runs of text around licence words. The wording of each
-distinct block (words in lower case, single spaces) is compressed with
-zstandard alone and with every template as raw dictionary;
-templates are ranked by the size that they save, and the best few are
-confirmed by the exact differences in wording between block and template.
+Candidate blocks are runs of text around licence words. A template is found
+wherever enough of its words stand in a block in order; the wording from the
+first to the last of them (lower case, single spaces) is compressed with
+zstandard alone and with the template as raw dictionary, and the template is
+confirmed if that saves bytes. A block can hold any number of notices.
 
 Blocks repeat across millions of documents, so distinct blocks are grouped
 first (a grouped minimum, no list of their documents is built) and each is
 matched once; documents get the result by a join on the block.
 
 Defined cases: null or empty text has no block and no row in ``find``;
-repeated rows each get their rows; an empty table gives none; a block that no
-template explains is reported with license "unknown" if it names a licence."""
+repeated rows each get their rows; an empty table gives none; a line
+with licence words that no template explains is reported with license "unknown"."""
 
 from __future__ import annotations
 
-import difflib
+import bisect
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -71,7 +73,7 @@ def folded(text: str) -> str:
     return low if low.isascii() else low.replace("\u0307", "").replace("\u0131", "i").replace("\u017f", "s")
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
+def lines(text: str) -> list[tuple[int, int]]:
     """Spans of lines with licence words; long lines are cut to REACH code
     points around the words, overlapping spans are joined."""
     low = folded(text)
@@ -89,83 +91,199 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def blocks(text: str) -> list[tuple[int, int]]:
+    """Spans in which licences are looked for."""
+    return lines(text)
+
+
 def wording(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+class Template:
+    """A template's words, and where they occur in a block's words."""
+
+    def __init__(self, license: str, text: str, similarity: float):
+        self.license, self.words = license, wording(text)
+        self.need = max(1, math.ceil(similarity * len(self.words) - 1e-9))
+        self.places: dict[str, list[int]] = {}
+        for i, w in enumerate(self.words):
+            self.places.setdefault(w, []).insert(0, i)  # last first, so that a word of the block is taken once
+
+    def windows(self, words: list, at: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """First and last word of the shortest stretches, none overlapping,
+        that hold ``need`` words of the template in order, each within REACH
+        code points of the one before."""
+        left = Counter(self.words)
+        if sum(min(n, left[w]) for w, n in Counter(w for w in words if w in self.places).items()) < self.need:
+            return []
+        n, spare = len(self.words), len(self.words) - self.need
+        # state[i][k]: latest (first, last) word of a match that ends with word i and skips k words before it
+        state: list[list] = [[None] * (spare + 1) for _ in range(n)]
+        found = []
+        for j, w in enumerate(words):
+            for i in self.places.get(w, ()):
+                row = state[i]
+                for k in range(spare + 1):
+                    best = (j, j) if k == i else None
+                    for d in range(min(i, k + 1)):
+                        before = state[i - d - 1][k - d]
+                        if before and at[j][0] - at[before[1]][1] <= REACH and (best is None or before[0] > best[0]):
+                            best = (before[0], j)
+                    row[k] = best or row[k]
+                whole = [r[0] for r in row[:max(0, spare - (n - 1 - i) + 1)] if r and r[1] == j]
+                if whole:
+                    found.append((max(whole), j))
+        out: list[tuple[int, int]] = []
+        for a, z in sorted(found, key=lambda f: (f[1] - f[0], f)):
+            k = bisect.bisect(out, (a, z))
+            if (k == 0 or out[k - 1][1] < a) and (k == len(out) or out[k][0] > z):
+                out.insert(k, (a, z))
+        return out
+
+    def align(self, words: list, lo: int, hi: int) -> list[tuple[int, int]]:
+        """(template word, block word) pairs of the longest match in order
+        within words lo to hi - 1; of equally long ones a short stretch."""
+        row = [(0, -1)] * (hi - lo + 1)
+        table = [row]
+        for t in self.words:
+            new = [(0, -1)]
+            for j in range(lo, hi):
+                best = max(row[j - lo + 1], new[-1])
+                if words[j] == t:
+                    c, first = row[j - lo]
+                    best = max(best, (c + 1, first if c else j))
+                new.append(best)
+            row = new
+            table.append(row)
+        most = row[-1][0]
+        i, j = len(self.words), min((j for j in range(len(row)) if row[j][0] == most), key=lambda j: j - row[j][1])
+        pairs = []
+        while table[i][j][0]:
+            if table[i - 1][j] == table[i][j]:
+                i -= 1
+            elif table[i][j - 1] == table[i][j]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((i, lo + j))
+        return pairs[::-1]
+
+    def occurrences(self, words: list, at: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+        """The pairs of every place that holds the template."""
+        out, low = [], 0
+        found = self.windows(words, at)
+        for k, (a, z) in enumerate(found):
+            high = found[k + 1][0] if k + 1 < len(found) else len(words)
+            lo, hi = a, z + 1
+            while lo > low and at[a][0] - at[lo - 1][1] <= REACH:
+                lo -= 1
+            while hi < high and at[hi][0] - at[z][1] <= REACH:
+                hi += 1
+            out.append(self.align(words, lo, hi))
+            low = out[-1][-1][1] + 1
+        return out
+
+
 class Matcher:
-    """Ranks templates for a block by conditional compression."""
+    """Finds templates in a block by wording and conditional compression."""
 
-    def __init__(self, templates=TEMPLATES, finalists: int = 4, similarity: float = 0.8):
-        self.templates, self.finalists, self.similarity = templates, finalists, similarity
-        self.words = [wording(t) for _, t in templates]
+    def __init__(self, templates=TEMPLATES, similarity: float = 0.8):
+        self.templates = [Template(n, t, similarity) for n, t in templates]
         params = zstandard.ZstdCompressionParameters.from_level(19, write_content_size=False, write_checksum=False)
         # cases and spaces are no difference in wording, so they cost no bytes either
         self.alone = zstandard.ZstdCompressor(compression_params=params)
         self.given = [zstandard.ZstdCompressor(compression_params=params, dict_data=zstandard.ZstdCompressionDict(
-            " ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for w in self.words]
-
-    def match(self, block: str) -> tuple[str, int, float, list[str]]:
-        """(license, bytes saved, similarity of wording, differences). The
-        similarity is the share of a template's words found in order in the
-        block; differences are "-word" for words of the template that are
-        missing and "+word" for words in between. The license is the closest
-        confirmed finalist: most similar, then fewest words in between, then
-        longest template, then first."""
-        raw = " ".join(wording(block)).encode()
-        size = len(self.alone.compress(raw))
-        saved = [size - len(c.compress(raw)) for c in self.given]
-        ranked = sorted(range(len(saved)), key=lambda i: (-saved[i], i))[:self.finalists]
-        words = wording(block)
-        best = ("unknown", max(saved[i] for i in ranked), 0.0, [])
-        key = None
-        for i in ranked:
-            ops = difflib.SequenceMatcher(None, self.words[i], words, autojunk=False).get_opcodes()
-            same = sum(a2 - a1 for op, a1, a2, _, _ in ops if op == "equal")
-            share = same / len(self.words[i])
-            # only words between the template's first and last match differ
-            inner = [o for k, o in enumerate(ops) if o[0] != "equal" and not (o[0] == "insert" and k in (0, len(ops) - 1))]
-            diff = [f"-{w}" for _, a1, a2, _, _ in inner for w in self.words[i][a1:a2]]
-            more = [f"+{w}" for op, _, _, b1, b2 in inner if op != "delete" for w in words[b1:b2]]
-            this = (share, -len(more), len(self.words[i]), -i)
-            if share >= self.similarity and saved[i] > 0 and (key is None or this > key):
-                key, best = this, (self.templates[i][0], saved[i], share, diff + more)
-        return best
+            " ".join(t.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for t in self.templates]
+
+    def saved(self, words: list[str], i: int) -> int:
+        raw = " ".join(words).encode()
+        return len(self.alone.compress(raw)) - len(self.given[i].compress(raw))
+
+    def match(self, block: str) -> list[tuple[int, int, str, int, float, list[str]]]:
+        """(start, end, license, bytes saved, similarity, differences) of each
+        notice in the block. Every template that saves bytes on the words from
+        its first to its last is confirmed. The similarity is the share of its
+        words found in order; differences are "-word" for words of the
+        template that are missing and "+word" for words in between. Of
+        notices that share words the closest stays: most similar, then fewest
+        words in between, then longest template, then first; another license
+        stays too if the words that are left confirm it. Lines with licence
+        words but no notice are "unknown"."""
+        at = [m.span() for m in _WORD.finditer(block)]
+        words: list = [block[a:z].lower() for a, z in at]
+        found = []
+
+        def confirm(i, words):
+            t = self.templates[i]
+            for pairs in t.occurrences(words, at):
+                inside = {j for _, j in pairs}
+                first, last = pairs[0][1], pairs[-1][1]
+                more = [f"+{own[j]}" for j in range(first, last + 1) if j not in inside]
+                gain = self.saved(own[first:last + 1], i)
+                if gain > 0:
+                    have = {k for k, _ in pairs}
+                    share = len(pairs) / len(t.words)
+                    missing = [f"-{w}" for k, w in enumerate(t.words) if k not in have]
+                    row = (at[first][0], at[last][1], t.license, gain, share, missing + more)
+                    yield (share, -len(more), len(t.words), -i), row, inside
+
+        own = words
+        for i in range(len(self.templates)):
+            found += confirm(i, words)
+        taken: dict[int, str] = {}
+        out = []
+        for key, row, inside in sorted(found, key=lambda f: f[0], reverse=True):
+            rows = [(row, inside)]
+            if not inside.isdisjoint(taken):
+                if row[2] in {taken[j] for j in inside if j in taken}:
+                    continue
+                free = [w if row[0] <= a and z <= row[1] and j not in taken else None for j, (w, (a, z)) in enumerate(zip(own, at))]
+                rows = [f[1:] for f in confirm(-key[3], free)]
+            for r, ins in rows:
+                out.append(r)
+                taken.update(dict.fromkeys(ins, r[2]))
+        for lo, hi in lines(block):
+            if not any(f[1][0] < hi and lo < f[1][1] for f in found):
+                rest = wording(block[lo:hi])
+                out.append((lo, hi, "unknown", max((self.saved(rest, i) for i in range(len(self.given))), default=0), 0.0, []))
+        return sorted(out)
 
 
 def find(docs: DataFrame, templates=TEMPLATES, similarity: float = 0.8) -> DataFrame:
     """(doc_id, start, end, license, bytes_saved, similarity, differences):
-    a row for every block of every whole text; offsets count code points."""
+    a row for every notice of every whole text, and for every line with
+    licence words that holds none; offsets count code points."""
     src = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
         for b in C.chunks(batches):
-            out = [(i, s, e, t[s:e]) for i, t in enumerate(C.texts(b)) for s, e in blocks(t)]
-            cols = list(zip(*out)) if out else [[], [], [], []]
+            out = [(i, s, t[s:e]) for i, t in enumerate(C.texts(b)) for s, e in blocks(t)]
+            cols = list(zip(*out)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(np.array(cols[0], dtype=np.int64))), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())], names=["doc_id", "start", "end", "block"])
+                 pa.array(cols[2], pa.string())], names=["doc_id", "at", "block"])
 
     def match(batches):
         m = Matcher(templates, similarity=similarity)
         for b in batches:
-            found = [m.match(t) for t in b.column("block").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("block"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64()),
-                 pa.array([f[2] for f in found], pa.float64()), pa.array([f[3] for f in found], pa.list_(pa.string()))],
-                names=["block", "license", "bytes_saved", "similarity", "differences"])
+            found = [[dict(zip(names, f)) for f in m.match(t)] for t in b.column("block").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("block"), pa.array(found, kinds)], names=["block", "found"])
 
-    found = materialize(C.map_arrow(src, cut, f"doc_id {kind}, start long, end long, block string"), "blocks")
-    distinct = found.select("block").distinct()
-    matched = materialize(C.map_arrow(distinct, match, "block string, license string, bytes_saved long, similarity double, "
-                                                       "differences array<string>"), "matched")
-    return found.join(matched, "block").drop("block")
+    names = ["start", "end", "license", "bytes_saved", "similarity", "differences"]
+    kinds = pa.list_(pa.struct(list(zip(names, [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.list_(pa.string())]))))
+    cuts = materialize(C.map_arrow(src, cut, f"doc_id {kind}, at long, block string"), "blocks")
+    distinct = cuts.select("block").distinct()
+    matched = materialize(C.map_arrow(distinct, match, "block string, found array<struct<start: long, end: long, license: string, "
+                                                       "bytes_saved: long, similarity: double, differences: array<string>>>"), "matched")
+    rows = cuts.join(matched, "block").select("doc_id", "at", F.explode("found").alias("f"))
+    return rows.select("doc_id", *[(F.col("at") + F.col(f"f.{c}")).alias(c) for c in names[:2]], *[f"f.{c}" for c in names[2:]])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_blocks, licenses) of every document that has blocks;
-    licenses sorted, without "unknown"."""
+    """(doc_id, n_blocks, licenses) of every document that has rows in
+    ``find``, and their number; licenses sorted, without "unknown"."""
     return find(docs).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_blocks"),
         F.array_sort(F.collect_set(F.when(F.col("license") != "unknown", F.col("license")))).alias("licenses"))

@@ -597,3 +597,17 @@ def test_licence_hints_accept_what_the_names_match():
                  "public domain", "all rights reserved", "spdx"):
         for t in (name, name.upper(), name.title(), *[name.replace(x, c) for c, x in odd]):
             assert licenses._NAMES.search(t) and licenses.blocks(t) == [(0, len(t))]
+
+
+def test_every_licence_of_a_block(spark):
+    two = "Released under the MIT License. Documentation licensed under CC BY 4.0."
+    kinds = [t for k, t in enumerate(licenses.TEMPLATES) if k not in (0,)]
+    every = " And ".join(t for _, t in kinds) + " " + kinds[0][1]
+    df = spark.createDataFrame([(1, two), (2, every), (3, "All rights reserved. All rights reserved."),
+                                (4, "This work (all rights reserved) is licensed under the GNU General Public License, version 2.")], "doc_id long, text string")
+    got = {}
+    for r in sorted(licenses.find(df).collect(), key=lambda r: (r.doc_id, r.start)):
+        got.setdefault(r.doc_id, []).append((r.license, r.start, r.end))
+    assert got[1] == [("MIT", 0, 30), ("CC-BY-4.0", two.index("licensed"), len(two) - 1)]
+    assert [g[0] for g in got[2]] == [n for n, _ in kinds] + [kinds[0][0]]
+    assert [g[0] for g in got[3]] == ["Proprietary"] * 2 and sorted(g[0] for g in got[4]) == ["GPL-2.0", "Proprietary"]

@@ -1,6 +1,7 @@
 """License scan by conditional compression.
 
-Candidate blocks are runs of text around licence words. A template is found
+Candidate blocks are lines with licence words and the words around them, over
+line ends. A template is found
 wherever enough of its words stand in a block in order; the wording from the
 first to the last of them (lower case, single spaces) is compressed with
 zstandard alone and with the template as raw dictionary, and the template is
@@ -57,15 +58,28 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
 )
-_NAMES = re.compile(r"licen[cs]e|copyright|redistribution and use|permission is hereby granted|free software|public domain|"
-                    r"all rights reserved|spdx", re.IGNORECASE)
+_NAMES = re.compile(r"licen[cs]e|copyright|redistribution[\W_]+and[\W_]+use|permission[\W_]+is[\W_]+hereby[\W_]+granted|"
+                    r"free[\W_]+software|public[\W_]+domain|all[\W_]+rights[\W_]+reserved|spdx", re.IGNORECASE)
 #: One of these is in the folded text wherever ``_NAMES`` matches.
 _HINTS = ("licens", "licenc", "copyright", "redistribution", "hereby", "software", "domain", "reserved", "spdx")
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-#: Code points of a block on each side of its licence words at most.
+#: Code points of a line on each side of its licence words at most, and
+#: between words of a notice.
 REACH = 400
 
 
+def wording(text: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(text)]
+
+
+def width_of(templates) -> int:
+    """Words of a block on each side of its lines: twice the longest template."""
+    return 2 * max((len(wording(t)) for _, t in templates), default=0)
+
+
+WIDTH = width_of(TEMPLATES)
+
+
 def folded(text: str) -> str:
     """Lower case, with the few other characters that ``re.IGNORECASE`` takes
     for ASCII letters."""
@@ -91,13 +105,24 @@ def lines(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(text: str) -> list[tuple[int, int]]:
-    """Spans in which licences are looked for."""
-    return lines(text)
-
-
-def wording(text: str) -> list[str]:
-    return [w.lower() for w in _WORD.findall(text)]
+def blocks(text: str, width: int = WIDTH) -> list[tuple[int, int]]:
+    """The spans of ``lines`` and ``width`` words on each side of them, as a
+    notice may be wrapped over lines; overlapping blocks are joined."""
+    cores = lines(text)
+    if not cores:
+        return []
+    at = [m.span() for m in _WORD.finditer(text)]
+    starts, ends = [a for a, _ in at], [z for _, z in at]
+    out: list[tuple[int, int]] = []
+    for lo, hi in cores:
+        before, after = bisect.bisect(ends, lo), bisect.bisect_left(starts, hi)  # words before it; first word after it
+        lo = min(lo, starts[max(0, before - width)])
+        hi = max(hi, ends[min(len(at), after + width) - 1])
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    return out
 
 
 class Template:
@@ -256,10 +281,11 @@ def find(docs: DataFrame, templates=TEMPLATES, similarity: float = 0.8) -> DataF
     licence words that holds none; offsets count code points."""
     src = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
+    width = width_of(templates)
 
     def cut(batches):
         for b in C.chunks(batches):
-            out = [(i, s, t[s:e]) for i, t in enumerate(C.texts(b)) for s, e in blocks(t)]
+            out = [(i, s, t[s:e]) for i, t in enumerate(C.texts(b)) for s, e in blocks(t, width)]
             cols = list(zip(*out)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(pa.array(np.array(cols[0], dtype=np.int64))), pa.array(cols[1], pa.int64()),

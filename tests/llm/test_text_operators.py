@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -611,3 +612,18 @@ def test_every_licence_of_a_block(spark):
     assert got[1] == [("MIT", 0, 30), ("CC-BY-4.0", two.index("licensed"), len(two) - 1)]
     assert [g[0] for g in got[2]] == [n for n, _ in kinds] + [kinds[0][0]]
     assert [g[0] for g in got[3]] == ["Proprietary"] * 2 and sorted(g[0] for g in got[4]) == ["GPL-2.0", "Proprietary"]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_wrapped_licences(spark, mark):
+    long = [(n, t) for n, t in licenses.TEMPLATES if len(t) > 72]
+    assert len(long) >= 7
+    around = "\n\n".join(textwrap.fill(x, 72) for x in _texts(4, 3, 200, 300))
+    rows = [(i, around + "\n" + textwrap.fill(t, 72, initial_indent=mark, subsequent_indent=mark) + "\n" + around) for i, (_, t) in enumerate(long)]
+    rows += [(100, mark + f"\n{mark}".join("permission is hereby granted free software all rights reserved".split()))]
+    got = licenses.find(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id", "start").collect()
+    whole = [(r.doc_id, r.license, r.similarity, r.differences) for r in got if r.doc_id < 100]
+    assert [w[:2] for w in whole] == [(i, n) for i, (n, _) in enumerate(long)]
+    for (i, _, share, _), r in zip(whole, got):
+        assert share > 0.9 and rows[i][1][r.start:r.end].split()[0] == (long[i][1].split()[0])
+    assert "Proprietary" in [r.license for r in got if r.doc_id == 100]

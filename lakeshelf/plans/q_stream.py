@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeshelf.plans.registry import query
 from lakeshelf.plans.roles import LISTINGS_SQL, listings
-from lakeshelf.session import read_table, scratch_path
+from lakeshelf.session import is_folder, read_table, scratch_path, table_path
 from lakeshelf.sources import io
 from lakeshelf.streaming import alerts as al
 
@@ -65,7 +65,10 @@ def _projected(df):
 
 
 def _event_stream(spark, sf):
+    """The table as a stream: the part files of its folder, or its only file."""
     schema = read_table(spark, sf, "events").schema
+    if is_folder(spark, path := table_path(sf, "events")):
+        return al.read_interactions(spark, path, schema=schema, max_files=1)
     return al.read_interactions(spark, sf, schema=schema, max_files=1, pathGlobFilter="events.parquet")
 
 

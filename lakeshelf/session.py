@@ -216,6 +216,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder on the cluster's file system (any scheme)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory())
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -43,3 +43,16 @@ def test_query_matches_oracle(spark, sf, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["stream_ingest", "stream_enrich", "stream_route", "stream_route_bounded"])
+def test_streams_read_a_table_of_several_files(spark, sf, con, tmp_path, name):
+    for t in TABLES:
+        if t != "events" and os.path.exists(p := os.path.join(sf, f"{t}.parquet")):
+            os.symlink(p, tmp_path / f"{t}.parquet")
+    parts = str(tmp_path / "events.parquet")
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(parts)
+    assert sum(f.endswith(".parquet") for f in os.listdir(parts)) == 3
+    df = QUERIES[name](spark, str(tmp_path))
+    rel = con.execute(ORACLES[name])
+    assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest([d[0] for d in rel.description], rel.fetchall())[0]

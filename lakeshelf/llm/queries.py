@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, read_table
 from . import (
-    common, decontaminate, licenses, packing, pii, prefix_trie, quality_model, quality_rules, repeats, simhash, turn_repair, url_trust, wavelet,
+    common, decontaminate, hyperminhash, licenses, packing, pii, prefix_trie, quality_model, quality_rules, repeats, simhash,
+    turn_repair, url_trust, wavelet,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -252,3 +253,46 @@ FROM full_nodes n JOIN sums s USING (key) LEFT JOIN nodes up ON up.key = n.paren
 @query("op12_prefix_trie", OP12_SQL)
 def op12(spark, sf_dir):
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.turns_of(read_table(spark, sf_dir, "conversations"))))
+
+
+OP13_SQL = r"""
+WITH RECURSIVE cut AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT r, array_to_string(w[i:i + n - 1], ' ') AS s, n
+    FROM (SELECT r, w, least(len(w), 4) AS n, unnest(range(1, len(w) - least(len(w), 4) + 2)) AS i FROM cut WHERE len(w) > 0)
+), sizes AS (
+    SELECT r, count(*) AS size, sha256(string_agg(s || ':' || n, chr(10) ORDER BY s, n)) AS same FROM shingles GROUP BY r
+), classes AS (
+    SELECT same, min(r) AS r, any_value(size) AS size FROM sizes GROUP BY same
+), few AS (
+    SELECT s.* FROM shingles s JOIN classes USING (r)
+), links AS (
+    SELECT a.r AS a, b.r AS b FROM few a JOIN few b ON a.s = b.s AND a.n = b.n AND a.r < b.r
+        JOIN classes x ON x.r = a.r JOIN classes y ON y.r = b.r AND 100 * least(x.size, y.size) >= 80 * greatest(x.size, y.size)
+    GROUP BY a.r, b.r HAVING 100 * count(*) >= 80 * (any_value(x.size) + any_value(y.size) - count(*))
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT r AS a, r AS b FROM classes
+    UNION
+    SELECT reach.a, e.b FROM reach JOIN both_ways e ON e.a = reach.b
+), component AS (
+    SELECT a, min(b) AS c FROM reach GROUP BY a
+), of_row AS (
+    SELECT z.r, z.size, m.c FROM sizes z JOIN classes k USING (same) JOIN component m ON m.a = k.r
+), low AS (
+    SELECT c, min(doc_id) AS component_id FROM of_row JOIN cut USING (r) GROUP BY c
+)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, CASE WHEN size IS NULL THEN doc_id ELSE component_id END AS component_id,
+    coalesce(doc_id = CASE WHEN size IS NULL THEN doc_id ELSE component_id END, false) AS kept
+FROM cut LEFT JOIN of_row USING (r) LEFT JOIN low USING (c)
+"""
+
+
+@query("op13_hyperminhash", OP13_SQL)
+def op13(spark, sf_dir):
+    return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")

@@ -12,16 +12,17 @@ one byte (0: nothing fell there). From these registers come
 * the similarity of two sets: the share of equal registers, less the share
   that would be equal by chance at these set sizes (the collision correction).
 
-Links need ``100 * intersection >= percent * union`` on whole sets, and no pair
-of copies is ever listed: equal sets are one row; likely links (similarity well
-above the threshold) of a bucket's members to its smallest member give
-provisional components; then only members of different provisional components
-that share a bucket are compared, by their sketches, within the bucket's task;
-pairs that may reach the threshold (less five standard errors) are confirmed on
-whole sets, as are all provisional links. Should a provisional link fail, the
-comparison is repeated from the confirmed links alone. Buckets above ``cap``
-members in several components are split by a second shared band, which
-near-duplicates share as surely as the first.
+Links need ``100 * intersection >= percent * union``, and no list of a group's
+pairs is ever made: equal sets are one row; likely links (similarity well above
+the threshold) of a bucket's members to its smallest member give provisional
+components; within a bucket's task the members of different ones are joined
+where their sketches allow the threshold (less five standard errors), by at
+most as many edges as members. Whatever may be linked is then in one group,
+whose whole sets meet once in one task, which confirms links on them while it
+grows a spanning forest. A group above ``cap`` members or ``cap_bytes`` is worked
+bucket by bucket instead, after its likely links are confirmed, and a bucket
+above ``cap`` is split by a second shared band, which near-duplicates share as
+surely as the first.
 
 Defined cases: null or empty text and text without words have an empty set and
 are linked with nothing; a null id never becomes a component's id unless no
@@ -224,70 +225,92 @@ def _several(rows: DataFrame) -> DataFrame:
     return rows.select("key", "id", "component").join(mixed.where("lo != hi").select("key", "size"), "key")
 
 
-def _across(distinct: DataFrame, open_rows: DataFrame, buckets: DataFrame, percent: int, cap: int) -> DataFrame:
-    """(a, b), a < b: members of different components in a bucket whose sketches
-    allow the threshold."""
-    small = open_rows.where(F.col("size") <= cap)
-    large = open_rows.where(F.col("size") > cap)
+def _split(open_rows: DataFrame, buckets: DataFrame, cap: int) -> DataFrame:
+    """Buckets with several components; those above ``cap`` members are
+    replaced by their members' second shared bands."""
+    small, large = open_rows.where(F.col("size") <= cap), open_rows.where(F.col("size") > cap)
     for _ in range(2):
         if large.isEmpty():
             break
-        # members that share a second band as well
         second = buckets.select("id", F.col("key").alias("other"))
         finer = large.select("key", "id", "component").join(second, "id").where(F.col("key") != F.col("other"))
-        finer = materialize(_several(finer.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id", "component").distinct()), "finer")
-        small = small.unionByName(finer.where(F.col("size") <= cap))
-        large = finer.where(F.col("size") > cap)
-    rows = small.unionByName(large).select("key", "id", "component").join(distinct.select("id", "n", "sketch"), "id")
-    rows = rows.repartition("key").sortWithinPartitions("key", "id")
+        finer = finer.select(F.xxhash64(F.least("key", "other"), F.greatest("key", "other")).alias("key"), "id", "component").distinct()
+        finer = materialize(_several(finer), "finer")
+        small, large = small.unionByName(finer.where(F.col("size") <= cap)), finer.where(F.col("size") > cap)
+    return small.unionByName(large).select("key", "id", "component")
+
+
+def _by_key(rows: DataFrame, columns: tuple, compare) -> DataFrame:
+    """(a, b) that ``compare`` gives for the rows of each key, which are
+    streamed key by key in the order of their ids."""
+    rows = rows.select(*columns).repartition("key").sortWithinPartitions("key", "id")
 
     def run(batches):
         key, held = None, []
         for b in batches:
             out = []
-            for row in zip(*(b.column(c).to_pylist() for c in ("key", "id", "component", "n", "sketch"))):
-                if row[0] != key:
-                    out += _compare(held, percent)
-                    key, held = row[0], []
-                held.append(row)
+            for part in (b.slice(i, 256) for i in range(0, b.num_rows, 256)):  # long sets become Python values a few at a time
+                for row in zip(*(part.column(c).to_pylist() for c in columns)):
+                    if row[0] != key:
+                        out += compare(held)
+                        key, held = row[0], []
+                    if not held or held[-1][1] != row[1]:
+                        held.append(row)
             yield _pairs(out)
-        yield _pairs(_compare(held, percent))
+        yield _pairs(compare(held))
 
-    return C.map_arrow(rows, run, "a long, b long").distinct()
+    return C.map_arrow(rows, run, "a long, b long")
 
 
-def _compare(rows: list, percent: int) -> list[tuple[int, int]]:
-    """Pairs of one bucket's members in different components that may reach
-    the threshold. The largest component's members are not compared with each
-    other, nor any pair within a component."""
+def _forest(rows: list, percent: int, exact: bool) -> list[tuple[int, int]]:
+    """Edges that join the components of one key's members as all their links
+    do, at most one fewer than members. A link is a sketch that allows the
+    threshold, and if ``exact`` a whole set that reaches it. Rows are (key, id,
+    component, n, sketch[, hashes]); members of one component count as joined."""
     if len(rows) < 2:
         return []
-    comp = np.array([r[2] for r in rows])
-    values, inverse, count = np.unique(comp, return_inverse=True, return_counts=True)
-    order = np.argsort(-count[inverse], kind="stable")  # members of large components first
-    ids, comp = np.array([r[1] for r in rows])[order], comp[order]
-    n = np.array([r[3] for r in rows])[order]
-    regs = np.stack([np.frombuffer(rows[i][4], dtype=np.uint8) for i in order.tolist()])
-    out = []
-    for i in range(int(count.max()), len(rows)):
-        near = np.flatnonzero((comp[:i] != comp[i]) & (100 * np.minimum(n[:i], n[i]) >= percent * np.maximum(n[:i], n[i])))
-        if not len(near):
-            continue
-        r = regs[near]
-        equal = ((r == regs[i]) & (r > 0)).sum(axis=1)
-        used = ((r | regs[i]) > 0).sum(axis=1)
-        keep = np.flatnonzero(equal >= (percent / 100 - 0.5) * used)
-        for j, e, u in zip(near[keep].tolist(), equal[keep].tolist(), used[keep].tolist()):
-            est, error = _similarity(e, u, int(n[i]), int(n[j]))
-            if est >= percent / 100 - 5 * error:
-                a, b = int(ids[i]), int(ids[j])
-                out.append((min(a, b), max(a, b)))
-    return out
+    ids, n = [r[1] for r in rows], np.array([r[3] for r in rows])
+    regs = np.stack([np.frombuffer(r[4], dtype=np.uint8) for r in rows])
+    sets = [np.frombuffer(r[5], dtype=np.uint64) for r in rows] if exact else None
+    mates: dict[int, list[int]] = {}
+    for i, r in enumerate(rows):
+        mates.setdefault(r[2], []).append(i)
+    left = np.ones(len(rows), dtype=bool)
+    edges = []
+    for members in sorted(mates.values(), key=len, reverse=True):  # a large component's members are not compared with each other
+        queue = [i for i in members if left[i]]
+        left[queue] = False
+        while queue:
+            i = queue.pop()
+            near = np.flatnonzero(left & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
+            if not len(near):
+                continue
+            r = regs[near]
+            equal = ((r == regs[i]) & (r > 0)).sum(axis=1)
+            used = ((r | regs[i]) > 0).sum(axis=1)
+            for j, e, u in zip(near.tolist(), equal.tolist(), used.tolist()):
+                if not left[j] or e < (percent / 100 - 0.5) * u:
+                    continue
+                est, error = _similarity(e, u, int(n[i]), int(n[j]))
+                if est < percent / 100 - 5 * error or exact and not _linked(sets[i], sets[j], percent):
+                    continue
+                edges.append((ids[i], ids[j]))
+                joined = [m for m in mates[rows[j][2]] if left[m]]
+                left[joined] = False
+                queue += joined
+    return edges
+
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    at = np.searchsorted(y, x)
+    both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(id, hashes) of the sets in ``wanted`` (id, text_key), from whole
-    texts. A bit map of the wanted texts spares the others the work."""
+
+def _whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``wanted`` (id, text_key, n, sketch ...) with ``hashes``, from whole
+    texts; a text that several tasks read comes several times. A bit map of
+    the wanted texts spares the others the work."""
     spark = docs.sparkSession
     slot = F.conv(F.substring(F.hex("text_key"), 1, 8), 16, 10).cast("long").bitwiseAND((1 << MAP_BITS) - 1)
     words = (wanted.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w"))
@@ -313,25 +336,45 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                                               pa.array([shingle_hashes(t, shingle).tobytes() for t in raw], pa.binary())], names=["text_key", "hashes"])
 
     found = materialize(C.map_arrow(src, run, "text_key binary, hashes binary"), "sets")
-    joined = found.join(wanted, "text_key").select("id", "hashes")
-    return joined.groupBy("id").agg(F.first("hashes").alias("hashes"))
+    return materialize(found.join(wanted, "text_key"), "whole_sets")
 
 
-def _confirmed(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def links(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int, cap: int, cap_bytes: int = 64 << 20) -> DataFrame:
+    """Edges (a, b) between distinct sets with the same components as all
+    links of the threshold; for each set and key at most one."""
+    buckets = _buckets(distinct)
+    likely = _likely(distinct, buckets, percent)
+    sketch = distinct.select("id", "n", "sketch")
+    between = _by_key(_split(_labelled(buckets, likely), buckets, cap).join(sketch, "id"), ("key", "id", "component", "n", "sketch"),
+                      lambda rows: _forest(rows, percent, False))
+    # groups: whatever may be linked is in one
+    group = components(likely.unionByName(between)).select(F.col("node").alias("id"), F.col("component").alias("key"))
+    members = materialize(distinct.select("id", "text_key", "n", "sketch").join(group, "id"), "groups")
+    sizes = materialize(members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), (F.sum("n") * 8).alias("bytes")), "sizes")
+    large = sizes.where((F.col("size") > cap) | (F.col("bytes") > cap_bytes)).select("key")
+    columns, exact = ("key", "id", "component", "n", "sketch", "hashes"), lambda rows: _forest(rows, percent, True)
+    sets = _whole_sets(docs, members, shingle)
+    if large.isEmpty():
+        return materialize(_by_key(sets.withColumn("component", F.col("id")), columns, exact), "links")
+    small = _by_key(sets.join(large, "key", "left_anti").withColumn("component", F.col("id")), columns, exact)
+    # a large group goes bucket by bucket, once its likely links are confirmed
+    ids = materialize(members.join(large, "key").select("id"), "large")
+    sets = materialize(sets.join(ids, "id").groupBy("id").agg(*[F.first(c).alias(c) for c in ("n", "sketch", "hashes")]), "large_sets")
+    sure = _confirmed(likely.join(ids.withColumnRenamed("id", "a"), "a"), sets.select("id", "hashes"), percent)
+    own = materialize(buckets.join(ids, "id"), "large_buckets")
+    rest = _by_key(_split(_labelled(own, sure), own, cap).join(sets, "id"), columns, exact)
+    return materialize(small.unionByName(sure).unionByName(rest), "links")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = materialize(distinct.select("id", "text_key").join(ids, "id"), "wanted")
-    sets = materialize(_sets_of(docs, wanted, shingle), "whole_sets")
 
     def run(batches):
         for b in batches:
             out = []
-            # one row at a time: sets may be long
-            for i in range(b.num_rows):
+            for i in range(b.num_rows):  # one row at a time: sets may be long
                 x, y = (np.frombuffer(b.column(c)[i].as_py(), dtype=np.uint64) for c in ("ha", "hb"))
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                if 100 * both >= percent * (len(x) + len(y) - both):
+                if _linked(x, y, percent):
                     out.append((b.column("a")[i].as_py(), b.column("b")[i].as_py()))
             yield _pairs(out)
 
@@ -339,25 +382,6 @@ def _confirmed(docs: DataFrame, distinct: DataFrame, pairs: DataFrame, shingle:
     return materialize(C.map_arrow(whole, run, "a long, b long"), "confirmed")
 
 
-def links(docs: DataFrame, distinct: DataFrame, shingle: int, percent: int, cap: int) -> DataFrame:
-    """Edges (a, b) between distinct sets with the same components as all
-    links of the threshold."""
-    buckets = _buckets(distinct)
-    likely = _likely(distinct, buckets, percent)
-    maybe = _across(distinct, _labelled(buckets, likely), buckets, percent, cap)
-    pairs = materialize(likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(maybe).distinct(), "pairs")
-    sure = _confirmed(docs, distinct, pairs, shingle, percent)
-    ordered = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    while not ordered.join(sure, ["a", "b"], "left_anti").isEmpty():
-        # a likely link failed: once more from confirmed links only
-        maybe = _across(distinct, _labelled(buckets, sure), buckets, percent, cap)
-        fresh = materialize(maybe.join(pairs, ["a", "b"], "left_anti"), "fresh")
-        pairs = materialize(pairs.unionByName(fresh), "pairs")
-        sure = materialize(sure.unionByName(_confirmed(docs, distinct, fresh, shingle, percent)), "confirmed")
-        ordered = fresh.limit(0)  # from confirmed components on, every open pair has been tested
-    return sure
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, cap: int = 4096) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): the smallest doc_id that each
     row reaches over links of ``100 * intersection >= percent * union``, and

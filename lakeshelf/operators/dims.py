@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeshelf.functions.dates import date_attributes
-from lakeshelf.session import materialize, path_exists
+from lakeshelf.session import materialize
+from lakeshelf.sources import runs
+from lakeshelf.sources.runs import BUCKET, with_bucket
 
 _ROW = "__row"
 
@@ -193,42 +195,41 @@ def scd2(dim: DataFrame, delta: DataFrame, key: str | Sequence[str], tracked: Se
 
 # Type-2 history rewritten bucket by bucket ----------------------------------
 
-BUCKET = "_bucket"
-
-
-def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(buckets)))
-
-
 def scd2_in_place(dim_path: str, delta: DataFrame, key: str | Sequence[str], tracked: Sequence[str],
                   schema: str, buckets: int = 64, sk: str = "id", active: str = "is_active",
-                  null_safe: bool = False, order: Sequence[Column | str] | None = None) -> None:
-    """:func:`scd2` on a dimension stored at ``dim_path`` partitioned into
-    ``buckets`` hash buckets of the key: only the buckets the delta touches
-    are read (partition pruning) and rewritten (dynamic partition overwrite);
-    the rest of a large dimension is left as it is. New ids continue after
-    the largest id of the whole dimension. ``schema`` is the dimension's DDL
-    (used when it does not exist yet)."""
+                  null_safe: bool = False, order: Sequence[Column | str] | None = None) -> runs.State:
+    """:func:`scd2` on a dimension stored at ``dim_path`` in hash buckets of
+    the key (:mod:`lakeshelf.sources.runs`): only the buckets that the delta
+    touches are read, and their new rows are written as a run beside the old
+    one. One new state then shows all of them at once: a crash before it leaves
+    the history as it was, and the retry starts from that. A second writer that
+    replaced one of the buckets meanwhile makes this one fail, with nothing
+    changed. The largest id is kept with the state, so numbering new rows reads
+    no other bucket. ``schema`` is the dimension's DDL. Read the dimension with
+    :func:`read_dim`."""
     spark = delta.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     if order:
         d = dedup_latest(delta, keys, order).select(*keys, *tracked)
     else:
         d = dedup_first(delta.select(*keys, *tracked), keys, list(tracked))
+    base = runs.newest(spark, dim_path)
+    buckets = base.info.get("buckets", buckets)
     d = materialize(with_bucket(d, keys, buckets), "scd2_delta")
     touched = [r[0] for r in d.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
-    if path_exists(spark, dim_path):
-        stored = spark.read.parquet(dim_path)
-    else:  # first run: no dimension yet
-        stored = with_bucket(spark.createDataFrame([], schema), keys, buckets)
-    start = max_id(stored, sk)
-    part = stored.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    out = scd2(part, d.drop(BUCKET), keys, tracked, sk=sk, active=active, null_safe=null_safe,
-               id_start=start)
-    # written to the shared folder first: the target buckets are being read
+    if not touched:
+        return base
+    part = runs.read(spark, dim_path, schema, base, touched)
+    start = base.info.get("max_id", 0)
+    out = scd2(part, d.drop(BUCKET), keys, tracked, sk=sk, active=active, null_safe=null_safe, id_start=start)
     out = materialize(with_bucket(out, keys, buckets), "scd2_buckets")
-    (out.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(dim_path))
+    info = {"buckets": buckets, "max_id": max(start, max_id(out, sk))}
+    return runs.replace(out, dim_path, base, touched, info)
+
+
+def read_dim(spark: SparkSession, dim_path: str, schema: str, state: runs.State | None = None) -> DataFrame:
+    """A dimension that :func:`scd2_in_place` keeps: as it is now, or at a state."""
+    return runs.read(spark, dim_path, schema, state)
 
 
 # The calendar dimension ------------------------------------------------------

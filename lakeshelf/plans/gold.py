@@ -96,11 +96,11 @@ def read_dim(spark, root: str, name: str, upto: int) -> DataFrame:
     from lakeshelf.sources import io
 
     path = f"{root}/dim_{name}"
+    if name == "users":
+        return dm.read_dim(spark, path, DIM_SCHEMAS[name])
     if not path_exists(spark, path):
         return _empty(spark, name)
     t = spark.read.parquet(path)
-    if name == "users":
-        return t.drop(dm.BUCKET)
     return t.where(F.col(io.VERSION) <= upto).drop(io.VERSION)
 
 
@@ -110,13 +110,14 @@ def run_gold(spark, silver_versions: str, root: str, until: int | None = None) -
     current silver version -> last gold mark -> gate -> changes in
     (last, current] -> dimensions -> fact, appended as version ``current`` ->
     mark. Insert-only dimensions and the calendar get their new rows as
-    version ``current``; users are rewritten only in the hash buckets that the
-    changes touch (applying a change set twice changes nothing). Nothing
-    copies a whole dimension. After a failure the recorded range is finished
+    version ``current``; users get new runs of the hash buckets that the changes
+    touch, shown by one published state (applying a change set twice changes
+    nothing), and runs that the last three states don't list are deleted.
+    Nothing copies a whole dimension. After a failure the recorded range is finished
     first; it reads the dimensions as of the last mark and replaces its own
     versions."""
     from lakeshelf.operators.facts import incremental_steps
-    from lakeshelf.sources import io
+    from lakeshelf.sources import io, runs
 
     def step(changes, since, upto):
         changes = materialize(changes.drop(io.VERSION), "changes")  # read by every dimension
@@ -130,5 +131,6 @@ def run_gold(spark, silver_versions: str, root: str, until: int | None = None) -
             io.append_version(new, f"{root}/dim_{n}", version=upto)
         dims = {n: read_dim(spark, root, n, upto) for n in DIM_SCHEMAS}
         io.append_version(build_fact(changes, dims), f"{root}/fact_posts", version=upto)
+        runs.retire(spark, f"{root}/dim_users", keep=3)
 
     return incremental_steps(spark, f"{root}/state", "fact_posts", silver_versions, step, until)

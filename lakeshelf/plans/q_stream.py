@@ -29,12 +29,12 @@ def _versions(spark, sf):
 
 
 def _lookup(spark, sf):
-    """The stored lookup, as kept by two loads: the earlier states, then the rest."""
+    """The stored lookup after two loads: the earlier states, then the rest."""
     path = scratch_path(spark, "lookup")
     v = _versions(spark, sf)
     al.write_lookup(v.where(F.col("user_name") == "Zz former owner"), path)
     al.write_lookup(v.where(F.col("user_name") != "Zz former owner"), path)
-    return path
+    return al.Lookup(spark, path)
 
 
 VERSIONS_SQL = f"""(SELECT row_id, user_name, district, city, property_type, area, price, created_at AS updated_at, _commit_version
@@ -122,11 +122,46 @@ FROM {EV_SQL} e JOIN {NEWEST_SQL} l ON e.listing_ref = l.row_id""")
 def q_stream_enrich(spark, sf):
     """Each micro-batch reads the lookup buckets that it refers to."""
     out, ck = scratch_path(spark, "enrich_out"), scratch_path(spark, "enrich_ckpt")
-    path = _lookup(spark, sf)
+    lookup = _lookup(spark, sf)
     s = al.project_interactions(_interactions(_event_stream(spark, sf)))
-    q = al.write_batches(s, lambda batch: al.enrich(batch, spark.read.parquet(path)), out, ck, {"availableNow": True})
+    q = al.write_batches(s, lambda batch: al.enrich(batch, lookup), out, ck, {"availableNow": True})
     al.run_available(q)
-    return spark.read.parquet(out).select("msg_id", "listing_ref", "user_name", "city", "district", "price")
+    return al.read_batches(spark, out).select("msg_id", "listing_ref", "user_name", "city", "district", "price")
+
+
+@query("stream_enrich_while_loading", f"""
+SELECT e.msg_id, e.listing_ref, CASE WHEN old THEN 'Zz former owner' ELSE l.user_name END AS user_name, l.city,
+  CASE WHEN old THEN l.price / 2 ELSE l.price END AS price
+FROM (SELECT *, listing_ref % 3 = 0 AND (CAST(floor(listing_ref / 3) AS BIGINT) % 3 = 0
+        OR (CAST(floor(listing_ref / 3) AS BIGINT) % 3 = 1 AND listing_ref % 2 = 1)) AS old FROM {EV_SQL} x) e
+JOIN {LISTINGS_SQL} l ON e.listing_ref = l.row_id""")
+def q_stream_enrich_while_loading(spark, sf):
+    """Three micro-batches with loads between planning and writing each: batch
+    k sees the rows of loads 0 to k, although the next load, a compaction and
+    the deletion of old runs come before it is written."""
+    top = scratch_path(spark, "loading")
+    v = _versions(spark, sf)
+    former, later = F.col("user_name") == "Zz former owner", F.col("row_id") % 3 == 0
+    loads = [v.where(former | ~later), v.where(~former & later & (F.col("row_id") % 2 == 0)), v.where(~former & later & (F.col("row_id") % 2 == 1))]
+    lookup = al.Lookup(spark, f"{top}/lookup")
+    al.write_lookup(loads[0], lookup.path)
+    ev = _interactions(read_table(spark, sf, "events"))
+    for k in range(3):  # one file after the other: a micro-batch each
+        part = ev.where(F.floor(F.col("listing_ref").cast("long") / 3) % 3 == k)
+        part.coalesce(1).write.mode("append").parquet(f"{top}/feed")
+    done = []
+
+    def make(batch):
+        rows = al.enrich(al.project_interactions(batch), lookup)
+        done.append(1)
+        if len(done) < 3:
+            al.write_lookup(loads[len(done)], lookup.path)
+            al.compact_lookup(spark, lookup.path, runs_at_least=2, keep=1)
+        return rows
+
+    feed = al.read_interactions(spark, f"{top}/feed", schema=ev.schema, max_files=1)
+    al.run_available(al.write_batches(feed, make, f"{top}/out", f"{top}/ckpt", {"availableNow": True}))
+    return al.read_batches(spark, f"{top}/out").select("msg_id", "listing_ref", "user_name", "city", "price")
 
 
 @query("route_alerts", ROUTE_SQL)
@@ -139,12 +174,12 @@ def q_route_alerts(spark, sf):
 @query("stream_route", ROUTE_SQL)
 def q_stream_route(spark, sf):
     out, ck = scratch_path(spark, "alerts_out"), scratch_path(spark, "alerts_ckpt")
-    path = _lookup(spark, sf)
+    lookup = _lookup(spark, sf)
     s = _projected(_interactions(_event_stream(spark, sf)))
-    q = al.write_alerts(s, lambda: spark.read.parquet(path), out, ck,
+    q = al.write_alerts(s, lambda: lookup, out, ck,
                         trigger={"availableNow": True}, label="label", score="score", words=EVENT_WORDS)
     al.run_available(q)
-    return spark.read.parquet(out).drop("batch_id")
+    return al.read_batches(spark, out)
 
 
 @query("stream_route_bounded", ROUTE_SQL)
@@ -152,12 +187,12 @@ def q_stream_route_bounded(spark, sf):
     """The alert stream at its default trigger (every 5 seconds), stopped once
     the source is used up."""
     out, ck = scratch_path(spark, "alerts_b_out"), scratch_path(spark, "alerts_b_ckpt")
-    path = _lookup(spark, sf)
+    lookup = _lookup(spark, sf)
     s = _projected(_interactions(_event_stream(spark, sf)))
-    q = al.write_alerts(s, lambda: spark.read.parquet(path), out, ck, label="label", score="score", words=EVENT_WORDS)
+    q = al.write_alerts(s, lambda: lookup, out, ck, label="label", score="score", words=EVENT_WORDS)
     q.processAllAvailable()
     q.stop()
-    return spark.read.parquet(out).drop("batch_id")
+    return al.read_batches(spark, out)
 
 
 @query("classify_no_model", "SELECT conv_id, turn, 'general' AS ai_analysis FROM conversations")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,28 +82,37 @@ def scratch_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-_SCOPES: list[str] = []
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[str]:
+    """The open scratch scopes of this thread. A stream's batches run in a
+    thread of their own: their scopes are not those of other streams or of the
+    main thread."""
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared scratch root (or the folder of
-    the current :func:`scratch_scope`)."""
-    top = _SCOPES[-1] if _SCOPES else f"{scratch_root(spark)}/lakeshelf"
+    this thread's current :func:`scratch_scope`)."""
+    top = _scopes()[-1] if _scopes() else f"{scratch_root(spark)}/lakeshelf"
     return f"{top}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession):
-    """Tables that :func:`materialize` writes inside the ``with`` block are
-    deleted at its end: for steps that write their result elsewhere before
+    """Tables that :func:`materialize` writes inside the ``with`` block, in
+    the same thread, are deleted at its end: for steps that write their result elsewhere before
     they return. (A query that returns a lazy DataFrame cannot know its last
     reader; its tables stay until the scratch folder is cleaned.)"""
     top = f"{scratch_root(spark)}/lakeshelf/scope-{uuid.uuid4().hex[:12]}"
-    _SCOPES.append(top)
+    _scopes().append(top)
     try:
         yield top
     finally:
-        _SCOPES.remove(top)
+        _scopes().remove(top)
         p = spark._jvm.org.apache.hadoop.fs.Path(top)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 

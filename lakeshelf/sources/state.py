@@ -3,23 +3,27 @@
 
 Each move of a mark is one small new file, never changed or deleted, whose
 name carries the table and a sequence number; the newest file of a table wins.
-It is created under a temporary name and renamed, so a reader sees the old or
-the new mark, and writers of different tables cannot lose each other's marks.
+A file is created only if its number is free (:mod:`commits`), so of two
+writers that saw the same mark one moves it and the other reads again.
 
 ``run_step`` records the range (since, until] before it writes data and
 finishes exactly that range after a failure, even if the source has moved on
-since: data written for it is replaced, not repeated.
+since: data written for it is replaced, not repeated. The record is also the
+claim to the range: a second job that finds it held does not run the step.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import time
 import uuid
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeshelf.sources import commits
+
 SCHEMA = "table_name string, mark string"
 
 # Seeds (fixed values): bronze marks start at the epoch date; gold marks before
@@ -29,61 +33,51 @@ GOLD_SEED = "-1"
 
 _INTENT = "#started"
 
-
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+#: A claim whose holder has neither finished nor failed counts as dead after
+#: this many seconds (a killed job can't give its claim back).
+CLAIM_SECONDS = 6 * 3600
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small text file through the Hadoop file system (any scheme the
-    cluster supports): complete under its name or not there."""
-    fs, p = _hadoop_fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(os.path.dirname(path), f".{uuid.uuid4().hex}.tmp"))
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if not fs.rename(tmp, p):
-        raise OSError(f"cannot create {path}")
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _hadoop_fs(spark, path)
-    jio = spark._jvm.java.io
-    reader = jio.BufferedReader(jio.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
-
-
-def _newest(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
-    """{key: (sequence, file name)} of the newest file of each key."""
-    fs, p = _hadoop_fs(spark, root)
-    best: dict[str, tuple[int, str]] = {}
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.endswith(".mark"):
-                key, seq, _ = name[:-5].rsplit("~", 2)
-                best[key] = max(best.get(key, (-1, "")), (int(seq), name))
+    """Create a small text file; complete under its name or not there."""
+    if not commits.create_exclusive(spark, path, text):
+        raise OSError(f"{path} exists")
+
+
+def _newest(spark: SparkSession, root: str) -> dict[str, int]:
+    """{key: sequence number} of the newest file of each key."""
+    best: dict[str, int] = {}
+    for name, _ in commits.names_in(spark, root):
+        if name.endswith(".mark") and name[0] != ".":
+            key, seq = name[:-5].rsplit("~", 1)
+            best[key] = max(best.get(key, -1), int(seq))
     return best
 
 
+def _file(root: str, key: str, seq: int) -> str:
+    return os.path.join(root, f"{key}~{seq:012d}.mark")
+
+
+def _put_after(spark: SparkSession, root: str, key: str, seq: int, value: str) -> bool:
+    """Write the value that follows number ``seq`` of a key, unless another
+    writer already has."""
+    return commits.create_exclusive(spark, _file(root, key, seq + 1), json.dumps({"value": value, "by": uuid.uuid4().hex[:8]}))
+
+
 def _put(spark: SparkSession, root: str, key: str, value: str) -> None:
-    seq = _newest(spark, root).get(key, (-1, ""))[0] + 1
-    write_text(spark, os.path.join(root, f"{key}~{seq:012d}~{uuid.uuid4().hex[:8]}.mark"), json.dumps({"value": value}))
+    while not _put_after(spark, root, key, _newest(spark, root).get(key, -1), value):
+        pass  # another writer took the number: after its value comes this one
 
 
-def _get_all(spark: SparkSession, root: str) -> dict[str, str]:
-    return {k: json.loads(_read_text(spark, os.path.join(root, name)))["value"] for k, (_, name) in _newest(spark, root).items()}
+def _get_all(spark: SparkSession, root: str) -> dict[str, tuple[int, str]]:
+    """{key: (sequence number, value)}."""
+    return {k: (seq, json.loads(commits.read_text(spark, _file(root, k, seq)))["value"]) for k, seq in _newest(spark, root).items()}
 
 
 def read_marks(spark: SparkSession, root: str) -> dict[str, str]:
     """The current marks as {table_name: mark} (a few control rows, read
     through the file system without a Spark job)."""
-    return {k: v for k, v in _get_all(spark, root).items() if not k.endswith(_INTENT)}
+    return {k: v for k, (_, v) in _get_all(spark, root).items() if not k.endswith(_INTENT)}
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
@@ -114,28 +108,40 @@ def if_newer(last, current) -> bool:
     return last < current
 
 
-def run_step(spark: SparkSession, root: str, name: str, current, step: Callable[[object, object], None]) -> bool:
+def run_step(spark: SparkSession, root: str, name: str, current, step: Callable[[object, object], None],
+             claim_seconds: float = CLAIM_SECONDS) -> bool:
     """Gate on the mark and run ``step(since, until)``, which must write its
     data so that a repeat of the same range replaces it; then move the mark.
 
-    The range is recorded first. If an earlier run recorded one and did not
-    move the mark, exactly that range is finished before a newer one starts.
-    Errors propagate. Returns whether any range was run."""
+    The range is recorded first, by the one writer that gets the next number;
+    others return False. If an earlier run recorded a range and failed, or was
+    killed more than ``claim_seconds`` ago, exactly that range is finished
+    before a newer one starts. Errors propagate. Returns whether any range was
+    run."""
     ran = False
-    state = _get_all(spark, root)
-    last = _typed(state.get(name), current)
-    started = json.loads(state.get(name + _INTENT, "null"))
-    if started and started["since"] == state.get(name) and if_newer(last, _typed(started["until"], current)):
-        until = _typed(started["until"], current)
-        step(last, until)
-        set_mark(spark, root, name, until)
-        last, ran = until, True
-    if not if_newer(last, current):
-        return ran
-    _put(spark, root, name + _INTENT, json.dumps({"since": None if last is None else str(last), "until": str(current)}))
-    step(last, current)
-    set_mark(spark, root, name, current)
-    return True
+    while True:
+        state = _get_all(spark, root)
+        seq, mark = state.get(name, (-1, None))
+        last = _typed(mark, current)
+        claim_seq, record = state.get(name + _INTENT, (-1, "null"))
+        started = json.loads(record)
+        unfinished = bool(started) and started["since"] == mark and if_newer(last, _typed(started["until"], current))
+        if unfinished and started["held"] and time.time() - started["at"] < claim_seconds:
+            return ran  # another job is at it
+        until = _typed(started["until"], current) if unfinished else current
+        if not if_newer(last, until):
+            return ran
+        claim = {"since": mark, "until": str(until), "held": True, "at": time.time()}
+        if not _put_after(spark, root, name + _INTENT, claim_seq, json.dumps(claim)):
+            return ran
+        try:
+            step(last, until)
+        except BaseException:
+            _put_after(spark, root, name + _INTENT, claim_seq + 1, json.dumps({**claim, "held": False}))
+            raise
+        if not _put_after(spark, root, name, seq, str(until)):
+            raise RuntimeError(f"the mark of {name} was moved by another writer")
+        ran = True
 
 
 def _typed(value: str | None, like):

@@ -11,6 +11,8 @@ that returns ``struct<label, score>``.
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
 from typing import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshelf.functions.keywords import any_keyword
-from lakeshelf.operators.dims import BUCKET, with_bucket
-from lakeshelf.session import checked_broadcast, materialize, path_exists, scratch_scope
+from lakeshelf.session import checked_broadcast, materialize, scratch_scope
+from lakeshelf.sources import commits, runs
 from lakeshelf.sources.io import VERSION
 
 # Default keyword lists (fixed values), matched as substrings of the lower-cased text.
@@ -89,7 +91,8 @@ def sentiment_udf(load_model: Callable[[], Callable[[list], list]]):
 
 LOOKUP_COLUMNS = ("user_name", "district", "city", "property_type", "area", "price")
 LOOKUP_ORDER = ("updated_at", VERSION)
-LOOKUP_BUCKETS = 64
+#: Rows that a bucket of the lookup holds at its first load.
+BUCKET_ROWS = 500_000
 
 
 def newest_listings(listings: DataFrame, key: str = "row_id", order: Sequence[str] = LOOKUP_ORDER) -> DataFrame:
@@ -102,40 +105,74 @@ def newest_listings(listings: DataFrame, key: str = "row_id", order: Sequence[st
 
 
 def write_lookup(listings: DataFrame, path: str, key: str = "row_id", columns: Sequence[str] = LOOKUP_COLUMNS,
-                 order: Sequence[str] = LOOKUP_ORDER, buckets: int = LOOKUP_BUCKETS) -> None:
-    """Write the compact lookup table of the alert stream: the newest row of
-    each listing, the columns that alerts need, partitioned by hash bucket of
-    the key. Given changes of a listing table whose lookup is already there,
-    only the buckets that they touch are read and rewritten."""
+                 order: Sequence[str] = LOOKUP_ORDER, buckets: int | None = None) -> runs.State:
+    """Load listings, or changes of them, into the lookup of the alert stream:
+    the newest row of each listing, with the columns that alerts need, becomes a
+    run in the hash buckets of the key. Nothing that is stored is read or
+    rewritten, so a load costs its own size, and streams read on meanwhile. The
+    first load fixes the number of buckets by its rows (at least 16)."""
     spark = listings.sparkSession
     have = [c for c in order if c in listings.columns and c not in columns]
-    new = with_bucket(listings.select(key, *columns, *have).where(F.col(key).isNotNull()), [key], buckets)
-    if path_exists(spark, path):
-        new = materialize(new, "lookup_changes")
-        touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
-        new = new.unionByName(spark.read.parquet(path).where(F.col(BUCKET).isin(touched)))
-    # written aside first: the buckets that are replaced are being read
-    out = materialize(newest_listings(new, key, order), "lookup")
-    (out.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET).parquet(path))
-
-
-def enrich(events: DataFrame, listings: DataFrame, key: str = "row_id", ref: str = "listing_ref",
-           buckets: int = LOOKUP_BUCKETS) -> DataFrame:
+    new = newest_listings(listings.select(key, *columns, *have).where(F.col(key).isNotNull()), key, order)
+    with scratch_scope(spark):
+        new = materialize(new, "lookup")
+        info = runs.newest(spark, path).info
+        if not info:
+            info = {"key": key, "order": [c for c in order if c in new.columns], "schema": new.schema.json(),
+                    "buckets": buckets or max(16, 1 << (new.count() // BUCKET_ROWS).bit_length())}
+        return runs.append(runs.with_bucket(new, [key], info["buckets"]), path, info)
+
+
+def compact_lookup(spark: SparkSession, path: str, runs_at_least: int = 4, keep: int = 2) -> list[int]:
+    """Merge the buckets that hold ``runs_at_least`` runs or more into one run
+    of newest rows each, then delete the runs that neither the last ``keep``
+    states nor a reading batch needs. Loads may go on: their runs stay on top
+    of the merged one. Returns the merged buckets."""
+    state = runs.newest(spark, path)
+    full = [b for b, r in state.runs.items() if len(r) >= runs_at_least]
+    if full:
+        rows = runs.read(spark, path, T.StructType.fromJson(json.loads(state.info["schema"])), state, full)
+        one = newest_listings(rows, state.info["key"], state.info["order"])
+        runs.replace(runs.with_bucket(one, [state.info["key"]], state.info["buckets"]), path, state, full)
+    runs.retire(spark, path, keep)
+    return sorted(full)
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A lookup as :func:`write_lookup` keeps it."""
+    spark: SparkSession
+    path: str
+
+    def matching(self, refs: DataFrame, ref: str) -> DataFrame:
+        """The newest row of each listing that ``refs`` names: only their
+        buckets are read, of a state that stays while the batch runs."""
+        state = runs.pin(self.spark, self.path)
+        if state.number < 0:
+            raise FileNotFoundError(f"no lookup at {self.path}")
+        key, schema = state.info["key"], T.StructType.fromJson(json.loads(state.info["schema"]))
+        wanted = refs.select(F.col(ref).cast(schema[key].dataType).alias(key)).where(F.col(key).isNotNull()).distinct()
+        wanted = materialize(runs.with_bucket(wanted, [key], state.info["buckets"]), "lookup_refs")
+        touched = [r[0] for r in wanted.select(runs.BUCKET).distinct().collect()]  # at most as many ints as buckets
+        rows = runs.read(self.spark, self.path, schema, state, touched)
+        if any(len(state.runs.get(b, [])) > 1 for b in touched):  # else each listing has one row
+            rows = rows.join(checked_broadcast(wanted.select(key), stored=True), key, "left_semi")
+            rows = newest_listings(rows, key, state.info["order"])
+        return rows.withColumnRenamed(key, "__key")
+
+
+def enrich(events: DataFrame, listings: DataFrame | Lookup, key: str = "row_id", ref: str = "listing_ref") -> DataFrame:
     """Inner join of a batch of interactions to listings on ``ref = key``.
 
-    ``listings`` is a lookup table as :func:`write_lookup` stores it (one row
-    per listing): only the buckets that the batch refers to are read, and if
-    the batch's measured size is small it is broadcast, so no listing is
-    shuffled. Any other listing table is first reduced to its newest rows."""
-    if BUCKET not in listings.columns:
-        one = newest_listings(listings, key)
-        return events.join(one, events[ref] == one[key], "inner").drop(one[key])
-    refs = with_bucket(events.select(F.col(ref).cast(listings.schema[key].dataType).alias(key)).where(F.col(key).isNotNull()), [key], buckets)
-    touched = [r[0] for r in refs.select(BUCKET).distinct().collect()]  # at most ``buckets`` ints
-    one = listings.where(F.col(BUCKET).isin(touched)).drop(BUCKET).drop(*[c for c in LOOKUP_ORDER if c not in events.columns])
-    ev = checked_broadcast(events)
-    return one.join(ev, F.col(ref) == one[key], "inner").drop(one[key])
+    Of a stored :class:`Lookup` only the buckets that the batch refers to are
+    read; if the batch's measured size is small it is broadcast, so no listing
+    is shuffled. Any other listing table is first reduced to its newest rows."""
+    if isinstance(listings, Lookup):
+        one = listings.matching(events, ref)
+        one = one.drop(*[c for c in LOOKUP_ORDER if c not in events.columns])
+        return one.join(checked_broadcast(events), F.col(ref) == F.col("__key"), "inner").drop("__key")
+    one = newest_listings(listings, key)
+    return events.join(one, events[ref] == one[key], "inner").drop(one[key])
 
 
 def route(df: DataFrame, cls: str = "ai_analysis") -> DataFrame:
@@ -162,7 +199,7 @@ ALERT_COLUMNS = ["msg_id", "ai_analysis", "channel", "message", "comment", "even
                  "user_name", "district", "city", "property_type", "area", "price"]
 
 
-def alert_pipeline(events: DataFrame, listings: DataFrame, label: str | None = None,
+def alert_pipeline(events: DataFrame, listings: DataFrame | Lookup, label: str | None = None,
                    score: str | None = None, words: dict | None = None) -> DataFrame:
     """project -> enrich (join first: unmatched events are never scored) ->
     classify -> route."""
@@ -182,23 +219,57 @@ def read_interactions(spark: SparkSession, path: str, schema: T.StructType = INT
     return r.load(path)
 
 
+_COMMITS = "_commits"
+
+
 def write_batches(stream: DataFrame, make: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
                   trigger: dict | None = None):
-    """Start a query that writes ``make(batch)`` of each micro-batch to
-    ``out/batch_id=<id>``, replacing that folder so that a replayed batch
-    does not duplicate rows. The batch is written to the shared scratch
-    folder once, as ``make`` may read it several times, and deleted after."""
-    spark = stream.sparkSession
+    """Start a query that writes ``make(batch)`` of each micro-batch to a folder
+    of its own below ``out``, named by the query's id (which its checkpoint
+    keeps) and the batch's. The folder counts once its commit file is there:
+    a batch that is replayed after that is not written again, one that failed
+    before is written anew, and a new checkpoint, whose batch ids start again,
+    has another query id. Read the output with :func:`read_batches`.
+
+    The batch is written to the shared scratch folder once, as ``make`` may
+    read it several times, and deleted after; states of tables that ``make``
+    reads (:func:`lakeshelf.sources.runs.pin`) stay until the batch is written."""
+    spark, out = stream.sparkSession, out.rstrip("/")
 
     def sink(batch: DataFrame, batch_id: int):
-        with scratch_scope(spark):
-            make(materialize(batch, "batch")).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        query = json.loads(commits.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+        name = f"{query}~{batch_id:012d}"
+        if name in committed_batches(spark, out):
+            return
+        with scratch_scope(spark), runs.reading():
+            rows = make(materialize(batch, "batch"))
+            rows.write.mode("overwrite").parquet(f"{out}/{name}")
+        commits.create_exclusive(spark, f"{out}/{_COMMITS}/{name}", rows.schema.json())
 
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def write_alerts(stream: DataFrame, listings_loader: Callable[[], DataFrame], out: str, checkpoint: str,
+def committed_batches(spark: SparkSession, out: str) -> list[str]:
+    """Folder names of the committed batches of an output, in order."""
+    return sorted(n for n, _ in commits.names_in(spark, f"{out.rstrip('/')}/{_COMMITS}") if n[0] != ".")
+
+
+def read_batches(spark: SparkSession, out: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """The rows of all committed batches. ``schema`` is needed only where no
+    batch may have been committed yet."""
+    out = out.rstrip("/")
+    names = committed_batches(spark, out)
+    if not names:
+        if schema is None:
+            raise FileNotFoundError(f"no committed batch in {out}")
+        return spark.createDataFrame([], schema)
+    if schema is None:
+        schema = T.StructType.fromJson(json.loads(commits.read_text(spark, f"{out}/{_COMMITS}/{names[-1]}")))
+    return spark.read.schema(schema).parquet(*[f"{out}/{n}" for n in names])
+
+
+def write_alerts(stream: DataFrame, listings_loader: Callable[[], DataFrame | Lookup], out: str, checkpoint: str,
                  trigger: dict | None = None, label: str | None = None, score: str | None = None,
                  words: dict | None = None):
     """Start the alert query: each micro-batch is enriched against a fresh

@@ -52,13 +52,13 @@ def test_impute_joins_lookups_once(spark, sf):
 def test_stream_lookup_reads_touched_buckets_without_a_shuffle(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from lakeshelf.operators.dims import BUCKET
     from lakeshelf.streaming import alerts as al
     path = f"file://{tmp_path}/lookup"
     li = spark.range(5000).select(F.col("id").alias("row_id"), *[F.lit("x").alias(c) for c in al.LOOKUP_COLUMNS], F.lit(1).alias("updated_at"))
-    al.write_lookup(li, path)
+    al.write_lookup(li, path, buckets=64)
     batch = spark.createDataFrame([("m", 17), ("n", 23), ("o", None)], "msg_id string, listing_ref bigint")
-    out = al.enrich(batch, spark.read.parquet(path))
+    out = al.enrich(batch, al.Lookup(spark, path))
     text = plan_text(out)
-    assert f"PartitionFilters: [{BUCKET}" in text and "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+    assert len([f for f in out.inputFiles() if "/lookup/run-" in f]) == 2  # of 64 buckets
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
     assert out.count() == 2

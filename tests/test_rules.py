@@ -188,5 +188,5 @@ def test_lookup_keeps_the_newest_row_over_loads(spark, tmp_path):
     al.write_lookup(spark.createDataFrame([row(1, "Ahmed", 900.0, 1), row(2, "Sara", 5.0, 9), row(None, "none", 1.0, 1)], cols), path)
     al.write_lookup(spark.createDataFrame([row(1, "Zaid", 500.0, 2), row(2, "old", 1.0, 3)], cols), path)
     ev = spark.createDataFrame([("m", 1), ("n", 2), ("o", 3)], "msg_id string, listing_ref bigint")
-    got = {r.msg_id: (r.user_name, r.price) for r in al.enrich(ev, spark.read.parquet(path)).collect()}
+    got = {r.msg_id: (r.user_name, r.price) for r in al.enrich(ev, al.Lookup(spark, path)).collect()}
     assert got == {"m": ("Zaid", 500.0), "n": ("Sara", 5.0)}

@@ -2,15 +2,16 @@
 
 Plan shape (whatever the number of imputed columns):
 
-* the columns are unpivoted to (group, column, value) and counted with
-  map-side partial aggregation (:func:`count_table`). The shuffle key holds
-  the value, so a hot group is spread over many tasks, and the counts are
-  additive: they can be stored per load and summed over the history;
+* the columns of which a mode is asked are unpivoted to (group, column, value),
+  typed, and counted with map-side partial aggregation (:func:`count_table`).
+  The shuffle key holds the value, so a hot group is spread over many tasks, and
+  the counts are additive: they can be stored per load and summed over the history;
 * mode: the most frequent value per (group, column) with ``min_by`` over the
   counts, ties to the smallest value;
-* median: exact on the counts (:func:`weighted_median`), which never gathers
-  a group in one task. ``exact=False`` is the explicit approximate form
-  (``percentile_approx``), whose answer drifts once groups are large;
+* median: exact by selection (:mod:`lakeshelf.operators.selection`), which
+  never gathers a group in one task and writes no values. ``exact=False`` is
+  the explicit approximate form (``percentile_approx``), whose answer drifts
+  once groups are large;
 * the lookups (one row per group) are joined to the input in ONE left join,
   broadcast only when their measured size is under the threshold, otherwise
   a shuffle join that AQE can split for skewed groups.
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeshelf.operators import selection
 from lakeshelf.session import checked_broadcast, materialize
 
 _G = "__grp"
@@ -42,19 +44,35 @@ def _pick_mode(value: Column, freq: Column) -> Column:
     return F.min_by(value, F.when(freq.isNotNull(), F.struct((-freq).alias("f"), value.alias("v"))))
 
 
-def count_table(df: DataFrame, group: str, cols: Iterable[str]) -> DataFrame:
-    """(__grp, __col, __val, __n): how often each value of each column occurs
-    in each group. Values are text (exact for numbers); NULL and NaN are
-    missing and not counted. Tables of disjoint rows add up."""
-    cols = list(cols)
-    text = [F.when(~F.isnan(c), F.col(c)).cast("string").alias(c) if df.schema[c].dataType in _FLOATS
-            else F.col(c).cast("string").alias(c) for c in cols]
-    long = (df.select(F.col(group).alias(_G), *text).unpivot(_G, cols, "__col", "__val")
-              .where(F.col("__val").isNotNull()))
-    return long.groupBy(_G, "__col", "__val").agg(F.count(F.lit(1)).alias("__n"))
+#: Where a column's values are kept in a count table, by type.
+VALUE_COLUMNS = ("__int", "__num", "__str")
+_FLOATS = (T.DoubleType(), T.FloatType())
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-_FLOATS = (T.DoubleType(), T.FloatType())
+def _place(t: T.DataType) -> str:
+    return "__int" if isinstance(t, _WHOLE) else "__num" if t in _FLOATS else "__str"
+
+
+def count_table(df: DataFrame, group: str, cols: Iterable[str]) -> DataFrame:
+    """(__grp, __col, __int, __num, __str, __n): how often each value of each
+    column occurs in each group. Whole numbers and floats keep their type (other
+    values are text), so nothing is formatted or parsed on the way; NULL and NaN
+    are missing and not counted. Tables of disjoint rows add up."""
+    kinds = {"__int": "bigint", "__num": "double", "__str": "string"}
+    cells = []
+    for c in cols:
+        place = _place(df.schema[c].dataType)
+        v = F.when(~F.isnan(c), F.col(c)) if place == "__num" else F.col(c)
+        cells.append(F.struct(F.lit(c).alias("__col"), *[(v if k == place else F.lit(None)).cast(t).alias(k) for k, t in kinds.items()]))
+    long = df.select(F.col(group).alias(_G), F.explode(F.array(*cells)).alias("x")).select(_G, "x.*")
+    long = long.where(F.col("__int").isNotNull() | F.col("__num").isNotNull() | F.col("__str").isNotNull())
+    return long.groupBy(_G, "__col", *kinds).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def _value(t: T.DataType) -> Column:
+    place = _place(t)
+    return F.col(place).try_cast(t) if place == "__str" else F.col(place).cast(t)
 
 
 def lookups_from_counts(counts: DataFrame, modes: Mapping[str, T.DataType],
@@ -62,22 +80,28 @@ def lookups_from_counts(counts: DataFrame, modes: Mapping[str, T.DataType],
     """One row per group with ``mode_<c>`` and ``median_<c>`` from count
     tables (several of them are summed, unless they already are)."""
     modes, medians = dict(modes), dict(medians)
-    total = counts if summed else counts.groupBy(_G, "__col", "__val").agg(F.sum("__n").alias("__n"))
+    total = counts if summed else counts.groupBy(_G, "__col", *VALUE_COLUMNS).agg(F.sum("__n").alias("__n"))
     out = None
     if modes:
         picks = []
         for c, t in modes.items():
-            v = F.when(F.col("__col") == c, F.col("__val").try_cast(t))
+            v = F.when(F.col("__col") == c, _value(t))
             picks.append(_pick_mode(v, F.when(v.isNotNull(), F.col("__n"))).alias(f"mode_{c}"))
         out = total.where(F.col("__col").isin(*modes)).groupBy(_G).agg(*picks)
     for c, t in medians.items():
-        pairs = total.where(F.col("__col") == c).select(_G, F.col("__val").try_cast(t).alias("__v"), F.col("__n").alias("__c"))
-        m = weighted_median(pairs, interpolate=False, name=f"median_{c}")
-        out = m if out is None else out.join(m, out[_G].eqNullSafe(m[_G]), "full").select(
-            F.coalesce(out[_G], m[_G]).alias(_G), *[out[x] for x in out.columns if x != _G], m[f"median_{c}"])
+        pairs = total.where(F.col("__col") == c).select(_G, _value(t).alias("__v"), F.col("__n").alias("__c"))
+        out = side_by_side(out, weighted_median(pairs, interpolate=False, name=f"median_{c}"))
     return out
 
 
+def side_by_side(a: DataFrame | None, b: DataFrame) -> DataFrame:
+    """Lookups of the same groups in one table."""
+    if a is None:
+        return b
+    return a.join(b, a[_G].eqNullSafe(b[_G]), "full").select(
+        F.coalesce(a[_G], b[_G]).alias(_G), *[a[x] for x in a.columns if x != _G], *[b[x] for x in b.columns if x != _G])
+
+
 def group_lookups(df: DataFrame, group: str, modes: Iterable[str] = (),
                   medians: Iterable[str] = (), exact: bool = True) -> DataFrame:
     """All lookups keyed by ``__grp``, columns ``mode_<c>`` / ``median_<c>``,
@@ -86,10 +110,13 @@ def group_lookups(df: DataFrame, group: str, modes: Iterable[str] = (),
     modes, medians = list(modes), list(medians)
     types = {c: df.schema[c].dataType for c in modes + medians}
     if exact or not medians:
-        counts = count_table(df, group, dict.fromkeys(modes + medians))
-        if medians:
-            counts = materialize(counts, "counts")  # small, and read once per kind of lookup
-        return lookups_from_counts(counts, {c: types[c] for c in modes}, {c: types[c] for c in medians}, summed=True)
+        out = None
+        if modes:
+            out = lookups_from_counts(count_table(df, group, modes), {c: types[c] for c in modes}, {}, summed=True)
+        for c in medians:
+            m = exact_median(df, group, c, interpolate=False, name=f"median_{c}").withColumnRenamed(group, _G)
+            out = side_by_side(out, m)
+        return out
     approx = df.groupBy(F.col(group).alias(_G)).agg(
         *[F.percentile_approx(c, 0.5, 10000).alias(f"median_{c}") for c in medians])
     if not modes:
@@ -158,34 +185,31 @@ def median_by_group(df: DataFrame, group: str, col: str, exact: bool = True) ->
 def exact_median(df: DataFrame, group: str | None, col: str, interpolate: bool = True,
                  name: str | None = None) -> DataFrame:
     """Exact per-group median that never gathers a group, or a repeated
-    value, in one task.
-
-    1. (group, value) pairs are counted with map-side partial aggregation, so
-       a value repeated a billion times is one row;
-    2. the pairs get weighted global positions (:func:`positions`: a range
-       shuffle spreads even a hot group over many partitions);
-    3. per group, the first position and the total count give the one or two
-       middle ranks; each pair covers ranks [pos, pos + count), so the pair
-       holding a middle rank is found with a join on the group (the per-group
-       table is size-checked before broadcasting; past the limit the join
-       shuffles distinct pairs, and AQE splits a hot group's partition) and a
-       range filter.
+    value, in one task: numbers by :mod:`lakeshelf.operators.selection` (bin
+    counts, then the values of the middle bins only), other values by
+    :func:`weighted_median` over counted values.
 
     ``interpolate`` averages the two middle values (pandas ``median``,
     ``quantile_cont``); otherwise the lower one (``percentile_disc(0.5)``).
     NULL and NaN are ignored; a group with no values is absent."""
+    name = name or f"median_{col}"
     g = F.col(group) if group else F.lit(0)
     v = F.when(~F.isnan(col), F.col(col)) if df.schema[col].dataType in _FLOATS else F.col(col)
-    pairs = (df.select(g.alias(_G), v.alias("__v")).where(F.col("__v").isNotNull())
-               .groupBy(_G, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    out = weighted_median(pairs, interpolate, name or f"median_{col}")
+    rows = df.select(g.alias(_G), v.alias("__v")).where(F.col("__v").isNotNull())
+    if isinstance(df.schema[col].dataType, selection.NUMERIC):
+        out = selection.median(rows.withColumn("__c", F.lit(1).cast("bigint")), interpolate, name)
+    else:
+        out = weighted_median(rows.groupBy(_G, "__v").agg(F.count(F.lit(1)).alias("__c")), interpolate, name)
     return out.withColumnRenamed(_G, group) if group else out.drop(_G)
 
 
 def weighted_median(pairs: DataFrame, interpolate: bool, name: str) -> DataFrame:
-    """(__grp, median) from distinct (__grp, __v) pairs with counts __c. At
-    most SMALL_ROWS pairs are ordered by a window, more by :func:`positions`."""
+    """(__grp, median) from distinct (__grp, __v) pairs with counts __c.
+    Numbers go by selection. Of others, at most SMALL_ROWS pairs are ordered by
+    a window, more by :func:`positions`."""
     from lakeshelf.operators.dims import SMALL_ROWS, positions
+    if isinstance(pairs.schema["__v"].dataType, selection.NUMERIC):
+        return selection.median(materialize(pairs, "pairs"), interpolate, name)
     pairs = materialize(pairs, "pairs")
     if pairs.count() <= SMALL_ROWS:
         group = Window.partitionBy(_G)

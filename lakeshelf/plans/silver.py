@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 from lakeshelf.operators import cleaning as cl
 from lakeshelf.operators import impute as im
+from lakeshelf.operators import selection as sel
 from lakeshelf.operators.dims import dedup_latest
 from lakeshelf.operators.impute import impute
 from lakeshelf.plans.roles import RENT_PERIODS
+from lakeshelf.sources import runs, tiers
 from lakeshelf.sources.io import code_table
 
 # Category codes (fixed values): code, property type, transaction type.
@@ -119,30 +121,68 @@ def finish_listings(df: DataFrame, group: str = "district", exact: bool = True,
     return cl.conform(df, SILVER_SCHEMA)
 
 
+#: Bins of the median grid in a bucket of the stored values.
+BINS_PER_BUCKET = 8
+_COUNT_KEY = ("__grp", "__col", *im.VALUE_COLUMNS)
+
+
+def add_history(typed: DataFrame, root: str, upto: int, group: str = "district") -> None:
+    """Add a change set to the imputation history: ``mode_counts`` (how often
+    each value of the mode columns occurs in a group), ``median_bins`` (how many
+    values of the median column fall into each bin of the selection grid) and
+    ``median_values`` (its counted values, in buckets of adjacent bins)."""
+    def one(df):  # a small table: one bucket
+        return df.withColumn(runs.BUCKET, F.lit(0))
+
+    tiers.add(one(im.count_table(typed, group, MODE_COLUMNS)), f"{root}/mode_counts", upto, _COUNT_KEY)
+    v = F.when(~F.isnan(MEDIAN_COLUMN), F.col(MEDIAN_COLUMN)).cast("double")
+    values = typed.select(F.col(group).alias("__grp"), v.alias("__v")).where(F.col("__v").isNotNull())
+    values = values.groupBy("__grp", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    bins = sel.histogram(values, weight="__n")
+    tiers.add(one(bins), f"{root}/median_bins", upto, ("__grp", "__bin"))
+    tiers.add(values.withColumn(runs.BUCKET, _bucket_of(sel.grid_bin(F.col("__v")))), f"{root}/median_values", upto, ("__grp", "__v"))
+
+
+def _bucket_of(grid_bin):
+    return F.floor(grid_bin / BINS_PER_BUCKET).cast("int")
+
+
+def history_lookups(spark, root: str, types: dict, group_type: str = "string") -> DataFrame:
+    """Group lookups over the whole history. The bin counts tell which bins
+    hold a group's middle ranks; of the values only the buckets of those bins are
+    read."""
+    from lakeshelf.session import materialize
+    counts = runs.read(spark, f"{root}/mode_counts", f"__grp {group_type}, __col string, __int bigint, __num double, __str string, __n bigint")
+    modes = im.lookups_from_counts(counts, {c: types[c] for c in MODE_COLUMNS}, {})
+    bins = runs.read(spark, f"{root}/median_bins", f"__grp {group_type}, __bin int, __n bigint")
+    chosen = materialize(sel.middle_bins(bins.groupBy("__grp", "__bin").agg(F.sum("__n").alias("__n"))), "middle_bins")
+    buckets = [r[0] for r in chosen.select(_bucket_of(F.col("__bin"))).distinct().collect()]  # at most the grid's buckets
+    values = runs.read(spark, f"{root}/median_values", f"__grp {group_type}, __v double, __n bigint", buckets=buckets)
+    median = sel.pick(chosen, values.withColumnRenamed("__n", "__c"), False, f"median_{MEDIAN_COLUMN}")
+    return im.side_by_side(modes, median)
+
+
 def run_silver(spark, bronze: str, root: str, until: int | None = None) -> bool:
     """One gated silver increment whose imputation sees the whole history.
 
     The rule: a run over bronze versions (since, until] imputes its rows from
     the group values of all rows of versions up to ``until``. They are kept as
-    counts (district, column, value, n), one version of ``value_counts`` per
-    run, which add up; so no run reads old bronze rows again, and a group's
-    lookup at a version does not depend on how the versions were batched
+    counts in tiers (:func:`add_history`), so no run reads old bronze rows, the
+    number of stored runs grows with the logarithm of the increments, and of the
+    nearly unique values of the median column a run reads the middle bins only.
+    A group's lookup at a version does not depend on how the versions were batched
     (repeated deliveries within one run count once, as its newest row).
     Counts, rows and mark are written in this order, each run replaces only
-    its own versions, and an unfinished run is finished first."""
+    its own versions, and an unfinished run is finished first (its counts, if
+    they are there already, are not added again)."""
     from lakeshelf.operators.facts import incremental_steps
     from lakeshelf.session import materialize
     from lakeshelf.sources import io
 
-    counts_path = f"{root}/value_counts"
-
     def step(changes, since, upto):
         typed = materialize(latest_listings(typed_projection(changes)), "typed")
-        counts = im.count_table(typed, "district", [*MODE_COLUMNS, MEDIAN_COLUMN])
-        io.append_version(counts, counts_path, version=upto)
-        history = io.read_versions(spark, counts_path).where(F.col(io.VERSION) <= upto)
-        lookups = im.lookups_from_counts(history, {c: typed.schema[c].dataType for c in MODE_COLUMNS},
-                                         {MEDIAN_COLUMN: typed.schema[MEDIAN_COLUMN].dataType})
+        add_history(typed, root, upto)
+        lookups = history_lookups(spark, root, {c: typed.schema[c].dataType for c in MODE_COLUMNS})
         io.append_version(finish_listings(typed, lookups=lookups), f"{root}/silver", version=upto)
 
     return incremental_steps(spark, f"{root}/state", "silver_posts", bronze, step, until)

@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     def run(batches):
         enc, number = T.encoder(definition.value), C.task_rows()
         for b in C.chunks(batches):
-            flat, at = enc.encode(C.texts(b))
+            flat, at = enc.encode(b.column("text"))
             n = np.diff(at)
             count = -(-n // capacity)
             doc = np.repeat(np.arange(len(n)), count)

@@ -4,12 +4,14 @@ A byte-level pre-tokenizer never lets a token cross a single space between two
 characters that are not white space (the space starts the next token). So a
 text is cut there, each distinct piece is tokenized once by the tokenizers
 library, and the ids of a text are gathered from the pieces' ids. Texts with
-other white space around spaces are cut at the safe places only. Pieces of
-Latin, Greek or Cyrillic letters, digits and punctuation go to the library's
-BPE model pre-token by pre-token, others through its whole pipeline. With any
-other kind of tokenizer, whole texts are encoded.
+other white space around spaces are cut at the safe places only, texts with the
+string of an added token not at all. Arrow splits a batch and finds its distinct
+pieces, so Python sees each of them once a batch. Pieces of Latin, Greek or
+Cyrillic letters, digits and punctuation go to the library's BPE model pre-token
+by pre-token, others through its whole pipeline. With any other kind of
+tokenizer, whole texts are encoded.
 
-Equality with the library on whole texts is tested."""
+Equality with the library on whole texts is tested, whatever was encoded before."""
 
 from __future__ import annotations
 
@@ -19,12 +21,16 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 END_ID = 2
 #: White space other than space and newline, in Python's reading (a superset
 #: of the pre-tokenizer's).
-_RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_RARE = "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: A text without a match can be cut at every space.
+_UNEVEN = "  |\n | \n|^ | $|" + _RARE
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 #: Longer pieces are encoded each time, not kept.
 MAX_PIECE = 48
@@ -52,13 +58,6 @@ def encoder(definition: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def pieces_of(text: str) -> list[str]:
-    """The text cut at the single spaces that a token cannot cross."""
-    if "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _RARE.search(text):
-        return _SAFE.split(text)
-    return text.split(" ")
-
-
 #: The byte-level pre-tokens (fixed value), and its rule for bytes as
 #: characters: printable ones stand for themselves, the others for 256, 257 ...
 _PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -72,15 +71,17 @@ _STOPS = frozenset(".,;:!?")
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of at most ``limit`` pieces."""
+    """Encodes batches of texts; keeps the ids of about ``limit`` pieces, each
+    of at most MAX_PIECE characters (150 to 400 bytes with its ids)."""
 
-    def __init__(self, definition: str, limit: int = 1_200_000):
+    def __init__(self, definition: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
         spec = json.loads(definition)
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         pre = spec.get("pre_tokenizer") or {}
         self.byte_level = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
                            and not spec.get("normalizer") and spec["model"].get("type", "BPE") == "BPE" and not spec["model"].get("dropout")
@@ -106,8 +107,10 @@ class Encoder:
         return [t.id for t in self.model.tokenize(mapped)]
 
     def _part(self, token: str) -> list[int]:
-        """Ids of a pre-token within a piece, which often are known."""
-        n = self.number.get(token[1:]) if token[0] == " " and len(token) > 1 else None
+        """Ids of a pre-token within a piece, which often are known: those of a
+        space and a word are the piece's of that word (keys that start with a
+        space are first pieces)."""
+        n = self.number.get(token[1:]) if token[0] == " " and token[1:2] not in ("", " ") else None
         if n is not None:
             s = self.start[n]
             return self.ids[s:s + self.length[n]].tolist()
@@ -120,6 +123,8 @@ class Encoder:
 
     def _ids_of(self, text: str) -> list[int]:
         """Ids of a piece."""
+        if self.added and self.added.search(text):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
         body = text[1:] if text[0] == " " else text
         if not text.isascii() and _BEYOND.search(text):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -147,49 +152,76 @@ class Encoder:
         self.used += total
         self.number.update(zip(keys, range(first, first + n)))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(the pieces of all texts, how many each text has)."""
+        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(texts), dtype=bool)
+        if self.added:
+            whole = pc.match_substring_regex(texts, self.added.pattern).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(empty | uneven | whole)
+        if not len(other):
+            lists = pc.split_pattern(texts, " ")
+        else:
+            plain = np.flatnonzero(~(empty | uneven | whole))
+            cut = [[] if empty[i] else [texts[i].as_py()] if whole[i] else _SAFE.split(texts[i].as_py()) for i in other.tolist()]
+            both = pa.concat_arrays([pc.split_pattern(texts.take(pa.array(plain)), " "), pa.array(cut, pa.list_(pa.string()))])
+            lists = both.take(pa.array(np.argsort(np.concatenate([plain, other]), kind="stable")))
+        return lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each text followed by END_ID; where each text
-        starts among them, and the end)."""
+        starts among them, and the end). Texts are a list or an Arrow array;
+        null is empty."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.string()).fill_null("")
         if not self.byte_level:
-            found = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            found = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             bounds = np.cumsum([0, *map(len, found)])
             return np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(bounds[-1])), bounds
         if len(self.number) > self.limit:
             self._reset()
-        words: list[str] = []
-        bounds = np.zeros(len(texts) + 1, dtype=np.int64)
-        for i, t in enumerate(texts):
-            if t:
-                w = pieces_of(t)
-                # a first piece has no space before it: mark it with one (no
-                # other piece starts with a space)
-                w[0] = " " + w[0]
-                words += w
-            words.append("")
-            bounds[i + 1] = len(words)
-        number = np.fromiter(map(self.number.get, words, itertools.repeat(-1)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(number < 0)
-        long: dict[int, np.ndarray] = {}
-        if len(missing):
-            asked = [words[i] for i in missing.tolist()]
-            keep = [k for k in dict.fromkeys(asked) if len(k) <= MAX_PIECE]
-            text_of = lambda k: k[1:] if k[0] == " " else " " + k
+        flat, count = self._cut(texts)
+        coded = flat.dictionary_encode()
+        code, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # a first piece has no space before it; its key starts with one
+        first = np.zeros(len(code), dtype=bool)
+        first[(np.cumsum(count) - count)[count > 0]] = True
+        key = code + np.where(first, len(distinct), 0)
+        asked = np.flatnonzero(np.bincount(key, minlength=2 * len(distinct))).tolist()
+        names = [distinct[k] if k < len(distinct) else " " + distinct[k - len(distinct)] for k in asked]
+        found = np.fromiter(map(self.number.get, names, itertools.repeat(-1)), dtype=np.int64, count=len(names))
+        missing = np.flatnonzero(found < 0).tolist()
+        text_of = lambda k: k[1:] if k[0] == " " else " " + k
+        long: dict[int, np.ndarray] = {}  # by key
+        if missing:
+            keep = [names[i] for i in missing if len(names[i]) <= MAX_PIECE]
             for i in range(0, len(keep), 20_000):
                 part = keep[i:i + 20_000]
                 self._add(part, list(map(text_of, part)))
-            number[missing] = np.fromiter(map(self.number.get, asked, itertools.repeat(-1)), dtype=np.int64, count=len(asked))
-            for i in np.flatnonzero(number < 0).tolist():
-                long[i] = np.array(self.tokenizer.encode(text_of(words[i]), add_special_tokens=False).ids, dtype=np.uint32)
-                number[i] = 0
+            for i in missing:
+                found[i] = self.number.get(names[i], -1)
+                if found[i] < 0:
+                    long[asked[i]] = np.array(self.tokenizer.encode(text_of(names[i]), add_special_tokens=False).ids, dtype=np.uint32)
+                    found[i] = 0
+        of_key = np.zeros(2 * len(distinct), dtype=np.int64)
+        of_key[asked] = found
+        # the pieces of each text, then its end mark (number 0)
+        bounds = np.concatenate([[0], np.cumsum(count + 1)])
+        number = np.zeros(int(bounds[-1]), dtype=np.int64)
+        place = np.arange(len(key)) + np.repeat(np.arange(len(count)), count)
+        number[place] = of_key[key]
         lengths = self.length[number]
-        for i, ids in long.items():
-            lengths[i] = len(ids)
+        at_long = []
+        if long:
+            at_long = [(p, long[k]) for p, k in zip(place.tolist(), key.tolist()) if k in long]
+            for p, ids in at_long:
+                lengths[p] = len(ids)
         ends = np.cumsum(lengths)
         at = np.repeat(self.start[number] - (ends - lengths), lengths)
         at += np.arange(len(at))
         if long:
             np.minimum(at, len(self.ids) - 1, out=at)  # places of long pieces, filled below
-        flat = self.ids[at]
-        for i, ids in long.items():
-            flat[ends[i] - lengths[i]:ends[i]] = ids
-        return flat, np.concatenate([[0], ends])[bounds]
+        flat_ids = self.ids[at]
+        for p, ids in at_long:
+            flat_ids[ends[p] - lengths[p]:ends[p]] = ids
+        return flat_ids, np.concatenate([[0], ends])[bounds]

@@ -162,7 +162,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
         enc, part, shard = T.encoder(definition.value), C.task_rows()(0) >> 40, 0
         held, lengths, ids, total = [], [], [], 0
         for b in C.chunks(batches):
-            flat, at = enc.encode(C.texts(b))
+            flat, at = enc.encode(b.column("text"))
             if flat.max(initial=0) >> PLANES:
                 raise ValueError(f"token ids must be below {1 << PLANES}")
             flat = flat.astype(np.uint16)

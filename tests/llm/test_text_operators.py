@@ -281,14 +281,43 @@ def encoder():
     return tokens.encoder(tokens.load())
 
 
+def _library():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_str(tokens.load())
+
+
+def _random_texts(n, seed=2):
+    rnd = random.Random(seed)
+    bits = ["a", "B", "é", " ", "  ", "   ", " " * 5, "\n", "\n\n", "\t", "'s", "'re", "1", "23", "!", "...", "\u00a0", "\u2003", "\r\n", "<|endoftext|>", "日本",
+            "\x1c", "_", "x" * 60, "\0", "😀", "\u200b", "ß", "\u3000", "\x85", "y", "<|", "|>"]
+    return ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14))) for _ in range(n)]
+
+
 def test_cached_encoding_equals_the_library(encoder):
-    rnd = random.Random(2)
-    bits = ["a", "B", "é", " ", "  ", "\n", "\t", "'s", "'re", "1", "23", "!", "...", "\u00a0", "\u2003", "\r\n", "<|endoftext|>", "日本", "\x1c",
-            "_", "x" * 60, "\0", "😀", "\u200b", "ß", "\u3000", "\x85"]
-    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14))) for _ in range(4000)]
-    flat, at = encoder.encode(texts)
-    want = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
-    assert all(flat[at[i]:at[i + 1]].tolist() == w.ids + [tokens.END_ID] for i, w in enumerate(want))
+    """Many calls in shuffled order on one encoder, against a fresh tokenizer
+    used as the contract says."""
+    texts = [" ", "a   ", "", "a <|endoftext|> b", "   ", "w1    y", " a", "a "] + _random_texts(20_000)
+    want = [w.ids + [tokens.END_ID] for w in _library().encode_batch(texts, add_special_tokens=False)]
+    for seed in range(3):
+        rnd = random.Random(seed)
+        order = list(range(len(texts)))
+        rnd.shuffle(order)
+        e = tokens.Encoder(tokens.load(), limit=3000) if seed else encoder
+        while order:
+            part, order = order[:(n := rnd.choice([1, 2, 7, 400]))], order[n:]
+            flat, at = e.encode([texts[i] for i in part])
+            assert all(flat[at[j]:at[j + 1]].tolist() == want[i] for j, i in enumerate(part))
+
+
+def test_ids_do_not_depend_on_earlier_documents(spark):
+    """A one-space document before documents with runs of spaces."""
+    docs = [(0, " ")] + [(i, f"w{i}    y") for i in range(1, 3000)] + [(3000, None), (3001, "a <|endoftext|> b")]
+    want = {d: w.ids + [2] for (d, _), w in zip(docs, _library().encode_batch([t or "" for _, t in docs], add_special_tokens=False))}
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: np.frombuffer(r.ids, dtype="<u4").tolist() for r in packing.pieces(df).collect()}
+    assert got == want
+    back = {r.doc_id: np.frombuffer(r.ids, dtype="<u4").tolist() for r in wavelet.round_trip(df).collect()}
+    assert back == want
 
 
 def test_encoder_forgets_when_full():
@@ -296,7 +325,7 @@ def test_encoder_forgets_when_full():
     for _ in range(3):
         texts = _texts(5, low=3)
         flat, at = e.encode(texts)
-        want = e.tokenizer.encode_batch(texts, add_special_tokens=False)
+        want = _library().encode_batch(texts, add_special_tokens=False)
         assert all(flat[at[i]:at[i + 1]].tolist() == w.ids + [2] for i, w in enumerate(want))
 
 
@@ -311,7 +340,7 @@ def _check_packing(rows, docs, encoder, capacity):
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append((r.start, r.piece, r.length, bytes(r.ids)))
     for i, t in docs:
-        ids = encoder.encode([t or ""])[0].astype("<u4").tobytes()
+        ids = np.array(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4").tobytes()
         copies = sum(1 for j, u in docs if j == i)
         pieces = sorted(by_doc[i])
         assert b"".join(p[3] for p in pieces[::copies]) == ids
@@ -377,7 +406,7 @@ def test_wavelet_files(spark, mixed, none, encoder, tmp_path):
     start = 0
     assert [g[1] for g in got] == [d[0] for d in docs]
     for g, (i, t) in zip(got, docs):
-        ids = encoder.encode([t or ""])[0].astype("<u4")
+        ids = np.array(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids + [2], dtype="<u4")
         assert g == (start, i, len(ids), ids.tobytes())
         start += len(ids)
     ends = wavelet.occurrences(files, 2).count()

@@ -11,6 +11,7 @@ from lakeshelf.plans.registry import query
 from lakeshelf.plans.roles import LISTINGS_SQL, listings
 from lakeshelf.session import is_folder, read_table, scratch_path, table_path
 from lakeshelf.sources import io
+from lakeshelf.streaming import admission as adm
 from lakeshelf.streaming import alerts as al
 
 EVENT_WORDS = {"urgent": ["error"], "sales": ["purchase", "signup"], "intent": ['"k": 7']}
@@ -232,3 +233,33 @@ def q_classify_scored(spark, sf):
     scorer = al.sentiment_udf(_lexicon_model)
     s = cv.select("conv_id", "turn", "text", scorer(F.col("text")).alias("s"))
     return s.select("conv_id", "turn", al.classify("text", "s.label", "s.score", **CONV_WORDS).alias("ai_analysis"))
+
+
+ADMITTED_ROWS = 4000
+
+
+@query("stream_admission", f"SELECT msg_id, listing_ref, phone_number, comment, event_time, true AS admitted FROM {EV_SQL} e")
+def q_stream_admission(spark, sf):
+    """Batches of at most 4000 interactions; the query is stopped after its
+    first batches and started again. ``admitted``: the message's batch kept the limit."""
+    schema = read_table(spark, sf, "events").schema
+    out, ckpt, progress = (scratch_path(spark, n) for n in ("admitted", "ckpt", "progress"))
+
+    def limited(batch):
+        return _projected(_interactions(batch)).select(
+            "msg_id", "listing_ref", "phone_number", "comment", "event_time", F.lit(batch.count() <= ADMITTED_ROWS).alias("admitted"))
+
+    def started():
+        stream = adm.read_admitted(spark, table_path(sf, "events"), schema, progress, rows=ADMITTED_ROWS)
+        return al.write_batches(stream, limited, out, ckpt, {"processingTime": "0 seconds"})
+
+    q = started()
+    while q.isActive and not al.committed_batches(spark, out):
+        q.awaitTermination(0.1)
+    q.stop()
+    q = started()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return al.read_batches(spark, out)

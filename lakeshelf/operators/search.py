@@ -27,6 +27,10 @@ DEFAULT_COLS = {f: f for f in (
     "bathrooms", "livings", "area", "age", "has_furnished", "has_air_condition", "has_kitchen",
     "rent_period", "user_name", "is_verified")}
 
+# Fields of a search result.
+SHOWN = ("row_id", "property_type", "city", "district", "price", "transaction_type", "bedrooms", "bathrooms", "area",
+         "has_furnished", "has_air_condition", "age")
+
 
 @dataclass(frozen=True)
 class Criteria:
@@ -85,9 +89,7 @@ def search(df: DataFrame, c: Criteria, k: int = 5, cols: Mapping[str, str] = DEF
     """Top ``k`` matches by ascending price (ties by id) with ``total`` = the
     number of all matches, as a scalar subquery evaluated once."""
     hits = search_filter(df, c, cols)
-    show = list(show or [cols[f] for f in ("row_id", "property_type", "city", "district", "price",
-                                           "transaction_type", "bedrooms", "bathrooms", "area",
-                                           "has_furnished", "has_air_condition", "age")])
+    show = list(show or [cols[f] for f in SHOWN])
     total = hits.agg(F.count(F.lit(1))).scalar()
     top = hits.orderBy(F.asc_nulls_last(cols["price"]), F.asc(cols["row_id"])).limit(k)
     return top.select(*show, total.alias("total"))

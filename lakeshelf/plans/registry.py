@@ -33,6 +33,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules registers their queries
     from lakeshelf.plans import (  # noqa: F401
-        q_changes, q_clean, q_dims, q_impute, q_io, q_profile, q_search, q_stream, q_fact,
+        q_changes, q_clean, q_dims, q_impute, q_io, q_layout, q_profile, q_search, q_stream, q_fact,
     )
 FLAGSHIP = "fact_city_month"

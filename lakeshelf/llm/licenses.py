@@ -225,16 +225,29 @@ class Matcher:
         raw = " ".join(words).encode()
         return len(self.alone.compress(raw)) - len(self.given[i].compress(raw))
 
+    def ranked(self, words: list[str]) -> list[tuple[int, int]]:
+        """(bytes saved, template) of the templates that make a block smaller,
+        largest reduction first. A block is compressed in overlapping
+        pieces, each notice whole in one, and the best piece counts: what
+        a short notice saves isn't lost in a long block."""
+        step = max((len(t.words) for t in self.templates), default=1) or 1
+        pieces = [" ".join(words[a:a + 2 * step]).encode() for a in range(0, max(1, len(words) - step), step)]
+        alone = [len(self.alone.compress(p)) for p in pieces]
+        best = [(max(n - len(g.compress(p)) for n, p in zip(alone, pieces)), i) for i, g in enumerate(self.given)]
+        return sorted((b for b in best if b[0] > 0), key=lambda b: (-b[0], b[1]))
+
     def match(self, block: str) -> list[tuple[int, int, str, int, float, list[str]]]:
         """(start, end, license, bytes saved, similarity, differences) of each
-        notice in the block. Every template that saves bytes on the words from
-        its first to its last is confirmed. The similarity is the share of its
+        notice in the block. The templates that make the block smaller
+        (:meth:`ranked`) are aligned; a place is confirmed if its wording is
+        similar enough and the template saves bytes on the words from its
+        first to its last. The similarity is the share of the template's
         words found in order; differences are "-word" for words of the
         template that are missing and "+word" for words in between. Of
-        notices that share words the closest stays: most similar, then fewest
-        words in between, then longest template, then first; another license
-        stays too if the words that are left confirm it. Lines with licence
-        words but no notice are "unknown"."""
+        notices that share words the one that saves most bytes stays; ties: most
+        similar, then fewest words in between, then longest template, then
+        first. Another license stays too if the words that are left
+        confirm it. Lines with licence words but no notice are "unknown"."""
         at = [m.span() for m in _WORD.finditer(block)]
         words: list = [block[a:z].lower() for a, z in at]
         found = []
@@ -251,10 +264,10 @@ class Matcher:
                     share = len(pairs) / len(t.words)
                     missing = [f"-{w}" for k, w in enumerate(t.words) if k not in have]
                     row = (at[first][0], at[last][1], t.license, gain, share, missing + more)
-                    yield (share, -len(more), len(t.words), -i), row, inside
+                    yield (gain, share, -len(more), len(t.words), -i), row, inside
 
         own = words
-        for i in range(len(self.templates)):
+        for _, i in self.ranked(own):
             found += confirm(i, words)
         taken: dict[int, str] = {}
         out = []
@@ -264,7 +277,7 @@ class Matcher:
                 if row[2] in {taken[j] for j in inside if j in taken}:
                     continue
                 free = [w if row[0] <= a and z <= row[1] and j not in taken else None for j, (w, (a, z)) in enumerate(zip(own, at))]
-                rows = [f[1:] for f in confirm(-key[3], free)]
+                rows = [f[1:] for f in confirm(-key[4], free)]
             for r, ins in rows:
                 out.append(r)
                 taken.update(dict.fromkeys(ins, r[2]))

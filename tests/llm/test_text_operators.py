@@ -656,3 +656,41 @@ def test_wrapped_licences(spark, mark):
     for (i, _, share, _), r in zip(whole, got):
         assert share > 0.9 and rows[i][1][r.start:r.end].split()[0] == (long[i][1].split()[0])
     assert "Proprietary" in [r.license for r in got if r.doc_id == 100]
+
+
+def test_bytes_saved_decide_between_templates(spark):
+    """The shorter template is in the text word for word, the longer one lacks a word: the longer saves more."""
+    short, long = "licence alpha beta gamma delta", "licence alpha beta gamma delta epsilon zeta eta theta iota"
+    text = "Licence alpha beta gamma delta epsilon zeta eta theta."
+    for templates in ((("S", short), ("L", long)), (("L", long), ("S", short))):
+        got = licenses.find(spark.createDataFrame([(1, text)], "doc_id long, text string"), templates).collect()
+        assert [(r.license, r.differences) for r in got] == [("L", ["-iota"])]
+
+
+def test_templates_are_ranked_by_what_they_save():
+    m = licenses.Matcher()
+    for i, (_, t) in enumerate(licenses.TEMPLATES):
+        for block in (t, f"{'quite other words ' * 300}{t}{' more of them' * 300}"):
+            rank = [j for _, j in m.ranked(licenses.wording(block))]
+            assert i in rank[:3]
+    assert m.ranked([]) == [] and licenses.Matcher(()).ranked(["licence"]) == []
+
+
+def test_a_very_repeated_text_and_a_hot_half(spark):
+    """One text in a third of the rows, and contexts that share a half: as without them."""
+    base = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(700))
+    texts = [base] * 60 + [f"{i:04d}{base[:260]}{i:05d}" for i in range(40)] + ["clean " + str(i) for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for cap in (8192, 3):
+        got = {r.doc_id: bytes(r.kept) for r in repeats.remove_repeats(df, cap=cap).collect()}
+        raw = [t.encode() for t in texts]
+        seen: dict = {}
+        for k, b in enumerate(raw):
+            for a in range(len(b) - 199):
+                seen.setdefault(b[a:a + 200], []).append((k, a))
+        drop = [set() for _ in raw]
+        for places in seen.values():
+            if len(places) > 1:
+                for k, a in places:
+                    drop[k].update(range(a, a + 200))
+        assert got == {k: bytes(x for j, x in enumerate(b) if j not in drop[k]) for k, b in enumerate(raw)}

@@ -435,8 +435,9 @@ def split(ctx: DataFrame, min_len: int) -> tuple[DataFrame, DataFrame]:
     lo = F.lit(min_len) - (F.length("ctx") - F.col("left"))
     child = child.withColumn("lo", F.greatest("a", lo)).withColumn("hi", F.least("b", "left"))
     rows = child.dropDuplicates(["g", "m", "h", "c"])
-    same = rows.groupBy("g", "m").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "k", "pos")).alias("first"))
-    sizes = same.groupBy("g").agg(F.count(F.lit(1)).alias("parts"))
+    # both written, so that the joins read plain shuffles and a half that very many contexts share can be split
+    same = materialize(rows.groupBy("g", "m").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "k", "pos")).alias("first")), "same")
+    sizes = materialize(same.groupBy("g").agg(F.count(F.lit(1)).alias("parts")), "sizes")
     known = rows.join(same, ["g", "m"])
     first = (F.col("first.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("first.k") == F.col("k")) & (F.col("first.pos") == F.col("pos"))
     settled = known.where("copies > 1").select("h", "c", F.col("lo").alias("low"), F.col("hi").alias("high"),
@@ -505,7 +506,8 @@ def remove_repeats(docs: DataFrame, min_len: int = 200, keep_first: bool = False
     """(doc_id, n_bytes, kept, spans): the bytes that stay and the removed
     runs of every document."""
     keyed = _keyed(docs)
-    spans = repeated_spans(docs, min_len, keep_first, cap)
+    # written: a text that very many documents hold is one row here and can be split there
+    spans = materialize(repeated_spans(docs, min_len, keep_first, cap), "spans")
     at = [keyed["k"] == spans["k"], keyed["size"] == spans["size"]]
     if keep_first:
         at.append(keyed["doc_id"].eqNullSafe(spans["doc_id"]))

@@ -268,6 +268,72 @@ def test_pii_learns_and_keeps_base_spans(spark, none):
     assert pii.find(none).count() == 0 and pii.redact(none).columns == none.columns
 
 
+def _planted(rnd, kind):
+    """(text, personal span or None) of one kind: half of them decoys."""
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    filler = lambda: " ".join(rnd.choice(("river", "stone", "maple", "green", "window", "of", "the")) for _ in range(rnd.randint(3, 9)))
+    good = rnd.random() < 0.5
+    if kind == "number":
+        span = rnd.choice((f"({rnd.randint(200, 999)}) 555-{digits(4)}", f"{rnd.randint(200, 999)}-555-{digits(4)}"))
+        lead = rnd.choice(("call", "phone:", "Tel", "and"))
+        bad = f"{rnd.choice(('order', 'item', 'page', 'version'))} {rnd.randint(1, 9)}{digits(7)}"
+    elif kind == "secret":
+        alphabet = rnd.choice(("0123456789abcdef", "0123456789ABCDEF", "0123456789abcdefABCDEF"))
+        span = rnd.choice(("".join(rnd.choice(alphabet) for _ in range(39)) + "7",
+                           "sk" + "".join(rnd.choice("abcdefghXYZ0123456789") for _ in range(27)) + "aB3"))
+        lead = rnd.choice(("token =", "API_KEY:", "password =", "secret ="))
+        bad = f"commit {''.join(rnd.choice('0123456789abcdef') for _ in range(36))}1"
+    elif kind == "written_email":
+        span, lead, bad = f"bob{rnd.randint(1, 999)} [at] mail{rnd.randint(1, 9)} [dot] org", rnd.choice(("write", "mail")), "meet (at) noon"
+    elif kind == "account":
+        body = rnd.choice(("DEUT", "BANK")) + digits(14)
+        check = 98 - int("".join(str(int(c, 36)) for c in body + "DE00")) % 97
+        span, lead = f"DE{check:02d}{body}"[:22], rnd.choice(("IBAN", "konto", "pay to"))
+        wrong = (check + rnd.randint(1, 90)) % 97
+        bad = f"serial DE{wrong:02d}{body}"[:29]
+    else:
+        span, lead, bad = rnd.choice(("Anna", "Carlos", "Pierre", "Sabine")) + " " + rnd.choice(("Muster", "Lopez", "Gray")), \
+            rnd.choice(("Mr", "Frau", "Señora", "Dr.")), "Anna river"
+    before = filler() + " "
+    if not good:
+        return before + bad + " " + filler(), None
+    start = len(before) + len(lead) + 1
+    return f"{before}{lead} {span} {filler()}", (start, start + len(span))
+
+
+def test_pii_recall_and_precision_of_added_kinds(spark):
+    rnd = random.Random(8)
+    kinds = pii.KINDS[len(pii.BASE_KINDS):]
+    planted = [(k, *_planted(rnd, k)) for k in kinds for _ in range(200)]
+    rnd.shuffle(planted)
+    docs = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(planted)], "doc_id long, text string").repartition(4)
+    found = {r.doc_id: [(s["start"], s["end"], s["kind"]) for s in r.spans if s["kind"] in kinds] for r in pii.find(docs).collect()}
+    for kind in kinds:
+        want = {(i, *span) for i, (k, _, span) in enumerate(planted) if k == kind and span}
+        got = {(i, s, e) for i, spans in found.items() for s, e, k in spans if k == kind}
+        hit = len(want & got)
+        assert hit >= 0.9 * len(want) and hit >= 0.9 * len(got), (kind, len(want), len(got), hit)
+
+
+def test_pii_candidates_are_cut_at_base_spans():
+    text = "Des +1 (826) 555-4081 190.137.223.204 du"
+    base = pii.base_spans(text)
+    assert [k for *_, k in base] == ["ip"]
+    assert [(text[s:e], p[0]) for s, e, p in pii.judged(text, base)] == [("+1 (826) 555-4081", "number")]
+    assert pii.gaps(10, [(0, 2, "ip"), (1, 4, "card"), (6, 10, "ip")]) == [(4, 6)] and pii.gaps(0, []) == []
+
+
+def test_pii_reliabilities_differ_by_kind():
+    """The same labeler is right for one kind and random for another."""
+    form, check = pii.LABELERS.index("form"), pii.LABELERS.index("checksum")
+    gap = lambda a, b: tuple(a if i == form else b if i == check else b if i == 2 else -1 for i in range(len(pii.LABELERS)))
+    rows = [("number", 1, 0, gap(a, b)) for a in (0, 1) for b in (0, 1)] + [("secret", 1, 0, gap(a, b)) for a in (0, 1) for b in (0, 1)]
+    n = np.array([50, 50, 50, 50, 95, 5, 5, 95])  # votes (form, others): independent for numbers, in step for secrets
+    model = pii.fit(rows, n)
+    assert model.accuracy["secret"][form] > 0.9 and model.accuracy["number"][form] < 0.7
+    assert model.accepts(("secret", 1, 0, gap(1, 1))) and not model.accepts(("secret", 1, 0, gap(0, 0)))
+
+
 def test_redacted_columns(mixed):
     out = pii.redact(mixed)
     assert out.columns == mixed.columns and out.where("component_id != -1").count() == 0

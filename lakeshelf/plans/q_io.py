@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakeshelf.plans.registry import query
 from lakeshelf.plans.roles import LISTINGS_SQL, listings
 from lakeshelf.session import read_table, scratch_path
-from lakeshelf.sources import io, state
+from lakeshelf.sources import history, io, state
 
 AS_OF = dt.datetime(2024, 3, 7, 9, 30)  # fixed ingestion time: reruns write the same folders
 
@@ -144,6 +144,30 @@ def q_append_replay(spark, sf):
     return io.read_versions(spark, path).select(*[c.strip() for c in _LCOLS.split(",")])
 
 
+@query("table_history", f"""
+SELECT DISTINCT CAST(0 AS BIGINT) AS seq, 'WRITE' AS operation, _commit_version AS version FROM {LISTINGS_SQL} a WHERE _commit_version <= 3
+UNION ALL SELECT DISTINCT 1, 'WRITE', _commit_version FROM {LISTINGS_SQL} b WHERE _commit_version > 3
+UNION ALL SELECT DISTINCT 2, 'REPLACE', _commit_version FROM {LISTINGS_SQL} c WHERE _commit_version = 3""")
+def q_table_history(spark, sf):
+    """What three writes did to a table: two of new versions, a replay."""
+    path = scratch_path(spark, "listings")
+    li = listings(spark, sf)
+    io.append_version(li.where(F.col("_commit_version") <= 3), path)
+    io.append_version(li.where(F.col("_commit_version") > 3), path)
+    io.append_version(li.where(F.col("_commit_version") == 3), path)
+    return history.history(spark, path).select("seq", "operation", "version")
+
+
+@query("table_as_of", f"SELECT {_LCOLS} FROM {LISTINGS_SQL} l WHERE _commit_version <= 2")
+def q_table_as_of(spark, sf):
+    """The table as it was after its first write."""
+    path = scratch_path(spark, "listings")
+    li = listings(spark, sf)
+    io.append_version(li.where(F.col("_commit_version") <= 2), path)
+    io.append_version(li.where(F.col("_commit_version") > 2), path)
+    return history.read_as_of(spark, path, 0).select(*[c.strip() for c in _LCOLS.split(",")])
+
+
 @query("changes_since", f"SELECT {_LCOLS} FROM {LISTINGS_SQL} l WHERE _commit_version > 2 AND _commit_version <= 5")
 def q_changes_since(spark, sf):
     t = _versioned_listings(spark, sf)

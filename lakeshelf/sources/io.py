@@ -14,11 +14,13 @@ import datetime as _dt
 import os
 from typing import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-VERSION = "_commit_version"
+from lakeshelf.sources import history
+
+VERSION = history.VERSION
 
 
 # ---- scans -------------------------------------------------------------------
@@ -113,16 +115,24 @@ def append_version(df: DataFrame, path: str, version: int | Column | None = None
     """Write ``df`` as version(s) of the table at ``path``.
 
     ``version`` = an int stamps every row; ``None`` keeps the rows' own
-    ``_commit_version`` column. Only the written versions are replaced."""
+    ``_commit_version`` column. Only the written versions are replaced. The
+    finished write is recorded in the table's history; versions of rows are
+    gathered in the same pass."""
+    spark = df.sparkSession
+    existed = _folder_values(spark, path, VERSION)
     if version is not None:
         v = version if isinstance(version, Column) else F.lit(int(version))
         df = df.withColumn(VERSION, v.cast("int"))
+    seen = None if isinstance(version, int) else Observation()
+    if seen:
+        df = df.observe(seen, F.collect_set(VERSION).alias("versions"))
     # AQE then writes few files for a small version and splits a large one
     w = (df.hint("rebalance", VERSION).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.parquet(path)
+    history.record(spark, path, seen.get["versions"] if seen else [version], existed)
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:

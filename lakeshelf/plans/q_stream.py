@@ -245,13 +245,10 @@ def q_stream_admission(spark, sf):
     schema = read_table(spark, sf, "events").schema
     out, ckpt, progress = (scratch_path(spark, n) for n in ("admitted", "ckpt", "progress"))
 
-    def limited(batch):
-        return _projected(_interactions(batch)).select(
-            "msg_id", "listing_ref", "phone_number", "comment", "event_time", F.lit(batch.count() <= ADMITTED_ROWS).alias("admitted"))
-
     def started():
         stream = adm.read_admitted(spark, table_path(sf, "events"), schema, progress, rows=ADMITTED_ROWS)
-        return al.write_batches(stream, limited, out, ckpt, {"processingTime": "0 seconds"})
+        rows = _projected(_interactions(stream)).select("msg_id", "listing_ref", "phone_number", "comment", "event_time")
+        return al.write_batches(rows, lambda batch: batch, out, ckpt, {"processingTime": "0 seconds"}, once=True)
 
     q = started()
     while q.isActive and not al.committed_batches(spark, out):
@@ -262,4 +259,6 @@ def q_stream_admission(spark, sf):
         q.processAllAvailable()
     finally:
         q.stop()
-    return al.read_batches(spark, out)
+    rows = al.read_batches(spark, out).withColumn("batch", F.expr(al.BATCH))
+    sizes = rows.groupBy("batch").agg((F.count(F.lit(1)) <= ADMITTED_ROWS).alias("admitted"))  # a row for each batch
+    return rows.join(sizes, "batch").drop("batch")

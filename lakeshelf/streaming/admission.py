@@ -12,6 +12,8 @@ progress folder belongs to one checkpoint.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import json
 import sys
 
@@ -50,6 +52,42 @@ class Range(InputPartition):
         self.path, self.first, self.last = path, first, last
 
 
+class Place:
+    """A worker's place in a file. Parquet is decoded from the start of a row
+    group on, so the place is kept for the batch that goes on from there."""
+
+    def __init__(self, file: pa.NativeFile, names: list[str]):
+        self.file = pq.ParquetFile(file)
+        self.names = [n for n in names if n in self.file.schema_arrow.names]
+        groups = self.file.metadata
+        self.ends = list(itertools.accumulate(groups.row_group(g).num_rows for g in range(groups.num_row_groups)))
+        self.row = self.end = 0  # the next row, and the end of its row group
+        self.batches, self.rest = iter(()), None
+
+    def _open(self, row: int) -> None:
+        g = bisect.bisect_right(self.ends, row)
+        self.row, self.end = self.ends[g - 1] if g else 0, self.ends[g]
+        self.batches, self.rest = iter(self.file.iter_batches(8192, row_groups=[g], columns=self.names)), None
+
+    def take(self, first: int, last: int):
+        """Batches of the rows [first, last)."""
+        while first < last:
+            if not self.row <= first < self.end:
+                self._open(first)
+            b = next(self.batches) if self.rest is None else self.rest
+            lo, hi = min(first - self.row, b.num_rows), min(last - self.row, b.num_rows)
+            self.row += hi
+            self.rest = b.slice(hi) if hi < b.num_rows else None
+            if lo < hi:
+                yield b.slice(lo, hi - lo)
+                first = self.row
+
+
+def _places() -> dict:
+    """This worker's places: in ``sys``, as this module is sent anew with each batch."""
+    return vars(sys).setdefault("_lakeshelf_places", {})
+
+
 class AdmissionReader(DataSourceStreamReader):
     def __init__(self, options, schema: T.StructType):
         self.path, self.progress = options["path"], options["progress"]
@@ -132,24 +170,18 @@ class AdmissionReader(DataSourceStreamReader):
         return out
 
     def read(self, partition: Range):
+        """The worker's place in the file last read is used again: one batch after
+        the other, it decodes no row twice."""
         fs, _ = _files(self.path)
         want = to_arrow_schema(self.schema)
-        with fs.open_input_file(partition.path) as s:
-            f = pq.ParquetFile(s)
-            have = [n for n in want.names if n in f.schema_arrow.names]
-            at = 0
-            for g in range(f.num_row_groups):
-                rows = f.metadata.row_group(g).num_rows
-                if at < partition.last and at + rows > partition.first:
-                    seen = at
-                    for b in f.iter_batches(8192, row_groups=[g], columns=have):
-                        lo, hi = max(partition.first - seen, 0), min(partition.last - seen, b.num_rows)
-                        seen += b.num_rows
-                        if lo < hi:
-                            b = b.slice(lo, hi - lo)
-                            yield pa.RecordBatch.from_arrays(
-                                [b.column(c.name).cast(c.type) if c.name in have else pa.nulls(b.num_rows, c.type) for c in want], schema=want)
-                at += rows
+        info = fs.get_file_info(partition.path)
+        key = (partition.path, info.size, info.mtime_ns, *want.names)
+        place = _places().pop(key, None) or Place(fs.open_input_file(partition.path), want.names)
+        _places().clear()
+        for b in place.take(partition.first, partition.last):
+            yield pa.RecordBatch.from_arrays(
+                [b.column(c.name).cast(c.type) if c.name in place.names else pa.nulls(b.num_rows, c.type) for c in want], schema=want)
+        _places()[key] = place
 
     def commit(self, end: dict) -> None:
         """Nothing to release: the end was written when the batch was planned."""

@@ -11,6 +11,7 @@ that returns ``struct<label, score>``.
 
 from __future__ import annotations
 
+import functools
 import json
 from dataclasses import dataclass
 from typing import Callable, Iterable, Iterator, Sequence
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshelf.functions.keywords import any_keyword
-from lakeshelf.session import checked_broadcast, materialize, scratch_scope
+from lakeshelf.session import checked_broadcast, materialize, path_exists, scratch_scope
 from lakeshelf.sources import commits, runs
 from lakeshelf.sources.io import VERSION
 
@@ -220,10 +221,12 @@ def read_interactions(spark: SparkSession, path: str, schema: T.StructType = INT
 
 
 _COMMITS = "_commits"
+#: The folder name of a row's batch, of what :func:`read_batches` returns.
+BATCH = "element_at(split(_metadata.file_path, '/'), -2)"
 
 
 def write_batches(stream: DataFrame, make: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
-                  trigger: dict | None = None):
+                  trigger: dict | None = None, once: bool = False):
     """Start a query that writes ``make(batch)`` of each micro-batch to a folder
     of its own below ``out``, named by the query's id (which its checkpoint
     keeps) and the batch's. The folder counts once its commit file is there:
@@ -232,17 +235,21 @@ def write_batches(stream: DataFrame, make: Callable[[DataFrame], DataFrame], out
     has another query id. Read the output with :func:`read_batches`.
 
     The batch is written to the shared scratch folder once, as ``make`` may
-    read it several times, and deleted after; states of tables that ``make``
+    read it several times, and deleted after; with ``once``, ``make`` reads it
+    only once, straight from the source. States of tables that ``make``
     reads (:func:`lakeshelf.sources.runs.pin`) stay until the batch is written."""
     spark, out = stream.sparkSession, out.rstrip("/")
 
+    @functools.cache
+    def query() -> str:
+        return json.loads(commits.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
     def sink(batch: DataFrame, batch_id: int):
-        query = json.loads(commits.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
-        name = f"{query}~{batch_id:012d}"
-        if name in committed_batches(spark, out):
+        name = f"{query()}~{batch_id:012d}"
+        if path_exists(spark, f"{out}/{_COMMITS}/{name}"):
             return
         with scratch_scope(spark), runs.reading():
-            rows = make(materialize(batch, "batch"))
+            rows = make(batch if once else materialize(batch, "batch"))
             rows.write.mode("overwrite").parquet(f"{out}/{name}")
         commits.create_exclusive(spark, f"{out}/{_COMMITS}/{name}", rows.schema.json())
 
@@ -257,7 +264,7 @@ def committed_batches(spark: SparkSession, out: str) -> list[str]:
 
 def read_batches(spark: SparkSession, out: str, schema: T.StructType | str | None = None) -> DataFrame:
     """The rows of all committed batches. ``schema`` is needed only where no
-    batch may have been committed yet."""
+    batch may have been committed yet. :data:`BATCH` is the batch of a row."""
     out = out.rstrip("/")
     names = committed_batches(spark, out)
     if not names:

@@ -87,3 +87,59 @@ def test_offsets_are_the_same_after_a_crash_before_the_batch(tmp_path):
 def test_bad_options(tmp_path, option):
     with pytest.raises(ValueError):
         adm.AdmissionReader({"path": "x", "progress": "y", "rows": 1, "start": "latest", **option}, None)
+
+
+def test_a_worker_decodes_each_row_once_over_successive_batches(tmp_path, monkeypatch):
+    """Any ranges give their rows; batches that go on from each other do not
+    decode a row group again, and a file that was replaced is opened anew."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.types import StructType
+    decoded = []
+
+    class Counting(pq.ParquetFile):
+        def iter_batches(self, *a, **k):
+            for b in super().iter_batches(*a, **k):
+                decoded.append(b.num_rows)
+                yield b
+
+    monkeypatch.setattr(pq, "ParquetFile", Counting)
+    path = str(tmp_path / "in.parquet")
+    pq.write_table(pa.table({"k": list(range(50_000))}), path, row_group_size=20_000)
+    options = {"path": path, "progress": str(tmp_path / "p"), "rows": "700", "start": "earliest"}
+    reader = adm.AdmissionReader(options, StructType.fromDDL("k long, absent string"))
+
+    def rows(first, last):
+        return [x for b in reader.read(adm.Range(path, first, last)) for x in b.column("k").to_pylist()]
+
+    for first in range(0, 50_000, 700):
+        assert rows(first, min(first + 700, 50_000)) == list(range(first, min(first + 700, 50_000)))
+    assert sum(decoded) == 50_000
+    for first, last in [(10, 20), (5, 8), (19_990, 40_010), (40_010, 40_011), (8_190, 8_195), (30_000, 50_000), (7, 7), (49_999, 50_000)]:
+        assert rows(first, last) == list(range(first, last))
+    rows(0, 700)
+    pq.write_table(pa.table({"k": list(range(90_000, 95_000))}), path)
+    assert rows(700, 1_400) == list(range(90_700, 91_400))
+
+
+def test_a_batch_does_not_list_the_batches_before(spark, tmp_path, monkeypatch):
+    """Each batch asks for its own commit alone, reads the batch once where
+    told so, and the folder of each row's batch is known."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+    tmp = str(tmp_path)
+    land(spark, f"{tmp}/in", "a", 0, 100)
+    listed, kept = [], []
+    names, materialize = al.commits.names_in, al.materialize
+    monkeypatch.setattr(al.commits, "names_in", lambda *a: listed.append(a) or names(*a))
+    monkeypatch.setattr(al, "materialize", lambda *a: kept.append(a) or materialize(*a))
+    s = adm.read_admitted(spark, f"{tmp}/in", StructType.fromDDL(SCHEMA), f"{tmp}/progress", 30)
+    q = al.write_batches(s, lambda b: b, f"{tmp}/out", f"{tmp}/ckpt", {"processingTime": "0 seconds"}, once=True)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert not listed and not kept
+    done = al.committed_batches(spark, f"{tmp}/out")
+    got = al.read_batches(spark, f"{tmp}/out").groupBy(F.expr(al.BATCH).alias("b")).count().collect()
+    assert sorted((r.b, r["count"]) for r in got if r["count"]) == list(zip(done, [30, 30, 30, 10]))

@@ -386,6 +386,20 @@ def test_ids_do_not_depend_on_earlier_documents(spark):
     assert back == want
 
 
+def test_known_letters_are_not_tested_piece_by_piece(monkeypatch):
+    """A batch whose pieces need no library is encoded in bulk; one with other
+    letters or an added token's string among them piece by piece, with equal ids."""
+    texts = [t for t in _random_texts(3000, seed=5)] + [f"mot{i} é{i}. çà{i}, (x{i}) l'ami{i} ÿß{i}!" for i in range(3000)]
+    plain = [t for t in texts if "<" not in t and all(ord(c) < 0x530 for c in t)]
+    for part in (plain, texts):
+        e, single = tokens.Encoder(tokens.load()), []
+        monkeypatch.setattr(e, "_ids_of", lambda t, one=e._ids_of: single.append(t) or one(t))
+        flat, at = e.encode(part)
+        want = _library().encode_batch(part, add_special_tokens=False)
+        assert all(flat[at[i]:at[i + 1]].tolist() == w.ids + [2] for i, w in enumerate(want))
+        assert bool(single) == (part is texts)
+
+
 def test_encoder_forgets_when_full():
     e = tokens.Encoder(tokens.load(), limit=5)
     for _ in range(3):

@@ -118,7 +118,7 @@ def test_bands_find_pairs_at_the_threshold():
     for n in [5] * 200 + [9, 45, 90, 450, 4500] * 20:
         union = [rng.getrandbits(64) for _ in range(n)]
         cut = n // 10 or (n == 5)
-        a, b = (union[cut:], union) if n == 5 else (union[:-cut], union[cut:])
+        a, b = (union[cut:], union) if n == 5 else (union[:n - cut], union[cut:])
         keys = [set(H.band_keys(H.registers(np.unique(np.array(x, dtype=np.uint64)))).tolist()) for x in (a, b)]
         missed += not keys[0] & keys[1]
     assert missed == 0

@@ -1,15 +1,13 @@
-"""Token ids of whole texts, with ids of repeated words kept.
-
-A byte-level pre-tokenizer never lets a token cross a single space between two
-characters that are not white space (the space starts the next token). So a
-text is cut there, each distinct piece is tokenized once by the tokenizers
-library, and the ids of a text are gathered from the pieces' ids. Texts with
-other white space around spaces are cut at the safe places only, texts with the
-string of an added token not at all. Arrow splits a batch and finds its distinct
-pieces, so Python sees each of them once a batch. Pieces of Latin, Greek or
-Cyrillic letters, digits and punctuation go to the library's BPE model pre-token
-by pre-token, others through its whole pipeline. With any other kind of
-tokenizer, whole texts are encoded.
+"""Token ids of whole texts, with ids of repeated pre-tokens kept.
+
+A byte-level pre-tokenizer cuts a text by the classes of its characters (letter,
+number, white space, other) and at seven English contractions, and no token
+crosses a cut. The cuts of a batch of texts are found in its bytes at once; a
+character's class is asked of the library's pre-tokenizer, once a worker. Arrow
+finds the batch's distinct pre-tokens and those known already, the others go to
+the library's BPE model, and the ids of a text are gathered from its pre-tokens'
+ids. Texts with the string of an added token are encoded whole. With any other
+kind of tokenizer, all texts are.
 
 Equality with the library on whole texts is tested, whatever was encoded before."""
 
@@ -17,22 +15,16 @@ from __future__ import annotations
 
 import itertools
 import json
+import operator
 import os
 import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 
 END_ID = 2
-#: White space other than space and newline, in Python's reading (a superset
-#: of the pre-tokenizer's).
-_RARE = "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-#: A text without a match can be cut at every space.
-_UNEVEN = "  |\n | \n|^ | $|" + _RARE
-_SAFE = re.compile(r"(?<=\S) (?=\S)")
-#: Longer pieces are encoded each time, not kept.
+#: Pre-tokens of more bytes are encoded each time, not kept.
 MAX_PIECE = 48
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -58,24 +50,43 @@ def encoder(definition: str) -> Encoder:
     return _ENCODERS[key]
 
 
-#: The byte-level pre-tokens (fixed value), and its rule for bytes as
-#: characters: printable ones stand for themselves, the others for 256, 257 ...
-_PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The byte-level rule for bytes as characters (a fixed value): printable ones
+#: stand for themselves, the others for 256, 257 ...
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-_BYTE_TABLE = np.array([ord(_BYTE_CHARS[b]) for b in range(256)], dtype="<u4")
-#: Letters from here on may be classed differently by the two regular
-#: expressions.
-_BEYOND = re.compile("[\u0530-\U0010ffff]")
-#: Single characters that are a pre-token after a letter, at a piece's end.
-_STOPS = frozenset(".,;:!?")
+_BYTE_CHARS = {b: b for b in _PLAIN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_BYTE_TABLE = np.array([_BYTE_CHARS[b] for b in range(256)], dtype="<u4")
+#: Classes of characters to the pre-tokenizer; 0 is not asked yet.
+_LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
+_ID = operator.attrgetter("id")
+
+
+def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bounds) of a string or binary column without nulls."""
+    _, bounds, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, dtype=np.uint8), np.zeros(len(column) + 1, dtype=np.int64)
+    bounds = np.frombuffer(bounds, dtype=np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def _code_points(data: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, sizes in bytes) of the characters of two to four bytes
+    that begin at the places ``lead``."""
+    first = data[lead].astype(np.int64)
+    size = 2 + (first >= 0xE0) + (first >= 0xF0)
+    point = first & (0x7F >> size)
+    for i in range(1, 4):
+        more = size > i
+        point[more] = point[more] << 6 | data[lead[more] + i] & 0x3F
+    return point, size
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of about ``limit`` pieces, each
-    of at most MAX_PIECE characters (150 to 400 bytes with its ids)."""
+    """Encodes batches of texts; keeps the ids of about ``limit`` pre-tokens,
+    each of at most MAX_PIECE bytes (40 to 150 bytes with its ids). When there
+    are more, those in the most batches stay."""
 
-    def __init__(self, definition: str, limit: int = 500_000):
+    def __init__(self, definition: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
@@ -88,114 +99,99 @@ class Encoder:
                            and not spec.get("normalizer") and spec["model"].get("type", "BPE") == "BPE" and not spec["model"].get("dropout")
                            and not spec["model"].get("ignore_merges"))
         self.limit = limit
-        self._reset()
-
-    def _reset(self) -> None:
-        self.number: dict[str, int] = {"": 0}  # the key of the end mark: no piece that is kept is empty
-        self.parts: dict[str, list[int]] = {}
-        self.ids = np.full(1 << 16, END_ID, dtype=np.uint32)
-        self.start = np.zeros(1 << 16, dtype=np.int64)
-        self.length = np.zeros(1 << 16, dtype=np.int64)
-        self.length[0] = 1
-        self.used = 1
-
-    def _bpe(self, token: str) -> list[int]:
-        """Ids of one pre-token, from the model."""
-        if token.isascii() and token[1:].isalpha():
-            mapped = "\u0120" + token[1:] if token[0] == " " else token
-        else:
-            mapped = token.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return [t.id for t in self.model.tokenize(mapped)]
-
-    def _part(self, token: str) -> list[int]:
-        """Ids of a pre-token within a piece, which often are known: those of a
-        space and a word are the piece's of that word (keys that start with a
-        space are first pieces)."""
-        n = self.number.get(token[1:]) if token[0] == " " and token[1:2] not in ("", " ") else None
-        if n is not None:
-            s = self.start[n]
-            return self.ids[s:s + self.length[n]].tolist()
-        got = self.parts.get(token)
-        if got is None:
-            if len(self.parts) >= 100_000:
-                self.parts.clear()
-            got = self.parts[token] = self._bpe(token)
-        return got
-
-    def _ids_of(self, text: str) -> list[int]:
-        """Ids of a piece."""
-        if self.added and self.added.search(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        body = text[1:] if text[0] == " " else text
-        if not text.isascii() and _BEYOND.search(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        if body.isalpha():
-            return self._bpe(text)
-        if body[-1:] in _STOPS and body[:-1].isalpha():
-            return self._part(text[:-1]) + self._part(body[-1])
-        out: list[int] = []
-        for p in _PRETOKEN.findall(text):
-            out += self._part(p)
+        self.known = pa.array([b""], pa.binary())  # the end mark: no pre-token is empty
+        self.ids = np.array([END_ID], dtype=np.uint32)
+        self.length = np.array([1], dtype=np.int64)
+        self.batches = np.array([1], dtype=np.int32)
+        self.classes = np.zeros(0x110000, dtype=np.uint8)
+        if self.byte_level:
+            for c in range(128):
+                self.classes[c] = self._class_of(chr(c))
+
+    def _class_of(self, c: str) -> int:
+        """A character's class: that of the characters it makes a pre-token with."""
+        if c == " ":
+            return _SPACE  # it would start a pre-token of any class
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        return next((k for k, other in ((_LETTER, "a"), (_NUMBER, "1"), (_OTHER, "!")) if len(cut(c + other)) == 1), _SPACE)
+
+    def _forget(self) -> None:
+        """Keeps half of ``limit``, those in the most batches; older uses count
+        less."""
+        kept = np.concatenate([[0], 1 + np.argsort(-self.batches[1:], kind="stable")[:self.limit // 2]])
+        ends = np.cumsum(self.length)
+        ids, self.length = _gather(self.ids, (ends - self.length)[kept], self.length[kept]), self.length[kept]
+        self.known, self.ids, self.batches = self.known.take(pa.array(kept)), ids, self.batches[kept] // 2
+
+    def _byte_classes(self, data: np.ndarray) -> np.ndarray:
+        """For each byte, its character's class."""
+        out = self.classes[:256][data]
+        lead = np.flatnonzero(data >= 0xC0)
+        if len(lead):
+            point, size = _code_points(data, lead)
+            for c in np.unique(point[self.classes[point] == 0]).tolist():
+                self.classes[c] = self._class_of(chr(c))
+            found = self.classes[point]
+            for i in range(4):
+                out[lead[size > i] + i] = found[size > i]
         return out
 
-    def _ids_of_all(self, texts: list[str]) -> tuple[list[int], list[int]]:
-        """(ids of pieces, where each piece's end): what :meth:`_ids_of` does,
-        with the tests and the bytes as characters taken for all at once where
-        none needs the library."""
-        joined = "".join(texts)
-        if (self.added and self.added.search(joined)) or (not joined.isascii() and _BEYOND.search(joined)):
-            found = list(map(self._ids_of, texts))
-            return list(itertools.chain.from_iterable(found)), list(itertools.accumulate(map(len, found)))
-        column = pa.array(texts, pa.string())
-        mapped = _BYTE_TABLE[np.frombuffer(joined.encode(), dtype=np.uint8)].tobytes().decode("utf-32-le")
-        ends = np.cumsum(pc.binary_length(column).to_numpy()).tolist()
-        tokenize, parts, part, begin = self.model.tokenize, self.parts, self._part, 0
-        out: list[int] = []
-        stops: list[int] = []
-        for text, end in zip(texts, ends):
-            body = text[1:] if text[0] == " " else text
-            if body.isalpha():
-                out += [t.id for t in tokenize(mapped[begin:end])]
-            elif body[-1:] in _STOPS and body[:-1].isalpha():
-                out += part(text[:-1])
-                out += parts.get(body[-1]) or part(body[-1])
-            else:
-                for p in _PRETOKEN.findall(text):
-                    out += parts.get(p) or part(p)
-            stops.append(len(out))
-            begin = end
-        return out, stops
-
-    def _add(self, keys: list[str], texts: list[str]) -> None:
-        found, stops = self._ids_of_all(texts)
-        n, first, total = len(keys), len(self.number), len(found)
-        lengths = np.diff(np.array(stops, dtype=np.int64), prepend=0)
-        while len(self.ids) < self.used + total:
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while len(self.start) < first + n:
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        self.ids[self.used:self.used + total] = np.array(found, dtype=np.uint32)
-        self.length[first:first + n] = lengths
-        self.start[first:first + n] = self.used + np.cumsum(lengths) - lengths
-        self.used += total
-        self.number.update(zip(keys, range(first, first + n)))
-
-    def _cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """(the pieces of all texts, how many each text has)."""
-        empty = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
-        whole = np.zeros(len(texts), dtype=bool)
-        if self.added:
-            whole = pc.match_substring_regex(texts, self.added.pattern).to_numpy(zero_copy_only=False)
-        other = np.flatnonzero(empty | uneven | whole)
-        if not len(other):
-            lists = pc.split_pattern(texts, " ")
-        else:
-            plain = np.flatnonzero(~(empty | uneven | whole))
-            cut = [[] if empty[i] else [texts[i].as_py()] if whole[i] else _SAFE.split(texts[i].as_py()) for i in other.tolist()]
-            both = pa.concat_arrays([pc.split_pattern(texts.take(pa.array(plain)), " "), pa.array(cut, pa.list_(pa.string()))])
-            lists = both.take(pa.array(np.argsort(np.concatenate([plain, other]), kind="stable")))
-        return lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+    def _cuts(self, data: np.ndarray, bounds: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Where pre-tokens start, and the end; texts are the bytes between
+        bounds, those numbered in ``whole`` are not cut."""
+        kind = self._byte_classes(data)
+        edge = np.zeros(len(data) + 1, dtype=bool)  # a text starts or ends here
+        edge[bounds] = True
+        start = edge.copy()
+        start[1:-1] |= kind[1:] != kind[:-1]
+        # the last of several spaces before a word is cut off; a plain one goes with the word
+        space = kind == _SPACE
+        word = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+        word = word[~edge[word]]
+        last = word - 1
+        while len(inner := np.flatnonzero(data[last] & 0xC0 == 0x80)):
+            last[inner] -= 1
+        start[last] = True
+        start[word[data[word - 1] == 0x20]] = False
+        # 's 't 'm 'd 're 've 'll, where the apostrophe starts a pre-token
+        mark = np.flatnonzero(data == 0x27)
+        mark = mark[start[mark]]
+        mark = mark[~edge[mark + 1]]
+        a = data[mark + 1]
+        short = np.isin(a, np.frombuffer(b"stmd", dtype=np.uint8))
+        longer = mark[~edge[mark + 2]]
+        a, b = data[longer + 1], data[longer + 2]
+        longer = longer[((a == ord("r")) | (a == ord("v"))) & (b == ord("e")) | (a == ord("l")) & (b == ord("l"))]
+        start[mark[short] + 1] = start[longer + 1] = False
+        start[mark[short] + 2] = start[longer + 3] = True
+        for i in whole.tolist():
+            start[bounds[i] + 1:bounds[i + 1]] = False
+        return np.flatnonzero(start)
+
+    def _ids_of(self, text: str) -> list[int]:
+        """Ids of a whole text, from the library."""
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, new: pa.Array, whole: bool) -> None:
+        """Adds pre-tokens and, with ``whole``, texts that hold an added
+        token's string."""
+        data, bounds = _buffers(new)
+        mapped = _BYTE_TABLE[data].tobytes().decode("utf-32-le")
+        places = bounds.tolist()
+        ids, lengths, tokenize = [], [], self.model.tokenize
+        for i in range(0, len(new), 20_000):
+            found = [tokenize(mapped[a:b]) for a, b in itertools.pairwise(places[i:i + 20_001])]
+            if whole:
+                found = [self._ids_of(text.decode()) if self.added.search(text.decode()) else list(map(_ID, x))
+                         for x, text in zip(found, new[i:i + 20_000].to_pylist())]
+            every = itertools.chain.from_iterable(found)
+            count = list(map(len, found))
+            ids.append(np.fromiter(every if whole else map(_ID, every), dtype=np.uint32, count=sum(count)))
+            lengths += count
+        self.known = pa.concat_arrays([self.known, new])
+        self.ids = np.concatenate([self.ids, *ids])
+        self.length = np.concatenate([self.length, np.array(lengths, dtype=np.int64)])
+        self.batches = np.concatenate([self.batches, np.zeros(len(new), dtype=np.int32)])
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each text followed by END_ID; where each text
@@ -206,50 +202,41 @@ class Encoder:
             found = [[*e.ids, END_ID] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             bounds = np.cumsum([0, *map(len, found)])
             return np.fromiter(itertools.chain.from_iterable(found), dtype=np.uint32, count=int(bounds[-1])), bounds
-        if len(self.number) > self.limit:
-            self._reset()
-        flat, count = self._cut(texts)
-        coded = flat.dictionary_encode()
-        code, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        # a first piece has no space before it; its key starts with one
-        first = np.zeros(len(code), dtype=bool)
-        first[(np.cumsum(count) - count)[count > 0]] = True
-        key = code + np.where(first, len(distinct), 0)
-        asked = np.flatnonzero(np.bincount(key, minlength=2 * len(distinct))).tolist()
-        names = [distinct[k] if k < len(distinct) else " " + distinct[k - len(distinct)] for k in asked]
-        found = np.fromiter(map(self.number.get, names, itertools.repeat(-1)), dtype=np.int64, count=len(names))
-        missing = np.flatnonzero(found < 0).tolist()
-        text_of = lambda k: k[1:] if k[0] == " " else " " + k
-        long: dict[int, np.ndarray] = {}  # by key
-        if missing:
-            keep = [names[i] for i in missing if len(names[i]) <= MAX_PIECE]
-            for i in range(0, len(keep), 20_000):
-                part = keep[i:i + 20_000]
-                self._add(part, list(map(text_of, part)))
-            for i in missing:
-                found[i] = self.number.get(names[i], -1)
-                if found[i] < 0:
-                    long[asked[i]] = np.array(self.tokenizer.encode(text_of(names[i]), add_special_tokens=False).ids, dtype=np.uint32)
-                    found[i] = 0
-        of_key = np.zeros(2 * len(distinct), dtype=np.int64)
-        of_key[asked] = found
-        # the pieces of each text, then its end mark (number 0)
-        bounds = np.concatenate([[0], np.cumsum(count + 1)])
-        number = np.zeros(int(bounds[-1]), dtype=np.int64)
-        place = np.arange(len(key)) + np.repeat(np.arange(len(count)), count)
-        number[place] = of_key[key]
+        if len(self.known) > self.limit:
+            self._forget()
+        data, bounds = _buffers(texts)
+        whole = np.zeros(0, dtype=np.int64)
+        if self.added:
+            whole = np.flatnonzero(pc.match_substring_regex(texts, self.added.pattern).to_numpy(zero_copy_only=False))
+        cuts = self._cuts(data, bounds, whole)
+        pieces = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary
+        number = pc.index_in(distinct, value_set=self.known).fill_null(-1).to_numpy().astype(np.int64)
+        missing = np.flatnonzero(number < 0)
+        kept = len(self.known)
+        if len(missing):
+            long = pc.greater(pc.binary_length(distinct), MAX_PIECE).to_numpy(zero_copy_only=False)[missing]
+            missing = np.concatenate([missing[~long], missing[long]])
+            number[missing] = kept + np.arange(len(missing))
+            kept += int((~long).sum())
+            self._learn(distinct.take(pa.array(missing)), len(whole) > 0)
+        self.batches[number] += 1
+        # by distinct pre-token, then the end mark
+        number = np.append(number, 0)
         lengths = self.length[number]
-        at_long = []
-        if long:
-            at_long = [(p, long[k]) for p, k in zip(place.tolist(), key.tolist()) if k in long]
-            for p, ids in at_long:
-                lengths[p] = len(ids)
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.start[number] - (ends - lengths), lengths)
-        at += np.arange(len(at))
-        if long:
-            np.minimum(at, len(self.ids) - 1, out=at)  # places of long pieces, filled below
-        flat_ids = self.ids[at]
-        for p, ids in at_long:
-            flat_ids[ends[p] - lengths[p]:ends[p]] = ids
-        return flat_ids, np.concatenate([[0], ends])[bounds]
+        starts = (np.cumsum(self.length) - self.length)[number]
+        at = np.searchsorted(cuts, bounds)  # each text's first pre-token
+        code = np.insert(coded.indices.to_numpy(), at[1:], len(distinct))
+        flat = _gather(self.ids, starts[code], (sizes := lengths[code]))
+        if kept < len(self.known):
+            self.known, self.length, self.batches = self.known[:kept], self.length[:kept], self.batches[:kept]
+            self.ids = self.ids[:self.length.sum()]
+        return flat, np.concatenate([[0], np.cumsum(sizes)])[at + np.arange(len(at))]
+
+
+def _gather(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The slices of ``ids`` that begin at ``starts``, one after the other."""
+    at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+    at += np.arange(len(at))
+    return ids[at]

@@ -9,6 +9,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -409,6 +410,50 @@ def test_encoder_forgets_when_full():
         assert all(flat[at[i]:at[i + 1]].tolist() == w.ids + [2] for i, w in enumerate(want))
 
 
+class _CountedModel:
+    def __init__(self, model):
+        self.model, self.seen = model, []
+
+    def tokenize(self, token):
+        self.seen.append(token)
+        return self.model.tokenize(token)
+
+
+def test_each_pretoken_is_asked_of_the_model_once():
+    """A word alone, before punctuation and before a line end, in many calls."""
+    e = tokens.Encoder(tokens.load())
+    e.model = _CountedModel(e.model)
+    words = [f"w{c}ord{d}x" for c in "abcdef" for d in "ghijk"]
+    for end in ("", ",", ".", ".\nNext", "..."):
+        texts = [f"a {w}{end} b" for w in words]
+        flat, at = e.encode(texts)
+        want = _library().encode_batch(texts, add_special_tokens=False)
+        assert all(flat[at[i]:at[i + 1]].tolist() == w.ids + [2] for i, w in enumerate(want))
+    assert len(e.model.seen) == len(set(e.model.seen)) and set(words) <= {t[1:] for t in e.model.seen}
+
+
+def test_frequent_pretokens_stay_when_the_encoder_is_full():
+    e = tokens.Encoder(tokens.load(), limit=200)
+    e.model = _CountedModel(e.model)
+    for n in range(20):
+        e.encode(["a thing that stays"] + [f"z {c}{d}{'q' * n}" for c in "abcdefgh" for d in "ijkl"])
+    assert e.model.seen.count("\u0120stays") == 1
+
+
+def test_pretoken_cuts_equal_the_library():
+    """Contractions, spaces before words, letters and marks of many scripts; at
+    the ends of texts, in a column that has nulls and begins elsewhere."""
+    rnd = random.Random(4)
+    bits = ["'", "s", "t", "re", "ve", "m", "ll", "d", "l", "r", "S", " ", "  ", "\n", "\u00a0", "\u3000", "1", "\u00b2", "\u0663", "!", "\u2019",
+            "\u017f", "\u0301", "日", "\U0001d7d8", "\u200b", "\u2028", "\u180e", "\U00020000", "<|endoftext|>"]
+    texts = ["it'", "s", "a'", "re", "a ", " b", "'", "'s's", " 's", "''s", "\n'll'l"]
+    texts += ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))) if rnd.random() > 0.05 else None for _ in range(5000)]
+    want = [[*w.ids, 2] for w in _library().encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for column in (texts, pa.array(["x", None, *texts, "y"], pa.string()).slice(2, len(texts))):
+        flat, at = tokens.Encoder(tokens.load()).encode(column)
+        assert [flat[a:b].tolist() for a, b in zip(at, at[1:])] == want
+
+
 def _check_packing(rows, docs, encoder, capacity):
     by_seq = {}
     for r in rows:

@@ -5,6 +5,8 @@ the scratch folder and the written result is returned."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from lakeshelf.plans.registry import query
@@ -236,29 +238,39 @@ def q_classify_scored(spark, sf):
 
 
 ADMITTED_ROWS = 4000
+#: Batches that a stream is to have before a further one takes a share of them.
+LANE_BATCHES = 50
 
 
 @query("stream_admission", f"SELECT msg_id, listing_ref, phone_number, comment, event_time, true AS admitted FROM {EV_SQL} e")
 def q_stream_admission(spark, sf):
-    """Batches of at most 4000 interactions; the query is stopped after its
-    first batches and started again. ``admitted``: the message's batch kept the limit."""
-    schema = read_table(spark, sf, "events").schema
+    """Batches of at most 4000 interactions; every stream is stopped after its
+    first batches and started again. A large backlog is shared by streams that
+    run side by side. ``admitted``: the message's batch kept the limit."""
+    events = read_table(spark, sf, "events")
     out, ckpt, progress = (scratch_path(spark, n) for n in ("admitted", "ckpt", "progress"))
-
-    def started():
-        stream = adm.read_admitted(spark, table_path(sf, "events"), schema, progress, rows=ADMITTED_ROWS)
-        rows = _projected(_interactions(stream)).select("msg_id", "listing_ref", "phone_number", "comment", "event_time")
-        return al.write_batches(rows, lambda batch: batch, out, ckpt, {"processingTime": "0 seconds"}, once=True)
-
-    q = started()
-    while q.isActive and not al.committed_batches(spark, out):
-        q.awaitTermination(0.1)
-    q.stop()
-    q = started()
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
+    lanes = max(1, min(spark.sparkContext.defaultParallelism, events.count() // (ADMITTED_ROWS * LANE_BATCHES)))
+
+    def run(wait):
+        streams = adm.read_lanes(spark, table_path(sf, "events"), events.schema, progress, rows=ADMITTED_ROWS, lanes=lanes)
+        with contextlib.ExitStack() as stops:
+            qs = []
+            for k, s in enumerate(streams):
+                rows = _projected(_interactions(s)).select("msg_id", "listing_ref", "phone_number", "comment", "event_time")
+                qs.append(al.write_batches(rows, lambda batch: batch, out, f"{ckpt}/{k}", {"processingTime": "0 seconds"}, once=True))
+                stops.callback(qs[-1].stop)
+            wait(qs)
+
+    def first_batches(qs):
+        while all(q.isActive for q in qs) and len({n.split("~")[0] for n in al.committed_batches(spark, out)}) < len(qs):
+            qs[0].awaitTermination(0.1)
+
+    def all_batches(qs):
+        for q in qs:
+            q.processAllAvailable()
+
+    run(first_batches)
+    run(all_batches)
     rows = al.read_batches(spark, out).withColumn("batch", F.expr(al.BATCH))
     sizes = rows.groupBy("batch").agg((F.count(F.lit(1)) <= ADMITTED_ROWS).alias("admitted"))  # a row for each batch
     return rows.join(sizes, "batch").drop("batch")

@@ -8,12 +8,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from lakeshelf.session import hadoop_path
+
 
 def hadoop_fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p = hadoop_path(spark, path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def is_local(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is on a local or mounted file system."""
+    fs, p = hadoop_fs(spark, path)
+    return fs.makeQualified(p).toUri().getScheme() == "file"
+
+
 def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small text file, complete under its name or not there, unless
     it exists: of several writers exactly one gets True.

@@ -11,6 +11,7 @@ that returns ``struct<label, score>``.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import json
 from dataclasses import dataclass
@@ -225,6 +226,31 @@ _COMMITS = "_commits"
 BATCH = "element_at(split(_metadata.file_path, '/'), -2)"
 
 
+@contextlib.contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings inside the ``with`` block; what is set already stays."""
+    new = {k: v for k, v in values.items() if spark.conf.get(k, None) is None}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k in new:
+            spark.conf.unset(k)
+
+
+def _checkpoint_files(spark: SparkSession, path: str) -> dict[str, str]:
+    """Settings for a query that is started with them (it copies the session's).
+    Without Hadoop's native library, a checkpoint file on a local file system
+    costs a process for each link that is looked up and each permission that is
+    set; Spark's writer on ``FileSystem`` needs fewer. There, both of its writers
+    look for the file and then rename. Elsewhere nothing is changed."""
+    if not commits.is_local(spark, path):
+        return {}
+    return {"spark.sql.streaming.checkpointFileManagerClass":
+            "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"}
+
+
 def write_batches(stream: DataFrame, make: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
                   trigger: dict | None = None, once: bool = False):
     """Start a query that writes ``make(batch)`` of each micro-batch to a folder
@@ -250,11 +276,12 @@ def write_batches(stream: DataFrame, make: Callable[[DataFrame], DataFrame], out
             return
         with scratch_scope(spark), runs.reading():
             rows = make(batch if once else materialize(batch, "batch"))
-            rows.write.mode("overwrite").parquet(f"{out}/{name}")
+            rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False).parquet(f"{out}/{name}")
         commits.create_exclusive(spark, f"{out}/{_COMMITS}/{name}", rows.schema.json())
 
     w = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    with _settings(spark, _checkpoint_files(spark, checkpoint)):
+        return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
 def committed_batches(spark: SparkSession, out: str) -> list[str]:
@@ -273,7 +300,10 @@ def read_batches(spark: SparkSession, out: str, schema: T.StructType | str | Non
         return spark.createDataFrame([], schema)
     if schema is None:
         schema = T.StructType.fromJson(json.loads(commits.read_text(spark, f"{out}/{_COMMITS}/{names[-1]}")))
-    return spark.read.schema(schema).parquet(*[f"{out}/{n}" for n in names])
+    # Spark lists the folders in a job with a task for each, up to this number
+    tasks = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+    with _settings(spark, tasks):
+        return spark.read.schema(schema).parquet(*[f"{out}/{n}" for n in names])
 
 
 def write_alerts(stream: DataFrame, listings_loader: Callable[[], DataFrame | Lookup], out: str, checkpoint: str,

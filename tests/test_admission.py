@@ -143,3 +143,117 @@ def test_a_batch_does_not_list_the_batches_before(spark, tmp_path, monkeypatch):
     done = al.committed_batches(spark, f"{tmp}/out")
     got = al.read_batches(spark, f"{tmp}/out").groupBy(F.expr(al.BATCH).alias("b")).count().collect()
     assert sorted((r.b, r["count"]) for r in got if r["count"]) == list(zip(done, [30, 30, 30, 10]))
+
+
+def run_lanes(spark, tmp, rows, lanes, start="earliest", stop_after=None):
+    """(k values, rows of each batch, streams) of a run of all lanes over what is there."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+    streams = adm.read_lanes(spark, f"{tmp}/in", StructType.fromDDL(SCHEMA), f"{tmp}/progress", rows, start, lanes)
+    qs = [al.write_batches(s, lambda b: b, f"{tmp}/out", f"{tmp}/ckpt/{k}", {"processingTime": "0 seconds"}, once=True)
+          for k, s in enumerate(streams)]
+    try:
+        if stop_after is None:
+            for q in qs:
+                q.processAllAvailable()
+        else:
+            while all(q.isActive for q in qs) and len(al.committed_batches(spark, f"{tmp}/out")) < stop_after:
+                qs[0].awaitTermination(0.05)
+    finally:
+        for q in qs:
+            q.stop()
+    got = al.read_batches(spark, f"{tmp}/out", SCHEMA).select("k", F.expr(al.BATCH).alias("b")).collect()
+    sizes = {}
+    for r in got:
+        sizes[r.b] = sizes.get(r.b, 0) + 1
+    return sorted(r.k for r in got), sizes, len(qs)
+
+
+def test_lanes_read_every_row_once_within_the_limit_and_go_on(spark, tmp_path):
+    """Streams side by side are stopped and started again; files come between."""
+    tmp = str(tmp_path)
+    land(spark, f"{tmp}/in", "a", 0, 203, 2)
+    land(spark, f"{tmp}/in", "one", 203, 204)  # shares of most lanes are empty
+    run_lanes(spark, tmp, 20, 3, stop_after=2)
+    land(spark, f"{tmp}/in", "b", 204, 290)
+    keys, sizes, n = run_lanes(spark, tmp, 20, 5)  # the first start fixed the number
+    assert n == 3 and len({b.split("~")[0] for b in sizes}) == 3
+    assert keys == list(range(290)) and max(sizes.values()) == 20
+    assert run_lanes(spark, tmp, 20, 3)[0] == list(range(290))
+
+
+def test_lanes_skip_the_same_files(spark, tmp_path, monkeypatch):
+    """What is there counts from the first call on, not from each lane's start."""
+    from pyspark.sql.types import StructType
+    tmp = str(tmp_path)
+    land(spark, f"{tmp}/in", "old", 0, 40)
+    names, source = [], type(spark.dataSource)
+    monkeypatch.setattr(source, "register", lambda self, s, real=source.register: names.append(s.name()) or real(self, s))
+    adm.read_lanes(spark, f"{tmp}/in", StructType.fromDDL(SCHEMA), f"{tmp}/progress", 25, "latest", 2)
+    assert len(set(names)) == 2  # streams that start together must not share a source's environment
+    land(spark, f"{tmp}/in", "new", 100, 160)
+    keys, sizes, _ = run_lanes(spark, tmp, 25, 2, "latest")
+    assert keys == list(range(100, 160)) and max(sizes.values()) == 25
+
+
+@pytest.mark.parametrize("lanes", [1, 2, 7])
+def test_shares_of_a_file_cover_it(tmp_path, lanes):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.types import StructType
+    os.makedirs(tmp_path / "in")
+    for i, n in enumerate([0, 3, 100]):
+        pq.write_table(pa.table({"k": [1000 * i + x for x in range(n)]}), tmp_path / "in" / f"{i}.parquet", row_group_size=9)
+    got = []
+    for lane in range(lanes):
+        reader = adm.AdmissionReader({"path": str(tmp_path / "in"), "progress": str(tmp_path / f"p{lane}"), "rows": "4", "start": "earliest",
+                                      "lane": str(lane), "lanes": str(lanes)}, StructType.fromDDL("k long"))
+        at = reader.initialOffset()
+        while (end := reader.latestOffset()) != at:
+            rows = [x for p in reader.partitions(at, end) for b in reader.read(p) for x in b.column("k").to_pylist()]
+            assert len(rows) <= 4
+            got, at = got + rows, end
+    assert sorted(got) == [1000, 1001, 1002, *range(2000, 2100)]
+
+
+def test_a_worker_keeps_a_place_for_each_lane(tmp_path, monkeypatch):
+    """Lanes take turns in a worker and still decode no row group twice."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql.types import StructType
+    opened = []
+    monkeypatch.setattr(adm, "Place", lambda *a, real=adm.Place: opened.append(1) or real(*a))
+    path = str(tmp_path / "in.parquet")
+    pq.write_table(pa.table({"k": list(range(9_000))}), path)
+    reader = adm.AdmissionReader({"path": path, "progress": str(tmp_path / "p"), "rows": "10", "start": "earliest"}, StructType.fromDDL("k long"))
+    for first in range(0, 3_000, 500):
+        for lane in range(3):
+            a = 3_000 * lane + first
+            assert [x for b in reader.read(adm.Range(path, a, a + 500, lane)) for x in b.column("k").to_pylist()] == list(range(a, a + 500))
+    assert len(opened) == 3
+
+
+def test_a_large_backlog_is_shared_by_streams(spark, tmp_path, monkeypatch):
+    """The query's result with several streams: every event once, each batch within the limit."""
+    from lakeshelf.plans import q_stream
+    monkeypatch.setattr(q_stream, "ADMITTED_ROWS", 20)
+    monkeypatch.setattr(q_stream, "LANE_BATCHES", 4)
+    seen = []
+    monkeypatch.setattr(q_stream.adm, "read_lanes", lambda *a, real=adm.read_lanes, **k: seen.append(real(*a, **k)) or seen[-1])
+    (spark.range(0, 200, numPartitions=1)
+     .selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts", "id % 7 AS user_id",
+                 "if(id % 5 = 0, NULL, 'click') AS event_type", "double(id) AS value", "'{}' AS props")
+     .write.parquet(str(tmp_path / "events.parquet")))
+    rows = q_stream.q_stream_admission(spark, str(tmp_path)).collect()
+    assert [len(s) for s in seen] == [2, 2]  # started twice
+    assert sorted(int(r.msg_id) for r in rows) == list(range(200))
+    assert all(r.admitted for r in rows)
+
+
+def test_a_query_leaves_the_session_settings_alone(spark, tmp_path):
+    tmp = str(tmp_path)
+    land(spark, f"{tmp}/in", "a", 0, 10)
+    key = "spark.sql.streaming.checkpointFileManagerClass"
+    assert key in al._checkpoint_files(spark, tmp)
+    assert run(spark, tmp, 5)[0] == list(range(10))
+    assert spark.conf.get(key, None) is None
